@@ -63,6 +63,12 @@ def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
                       else None for x, y in zip(a, b)], dtype="float64")
 
 
+# The same scorer as a barrier: Catalyst does not push a filter on a
+# nondeterministic expression below joins or aggregates, so a ``sim > t`` filter
+# stays above the native pruning instead of scoring every raw candidate.
+jaro_winkler_verify_udf = jaro_winkler_udf.asNondeterministic()
+
+
 def match_fraction_bounds(threshold: float) -> list[float]:
     """Per common-prefix length l (0..4), a lower bound B_l such that
     ``jaro_winkler(a, b) > threshold`` implies ``m > B_l * max(|a|, |b|)``

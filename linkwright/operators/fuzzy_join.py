@@ -5,18 +5,24 @@ Spark plan a broadcast nested-loop join over all N*M pairs. Here the same result
 comes from equi-joins only:
 
 1. **Equality pairs** -- an equi-join on the name (covers ``'' = ''``).
-2. **Candidate keys** -- names are multisets of ``(char, occurrence#)`` tokens.
+2. **Candidate keys** -- a name is a set of ``(char, occurrence#)`` tokens.
    ``jw > threshold`` with common prefix l implies more than ``B_l * max(|a|,|b|)``
-   shared tokens (``similarity.match_fraction_bounds``). Tokens are ordered
-   globally rarest-first; by the prefix-filter principle two such names share a
-   token among the first ``n - floor(B_l * n)`` tokens of each. A key is
-   ``(l, first l chars, token)``; matching names share one at their own l.
-3. **Native pruning** -- length ratio and token overlap with the pair's own l,
-   on JVM expressions.
+   shared tokens (``similarity.match_fraction_bounds``). With tokens in one
+   global rarest-first order, the prefix-filter principle says two such names
+   share their first ``k`` common tokens within the first
+   ``n - floor(B_l * n) - 1 + k`` tokens of each. A key is
+   ``(l, first l characters, k-subset of that prefix)``; two matching names
+   share one at their own common-prefix level l.
+3. **Native pruning** -- the pair's own level, length ratio and token overlap,
+   all JVM expressions.
 4. **Verification** -- the Arrow UDF scores only what is left.
 
-Every step is lossless, so the result equals the nested-loop definition.
-Names are deduplicated first: work grows with distinct names, not rows.
+Every step is lossless, so the result equals the nested-loop definition. Names
+are deduplicated first: the work grows with distinct names, not with rows.
+
+k is chosen per level by ``key_sizes``: k tokens are shared by every matching
+pair with a longest name of k or more characters when ``B_l * k > k - 1``;
+shorter pairs match only when equal (step 1). k=1 is always valid.
 """
 
 from __future__ import annotations
@@ -24,13 +30,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.similarity import (WINKLER_MAX_PREFIX, jaro_winkler_udf,
+from ..functions.similarity import (WINKLER_MAX_PREFIX, jaro_winkler_verify_udf,
                                     match_fraction_bounds)
 
 # Above this many distinct tokens the frequency table is joined by shuffle
 # instead of broadcast (it is at most alphabet size x longest name).
 TOKEN_TABLE_BROADCAST_ROWS = 1_000_000
 _EPS = 1e-9
+_SEP = "\u0001"
+
+
+def _bounds_sql(bounds: list[float]) -> str:
+    return "array(" + ", ".join(repr(float(b)) for b in bounds) + ")"
 
 
 def _bound(bounds: list[float], level: Column) -> Column:
@@ -45,47 +56,84 @@ def common_prefix4(a: Column, b: Column) -> Column:
     return expr
 
 
-def _tokens(names: DataFrame) -> DataFrame:
-    """(name, n, c, o): one row per character with its occurrence number.
+def _per_name_tokens(names: DataFrame, freq: DataFrame | None) -> DataFrame:
+    """(name, n, toks): toks = the name's tokens in global order.
 
-    ``names`` comes out of a ``distinct`` and is hash-partitioned by name, so
-    the per-name windows below need no further shuffle.
+    ``names`` comes out of a ``distinct`` and is hash-partitioned by name; the
+    window, the broadcast join and the regrouping keep that partitioning, so
+    this adds no shuffle. With ``freq=None`` only the raw tokens are returned.
     """
     chars = F.expr("regexp_extract_all(name, '(?s).', 0)")
     t = (names.where(F.length("name") > 0)
          .select("name", F.length("name").alias("n"), F.posexplode(chars).alias("pos", "c")))
-    return t.withColumn("o", F.row_number().over(Window.partitionBy("name", "c").orderBy("pos")))
-
-
-def _keys(tokens: DataFrame, freq: DataFrame, bounds: list[float]) -> DataFrame:
-    """Candidate keys (lvl, pre, c, o) per name with the name and its length."""
-    ranked = tokens.join(freq, ["c", "o"]).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("name").orderBy("f", "c", "o")))
-    # the loosest bound (longest prefix) is at the deepest level
-    n = F.col("n")
-    ranked = ranked.where(F.col("rank") <= n - F.floor(F.lit(min(bounds)) * n - _EPS))
-    lvl = F.col("lvl")
-    levels = F.sequence(F.lit(0), F.least(F.lit(WINKLER_MAX_PREFIX), n))
-    return (ranked.select("name", "n", "c", "o", "rank", F.explode(levels).alias("lvl"))
-            .where(F.col("rank") <= n - F.floor(_bound(bounds, lvl) * n - _EPS))
-            .select("lvl", F.expr("left(name, lvl)").alias("pre"), "c", "o", "name", "n"))
-
-
-def _token_sets(tokens: DataFrame) -> DataFrame:
-    return tokens.groupBy("name").agg(
-        F.collect_list(F.concat(F.col("c"), F.lit("\u0001"), F.col("o").cast("string")))
-        .alias("toks"))
+    t = t.withColumn("o", F.row_number().over(Window.partitionBy("name", "c").orderBy("pos")))
+    if freq is None:
+        return t
+    ordered = (t.join(freq, ["c", "o"]).groupBy("name", "n")
+               .agg(F.array_sort(F.collect_list(F.struct("f", "c", "o"))).alias("ts")))
+    return ordered.select("name", "n", F.expr(
+        f"transform(ts, x -> concat(x.c, '{_SEP}', cast(x.o as string)))").alias("toks"))
+
+
+def _subsets_sql(arr: str, k: int) -> str:
+    """SQL for all k-subsets (k <= 3) of ``arr`` in order, as joined strings."""
+    if k == 1:
+        return arr
+    if k == 2:
+        return (f"if(size({arr}) < 2, array(), flatten(transform(sequence(1, size({arr}) - 1), "
+                f"i -> transform(sequence(i + 1, size({arr})), "
+                f"j -> concat(element_at({arr}, i), '|', element_at({arr}, j))))))")
+    return (f"if(size({arr}) < 3, array(), flatten(flatten(transform(sequence(1, size({arr}) - 2), "
+            f"i -> transform(sequence(i + 1, size({arr}) - 1), "
+            f"j -> transform(sequence(j + 1, size({arr})), "
+            f"h -> concat(element_at({arr}, i), '|', element_at({arr}, j), '|', "
+            f"element_at({arr}, h))))))))")
+
+
+def key_sizes(bounds: list[float]) -> list[int]:
+    """Largest lossless subset size per level.
+
+    k tokens are shared by every matching pair whose longest name has at least
+    k characters when ``B_l * k > k - 1``. Pairs of names of at most two
+    characters match only when equal (the Jaro window is 0 there), which the
+    equality join covers. Level 0 has no shared-prefix grouping, so the larger
+    k pays off most there; other levels use at most 2 (fewer keys per name).
+    """
+    sizes = []
+    for lvl, b in enumerate(bounds):
+        best = 3 if b * 3 > 2 else 2 if b * 2 > 1 else 1
+        sizes.append(best if lvl == 0 else min(best, 2))
+    return sizes
+
+
+def _keys_expr(bounds: list[float], sizes: list[int]) -> Column:
+    """array<struct<lvl, pre, key>> of a (name, n, toks) row."""
+    per_level = []
+    for lvl, (b, k) in enumerate(zip(bounds, sizes)):
+        # prefix length: n - floor(B_l * n) - 1 + k, at most n
+        plen = f"least(n, n - cast(floor({b!r} * n - {_EPS}) as int) - 1 + {k})"
+        subsets = _subsets_sql(f"slice(toks, 1, {plen})", k)
+        per_level.append(
+            f"if(n >= {lvl}, transform({subsets}, s -> named_struct("
+            f"'lvl', {lvl}, 'pre', left(name, {lvl}), 'key', s)), array())")
+    return F.expr("flatten(array(" + ", ".join(per_level) + "))")
 
 
 def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95,
-                      left_col: str | None = None, right_col: str | None = None) -> DataFrame:
+                      left_col: str | None = None, right_col: str | None = None,
+                      key_sizes_override: list[int] | None = None) -> DataFrame:
     """All distinct name pairs ``(a, b, sim)`` with ``a = b`` or ``jw(a, b) > threshold``.
 
     ``left``/``right`` hold the names in ``left_col``/``right_col`` (default:
-    their only column). ``sim`` is the Jaro-Winkler similarity (0.0 for two
+    their first column). ``sim`` is the Jaro-Winkler similarity (0.0 for two
     empty names, which still pair by equality). NULL names never pair.
     """
     bounds = match_fraction_bounds(threshold)
+    sizes = key_sizes(bounds)
+    if key_sizes_override is not None:
+        if any(o > s for o, s in zip(key_sizes_override, sizes)):
+            raise ValueError(f"key sizes {key_sizes_override} are not lossless here")
+        sizes = list(key_sizes_override)
     lc = left_col or left.columns[0]
     rc = right_col or right.columns[0]
     a_names = left.select(F.col(lc).alias("name")).where(F.col("name").isNotNull()).distinct()
@@ -95,30 +143,30 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
         F.col("name").alias("a"), F.col("name").alias("b"),
         F.when(F.length("name") > 0, F.lit(1.0)).otherwise(F.lit(0.0)).alias("sim"))
 
-    a_tok, b_tok = _tokens(a_names), _tokens(b_names)
-    freq = (a_tok.select("c", "o").unionByName(b_tok.select("c", "o"))
+    freq = (_per_name_tokens(a_names, None).select("c", "o")
+            .unionByName(_per_name_tokens(b_names, None).select("c", "o"))
             .groupBy("c", "o").agg(F.count(F.lit(1)).alias("f")))
-    # size check before broadcasting: the table is small but data-dependent
+    # size check before broadcasting: small, but its size depends on the data
     if freq.count() <= TOKEN_TABLE_BROADCAST_ROWS:
         freq = F.broadcast(freq)
 
-    ka = _keys(a_tok, freq, bounds).withColumnsRenamed({"name": "a", "n": "la"})
-    kb = _keys(b_tok, freq, bounds).withColumnsRenamed({"name": "b", "n": "lb"})
-    lvl = F.col("lvl")
-    la, lb = F.col("la"), F.col("lb")
+    ta = _per_name_tokens(a_names, freq)
+    tb = _per_name_tokens(b_names, freq)
+    keys = _keys_expr(bounds, sizes)
+    ka = ta.select(F.col("name").alias("a"), F.col("n").alias("la"), F.inline(keys))
+    kb = tb.select(F.col("name").alias("b"), F.col("n").alias("lb"), F.inline(keys))
+    lvl, la, lb = F.col("lvl"), F.col("la"), F.col("lb")
     longest = F.greatest(la, lb)
-    cand = (ka.join(kb, ["lvl", "pre", "c", "o"])
+    cand = (ka.join(kb, ["lvl", "pre", "key"])
             .where((F.col("a") != F.col("b"))
                    & (common_prefix4(F.col("a"), F.col("b")) == lvl)
                    & (F.least(la, lb) > _bound(bounds, lvl) * longest))
             .select("a", "b", "lvl", "la", "lb").distinct())
 
-    ta = _token_sets(a_tok).withColumnsRenamed({"name": "a", "toks": "ta"})
-    tb = _token_sets(b_tok).withColumnsRenamed({"name": "b", "toks": "tb"})
-    pruned = (cand.join(ta, "a").join(tb, "b")
+    pruned = (cand.join(ta.select(F.col("name").alias("a"), F.col("toks").alias("ta")), "a")
+              .join(tb.select(F.col("name").alias("b"), F.col("toks").alias("tb")), "b")
               .where(F.size(F.array_intersect("ta", "tb")) > _bound(bounds, lvl) * longest)
               .select("a", "b"))
-    fuzzy = (pruned.withColumn("sim", jaro_winkler_udf(F.col("a"), F.col("b")))
+    fuzzy = (pruned.withColumn("sim", jaro_winkler_verify_udf(F.col("a"), F.col("b")))
              .where(F.col("sim") > F.lit(threshold)))
     return equal.unionByName(fuzzy)
-
