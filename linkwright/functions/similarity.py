@@ -69,6 +69,9 @@ def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
 jaro_winkler_verify_udf = jaro_winkler_udf.asNondeterministic()
 
 
+_BOUND_SLACK = 1e-9
+
+
 def match_fraction_bounds(threshold: float) -> list[float]:
     """Per common-prefix length l (0..4), a lower bound B_l such that
     ``jaro_winkler(a, b) > threshold`` implies ``m > B_l * max(|a|, |b|)``
@@ -92,7 +95,9 @@ def match_fraction_bounds(threshold: float) -> list[float]:
             raise ValueError(
                 f"threshold {threshold} admits pairs without common characters; "
                 "no lossless candidate keys exist (need threshold > 2/3)")
-        bounds.append(b)
+        # the scorer's floating point can land a pair that sits exactly on the
+        # threshold just above it; a slightly looser bound keeps such pairs
+        bounds.append(b - _BOUND_SLACK)
     return bounds
 
 
