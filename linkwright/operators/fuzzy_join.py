@@ -27,17 +27,19 @@ shorter pairs match only when equal (step 1). k=1 is always valid.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import (WINKLER_MAX_PREFIX, jaro_winkler_verify_udf,
                                     match_fraction_bounds)
+from ..session import ensure_checkpoint_dir
 
 # Above this many distinct tokens the frequency table is joined by shuffle
 # instead of broadcast (it is at most alphabet size x longest name).
 TOKEN_TABLE_BROADCAST_ROWS = 1_000_000
 _EPS = 1e-9
-_SEP = "\u0001"
+_OCC_RANGE = 1 << 20  # occurrence numbers below this fit in a token id
 
 
 def _bounds_sql(bounds: list[float]) -> str:
@@ -56,38 +58,42 @@ def common_prefix4(a: Column, b: Column) -> Column:
     return expr
 
 
-def _per_name_tokens(names: DataFrame, freq: DataFrame | None) -> DataFrame:
-    """(name, n, toks): toks = the name's tokens in global order.
+def _raw_tokens(names: DataFrame) -> DataFrame:
+    """(name, n, tid): one row per character; ``tid`` encodes the character's
+    code point and its occurrence number in the name, so equal tokens of two
+    names are equal integers and a name's tokens are all distinct.
 
-    ``names`` comes out of a ``distinct`` and is hash-partitioned by name; the
-    window, the broadcast join and the regrouping keep that partitioning, so
-    this adds no shuffle. With ``freq=None`` only the raw tokens are returned.
+    ``names`` comes out of a ``distinct`` and is hash-partitioned by name, so
+    the window needs no further shuffle.
     """
     chars = F.expr("regexp_extract_all(name, '(?s).', 0)")
     t = (names.where(F.length("name") > 0)
          .select("name", F.length("name").alias("n"), F.posexplode(chars).alias("pos", "c")))
-    t = t.withColumn("o", F.row_number().over(Window.partitionBy("name", "c").orderBy("pos")))
-    if freq is None:
-        return t
-    ordered = (t.join(freq, ["c", "o"]).groupBy("name", "n")
-               .agg(F.array_sort(F.collect_list(F.struct("f", "c", "o"))).alias("ts")))
-    return ordered.select("name", "n", F.expr(
-        f"transform(ts, x -> concat(x.c, '{_SEP}', cast(x.o as string)))").alias("toks"))
+    occ = F.row_number().over(Window.partitionBy("name", "c").orderBy("pos"))
+    return t.select("name", "n", (F.ascii("c").cast("long") * _OCC_RANGE + occ).alias("tid"))
+
+
+def _ordered_tokens(raw: DataFrame, freq: DataFrame) -> DataFrame:
+    """(name, n, toks): the name's tokens, rarest first (ties by token)."""
+    ordered = (raw.join(freq, "tid").groupBy("name", "n")
+               .agg(F.array_sort(F.collect_list(F.struct("f", "tid"))).alias("ts")))
+    return ordered.select("name", "n", F.expr("transform(ts, x -> x.tid)").alias("toks"))
 
 
 def _subsets_sql(arr: str, k: int) -> str:
-    """SQL for all k-subsets (k <= 3) of ``arr`` in order, as joined strings."""
+    """SQL for all k-subsets (k <= 3) of ``arr``, in order, as
+    struct(k1, k2, k3) with 0 for unused slots."""
+    e = lambda i: f"element_at({arr}, {i})"
     if k == 1:
-        return arr
+        return f"transform({arr}, x -> named_struct('k1', x, 'k2', 0L, 'k3', 0L))"
     if k == 2:
         return (f"if(size({arr}) < 2, array(), flatten(transform(sequence(1, size({arr}) - 1), "
                 f"i -> transform(sequence(i + 1, size({arr})), "
-                f"j -> concat(element_at({arr}, i), '|', element_at({arr}, j))))))")
+                f"j -> named_struct('k1', {e('i')}, 'k2', {e('j')}, 'k3', 0L)))))")
     return (f"if(size({arr}) < 3, array(), flatten(flatten(transform(sequence(1, size({arr}) - 2), "
             f"i -> transform(sequence(i + 1, size({arr}) - 1), "
             f"j -> transform(sequence(j + 1, size({arr})), "
-            f"h -> concat(element_at({arr}, i), '|', element_at({arr}, j), '|', "
-            f"element_at({arr}, h))))))))")
+            f"h -> named_struct('k1', {e('i')}, 'k2', {e('j')}, 'k3', {e('h')})))))))")
 
 
 def key_sizes(bounds: list[float]) -> list[int]:
@@ -107,7 +113,7 @@ def key_sizes(bounds: list[float]) -> list[int]:
 
 
 def _keys_expr(bounds: list[float], sizes: list[int]) -> Column:
-    """array<struct<lvl, pre, key>> of a (name, n, toks) row."""
+    """array<struct<lvl, pre, k1, k2, k3>> of a (name, n, toks) row."""
     per_level = []
     for lvl, (b, k) in enumerate(zip(bounds, sizes)):
         # prefix length: n - floor(B_l * n) - 1 + k, at most n
@@ -115,18 +121,23 @@ def _keys_expr(bounds: list[float], sizes: list[int]) -> Column:
         subsets = _subsets_sql(f"slice(toks, 1, {plen})", k)
         per_level.append(
             f"if(n >= {lvl}, transform({subsets}, s -> named_struct("
-            f"'lvl', {lvl}, 'pre', left(name, {lvl}), 'key', s)), array())")
+            f"'lvl', {lvl}, 'pre', left(name, {lvl}), 'k1', s.k1, 'k2', s.k2, 'k3', s.k3)), "
+            f"array())")
     return F.expr("flatten(array(" + ", ".join(per_level) + "))")
 
 
 def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95,
                       left_col: str | None = None, right_col: str | None = None,
-                      key_sizes_override: list[int] | None = None) -> DataFrame:
+                      key_sizes_override: list[int] | None = None,
+                      materialize: bool = True) -> DataFrame:
     """All distinct name pairs ``(a, b, sim)`` with ``a = b`` or ``jw(a, b) > threshold``.
 
     ``left``/``right`` hold the names in ``left_col``/``right_col`` (default:
     their first column). ``sim`` is the Jaro-Winkler similarity (0.0 for two
     empty names, which still pair by equality). NULL names never pair.
+
+    With ``materialize`` (default) the pairs are computed now and returned as a
+    checkpointed DataFrame; otherwise the plan is returned lazily.
     """
     bounds = match_fraction_bounds(threshold)
     sizes = key_sizes(bounds)
@@ -139,34 +150,45 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     a_names = left.select(F.col(lc).alias("name")).where(F.col("name").isNotNull()).distinct()
     b_names = right.select(F.col(rc).alias("name")).where(F.col("name").isNotNull()).distinct()
 
+    a_names = a_names.persist(StorageLevel.MEMORY_AND_DISK)
+    b_names = b_names.persist(StorageLevel.MEMORY_AND_DISK)
     equal = a_names.join(b_names, "name").select(
         F.col("name").alias("a"), F.col("name").alias("b"),
         F.when(F.length("name") > 0, F.lit(1.0)).otherwise(F.lit(0.0)).alias("sim"))
 
-    freq = (_per_name_tokens(a_names, None).select("c", "o")
-            .unionByName(_per_name_tokens(b_names, None).select("c", "o"))
-            .groupBy("c", "o").agg(F.count(F.lit(1)).alias("f")))
+    raw_a, raw_b = _raw_tokens(a_names), _raw_tokens(b_names)
+    freq = (raw_a.select("tid").unionByName(raw_b.select("tid"))
+            .groupBy("tid").agg(F.count(F.lit(1)).alias("f")))
     # size check before broadcasting: small, but its size depends on the data
     if freq.count() <= TOKEN_TABLE_BROADCAST_ROWS:
         freq = F.broadcast(freq)
 
-    ta = _per_name_tokens(a_names, freq)
-    tb = _per_name_tokens(b_names, freq)
     keys = _keys_expr(bounds, sizes)
-    ka = ta.select(F.col("name").alias("a"), F.col("n").alias("la"), F.inline(keys))
-    kb = tb.select(F.col("name").alias("b"), F.col("n").alias("lb"), F.inline(keys))
+    ka = _ordered_tokens(raw_a, freq).select(
+        F.col("name").alias("a"), F.col("n").alias("la"), F.col("toks").alias("ta"), F.inline(keys))
+    kb = _ordered_tokens(raw_b, freq).select(
+        F.col("name").alias("b"), F.col("n").alias("lb"), F.col("toks").alias("tb"), F.inline(keys))
     lvl, la, lb = F.col("lvl"), F.col("la"), F.col("lb")
     longest = F.greatest(la, lb)
-    cand = (ka.join(kb, ["lvl", "pre", "key"])
+    # every filter here is on JVM expressions and runs inside the join, before
+    # any deduplication; only pairs that can still match reach the distinct
+    # both key sides grow with the data: never broadcast them (a sort-merge join
+    # spills instead of failing, and AQE splits skewed key partitions)
+    cand = (ka.join(kb.hint("merge"), ["lvl", "pre", "k1", "k2", "k3"])
             .where((F.col("a") != F.col("b"))
                    & (common_prefix4(F.col("a"), F.col("b")) == lvl)
-                   & (F.least(la, lb) > _bound(bounds, lvl) * longest))
-            .select("a", "b", "lvl", "la", "lb").distinct())
-
-    pruned = (cand.join(ta.select(F.col("name").alias("a"), F.col("toks").alias("ta")), "a")
-              .join(tb.select(F.col("name").alias("b"), F.col("toks").alias("tb")), "b")
-              .where(F.size(F.array_intersect("ta", "tb")) > _bound(bounds, lvl) * longest)
-              .select("a", "b"))
-    fuzzy = (pruned.withColumn("sim", jaro_winkler_verify_udf(F.col("a"), F.col("b")))
+                   & (F.least(la, lb) > _bound(bounds, lvl) * longest)
+                   & (F.size(F.array_intersect("ta", "tb")) > _bound(bounds, lvl) * longest))
+            .select("a", "b").distinct())
+    fuzzy = (cand.withColumn("sim", jaro_winkler_verify_udf(F.col("a"), F.col("b")))
              .where(F.col("sim") > F.lit(threshold)))
-    return equal.unionByName(fuzzy)
+    pairs = equal.unionByName(fuzzy)
+    if not materialize:
+        return pairs
+    # the matches are few; write them once to the shared checkpoint folder so
+    # later steps do not recompute the candidate join, then free the cache
+    ensure_checkpoint_dir(pairs.sparkSession)
+    pairs = pairs.checkpoint(eager=True)
+    a_names.unpersist()
+    b_names.unpersist()
+    return pairs

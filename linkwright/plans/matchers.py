@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from ..functions.similarity import jaro_winkler_udf
 from ..functions.text import clean_account_name, clean_german_road, split_house_number
 from ..operators.fuzzy_join import jaro_winkler_join
 from ..operators.topk import best_per_group
+from ..session import ensure_checkpoint_dir
 
 MatcherFunc = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -28,13 +30,16 @@ ADDRESS_NAME_MIN_SIM = 0.7  # reference value for the name guard after an addres
 
 def match_by_name(firms: DataFrame, accounts: DataFrame,
                   threshold: float = NAME_THRESHOLD,
-                  drop_empty_keys: bool = False) -> DataFrame:
+                  drop_empty_keys: bool = False, materialize: bool = True) -> DataFrame:
     """Name matcher (M1): cleaned ``coalesce(name, kuerzel)`` against cleaned
     ``Account_Name``; equal keys or Jaro-Winkler above ``threshold``; the best
     account per firm by similarity, then smallest ``Id``.
 
     Returns ``(rec_id, Id, sim, mc, zc)``. Equal empty keys pair with sim 0.0
-    as in the reference; ``drop_empty_keys=True`` removes them.
+    as in the reference; ``drop_empty_keys=True`` removes them. With
+    ``materialize`` the cleaned inputs are cached while the match runs and the
+    proposals (one row per matched firm) are checkpointed, like the reference's
+    temporary match table; otherwise a lazy plan is returned.
     """
     m = firms.select("rec_id", clean_account_name(
         F.coalesce(F.trim("name"), F.trim("kuerzel"))).alias("mc"))
@@ -42,14 +47,22 @@ def match_by_name(firms: DataFrame, accounts: DataFrame,
                         clean_account_name("Account_Name").alias("zc"))
     if drop_empty_keys:
         m, z = m.where(F.col("mc") != ""), z.where(F.col("zc") != "")
+    if materialize:
+        m, z = m.persist(StorageLevel.MEMORY_AND_DISK), z.persist(StorageLevel.MEMORY_AND_DISK)
     # equal keys score equally, so per key only the smallest Id can win;
     # this aggregate combines map-side even when one key holds many accounts
     best_id = z.where(F.col("zc").isNotNull()).groupBy("zc").agg(F.min("Id").alias("Id"))
-    pairs = jaro_winkler_join(m.select("mc"), z.select("zc"), threshold)
+    pairs = jaro_winkler_join(m.select("mc"), z.select("zc"), threshold, materialize=materialize)
     scored = pairs.join(best_id, pairs.b == best_id.zc).select(
         F.col("a").alias("mc"), "zc", "sim", "Id")
     best = best_per_group(scored, ["mc"], [("sim", True), ("Id", False)], payload=["zc"])
-    return m.join(best, "mc").select("rec_id", "Id", "sim", "mc", "zc")
+    proposals = m.join(best, "mc").select("rec_id", "Id", "sim", "mc", "zc")
+    if materialize:
+        ensure_checkpoint_dir(proposals.sparkSession)
+        proposals = proposals.checkpoint(eager=True)
+        m.unpersist()
+        z.unpersist()
+    return proposals
 
 
 def address_features(df: DataFrame, street: str, code: str) -> DataFrame:

@@ -39,6 +39,9 @@ def build_session(master: str | None = None, app_name: str = "linkwright",
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
