@@ -46,12 +46,17 @@ def profile_table(df: DataFrame, table_name: str, max_list: int = MAX_LIST) -> D
         F.sum("n").alias("total_rows"),
         F.sum(F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
         F.count("v").alias("distinct_values"))
-    short = stats.where(F.col("distinct_values") < max_list).select("column_name")
+    # Every consumer below reads ``n`` so that all three uses of ``grouped``
+    # stay the same plan: Spark then reuses its shuffle, and the table is
+    # scanned once (ReusedExchange in the plan).
+    present = F.col("n") > 0
+    short = (stats.where((F.col("distinct_values") < max_list) & (F.col("total_rows") > 0))
+             .select("column_name"))
     # at most one row per column: bounded by the schema, safe to broadcast
     lists = (grouped.join(F.broadcast(short), "column_name")
              .groupBy("column_name")
-             .agg(F.collect_list("v").alias("_vals"),
-                  F.max(F.col("v").isNull()).alias("_has_null")))
+             .agg(F.collect_list(F.when(present, F.col("v"))).alias("_vals"),
+                  F.max(present & F.col("v").isNull()).alias("_has_null")))
     lists = lists.select("column_name", F.when(
         F.col("_has_null"), F.concat(F.array_sort("_vals"), F.array(F.lit(None).cast("string"))))
         .otherwise(F.array_sort("_vals")).alias("list_distinct_values"))

@@ -30,3 +30,12 @@ def test_profile_has_no_expand(spark):
     df = spark.range(100).selectExpr("id", "cast(id % 7 as string) s", "id * 2 as t")
     plan = profile_table(df, "p")._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
+
+
+def test_profile_scans_each_table_once(spark, tmp_path):
+    spark.range(200).selectExpr("id", "cast(id % 7 as string) s").write.parquet(str(tmp_path / "t"))
+    df = profile_table(spark.read.parquet(str(tmp_path / "t")), "t")
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+    assert "ReusedExchange" in final
