@@ -68,8 +68,8 @@ def test_titles_equal_brute_force(spark):
 
 
 def test_key_sizes():
-    assert key_sizes(match_fraction_bounds(0.95)) == [3, 2, 2, 2, 2]
-    assert key_sizes(match_fraction_bounds(0.75))[4] == 1
+    assert key_sizes(match_fraction_bounds(0.95)) == [3, 1, 1, 1, 1]
+    assert key_sizes(match_fraction_bounds(0.85)) == [2, 1, 1, 1, 1]
 
 
 def test_plan_has_no_nested_loop(spark):
