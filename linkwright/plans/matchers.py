@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.address import parse_address_line
-from ..functions.similarity import jaro_winkler_udf
+from ..functions.similarity import jaro_winkler_verify_udf
 from ..functions.text import clean_account_name, clean_german_road, split_house_number
 from ..operators.fuzzy_join import jaro_winkler_join
 from ..operators.topk import best_per_group
@@ -108,11 +108,22 @@ def match_by_address(firms: DataFrame, accounts: DataFrame,
                   "postcode", F.col("house_number").alias("a_hn"),
                   F.col("house_num_1").alias("a_h1"), F.col("house_num_2").alias("a_h2"),
                   clean_account_name("Account_Name").alias("a_clean"))
-    # two equi keys drive a hash join; the OR on house numbers stays residual
-    joined = fl.join(ar, (fl.road_cleaned == ar.a_road) & (fl.plz == ar.postcode)
-                     & ((fl.f_hn == ar.a_hn) | (fl.f_h1 == ar.a_h1) | (fl.f_h2 == ar.a_h2)))
+    # The OR over three house-number forms becomes one equi-join on
+    # (road, postcode, form, value): each side has a row per non-NULL form, and
+    # a pair is kept only under the first form that matches, so every pair
+    # appears once. No address group is ever joined pair-by-pair.
+    fk = _house_number_keys(fl, "f")
+    ak = _house_number_keys(ar, "a")
+    joined = fk.join(ak, (fk.road_cleaned == ak.a_road) & (fk.plz == ak.postcode)
+                     & (fk._form == ak._aform) & (fk._val == ak._aval))
+    eq = lambda x, y: F.coalesce(F.col(x) == F.col(y), F.lit(False))
+    form = F.col("_form")
+    joined = joined.where((form == 0)
+                          | ((form == 1) & ~eq("f_hn", "a_hn"))
+                          | ((form == 2) & ~eq("f_hn", "a_hn") & ~eq("f_h1", "a_h1")))
     # containment is native and cheap; the UDF runs once per joined pair
-    scored = joined.withColumn("similarity", jaro_winkler_udf(F.col("f_clean"), F.col("a_clean")))
+    scored = joined.withColumn("similarity",
+                               jaro_winkler_verify_udf(F.col("f_clean"), F.col("a_clean")))
     kept = scored.where((F.col("similarity") > F.lit(min_sim))
                         | F.col("a_clean").contains(F.col("f_clean"))
                         | F.col("f_clean").contains(F.col("a_clean")))
@@ -121,6 +132,14 @@ def match_by_address(firms: DataFrame, accounts: DataFrame,
     return best.withColumnRenamed("f_hn", "house_number")
 
 
+def _house_number_keys(df: DataFrame, side: str) -> DataFrame:
+    forms = F.array(*[F.struct(F.lit(i).alias("form"), F.col(f"{side}_{c}").alias("val"))
+                      for i, c in enumerate(("hn", "h1", "h2"))])
+    p = "" if side == "f" else "a"
+    out = df.withColumn("_hk", F.explode(forms)).where(F.col("_hk.val").isNotNull())
+    return out.withColumns({f"_{p}form": F.col("_hk.form"), f"_{p}val": F.col("_hk.val")}).drop("_hk")
+
+
 @dataclass
 class Matcher:
     name: str
