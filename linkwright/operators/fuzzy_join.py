@@ -39,6 +39,7 @@ from ..session import ensure_checkpoint_dir
 # instead of broadcast (it is at most alphabet size x longest name).
 TOKEN_TABLE_BROADCAST_ROWS = 1_000_000
 _EPS = 1e-9
+_KEY_JOIN_HINT = "merge"
 _OCC_RANGE = 1 << 20  # occurrence numbers below this fit in a token id
 
 
@@ -80,19 +81,21 @@ def _ordered_tokens(raw: DataFrame, freq: DataFrame) -> DataFrame:
     return ordered.select("name", "n", F.expr("transform(ts, x -> x.tid)").alias("toks"))
 
 
-def _subsets_sql(arr: str, k: int) -> str:
-    """SQL for all k-subsets (k <= 3) of ``arr``, in order, as
-    struct(k1, k2, k3) with 0 for unused slots."""
-    e = lambda i: f"element_at({arr}, {i})"
+def _subsets_sql(plen: str, k: int) -> str:
+    """SQL for all k-subsets (k <= 3) of the first ``plen`` entries of
+    ``toks``, in order, as struct(k1, k2, k3) with 0 for unused slots. The
+    prefix is indexed in place, never copied."""
+    e = lambda i: f"element_at(toks, {i})"
     if k == 1:
-        return f"transform({arr}, x -> named_struct('k1', x, 'k2', 0L, 'k3', 0L))"
+        return (f"transform(sequence(1, {plen}), "
+                f"i -> named_struct('k1', {e('i')}, 'k2', 0L, 'k3', 0L))")
     if k == 2:
-        return (f"if(size({arr}) < 2, array(), flatten(transform(sequence(1, size({arr}) - 1), "
-                f"i -> transform(sequence(i + 1, size({arr})), "
+        return (f"if({plen} < 2, array(), flatten(transform(sequence(1, {plen} - 1), "
+                f"i -> transform(sequence(i + 1, {plen}), "
                 f"j -> named_struct('k1', {e('i')}, 'k2', {e('j')}, 'k3', 0L)))))")
-    return (f"if(size({arr}) < 3, array(), flatten(flatten(transform(sequence(1, size({arr}) - 2), "
-            f"i -> transform(sequence(i + 1, size({arr}) - 1), "
-            f"j -> transform(sequence(j + 1, size({arr})), "
+    return (f"if({plen} < 3, array(), flatten(flatten(transform(sequence(1, {plen} - 2), "
+            f"i -> transform(sequence(i + 1, {plen} - 1), "
+            f"j -> transform(sequence(j + 1, {plen}), "
             f"h -> named_struct('k1', {e('i')}, 'k2', {e('j')}, 'k3', {e('h')})))))))")
 
 
@@ -108,24 +111,34 @@ def key_sizes(bounds: list[float]) -> list[int]:
     length (measured on sf0.1 titles: k=2 there cut candidates by under half
     but multiplied key rows, and was slower overall).
     """
-    sizes = []
-    for lvl, b in enumerate(bounds):
-        best = 3 if b * 3 > 2 else 2 if b * 2 > 1 else 1
-        sizes.append(best if lvl == 0 else 1)
-    return sizes
+    return [k if lvl == 0 else 1 for lvl, k in enumerate(max_key_sizes(bounds))]
+
+
+def max_key_sizes(bounds: list[float]) -> list[int]:
+    """Largest lossless subset size (at most 3) per level."""
+    return [3 if b * 3 > 2 else 2 if b * 2 > 1 else 1 for b in bounds]
+
+
+def _prefix_lengths(bounds: list[float], sizes: list[int]) -> dict[str, Column]:
+    """Per level, the number of leading tokens to index:
+    ``n - floor(B_l * n) - 1 + k``, at most n; 0 when the name is shorter
+    than the level."""
+    n = F.col("n")
+    out = {}
+    for lvl, (b, k) in enumerate(zip(bounds, sizes)):
+        plen = F.least(n, n - F.floor(F.lit(b) * n - _EPS).cast("int") - 1 + k)
+        out[f"_p{lvl}"] = F.when(n >= lvl, plen).otherwise(F.lit(0))
+    return out
 
 
 def _keys_expr(bounds: list[float], sizes: list[int]) -> Column:
-    """array<struct<lvl, pre, k1, k2, k3>> of a (name, n, toks) row."""
+    """array<struct<lvl, pre, k1, k2, k3>> of a (name, toks, _p0.._p4) row."""
     per_level = []
-    for lvl, (b, k) in enumerate(zip(bounds, sizes)):
-        # prefix length: n - floor(B_l * n) - 1 + k, at most n
-        plen = f"least(n, n - cast(floor({b!r} * n - {_EPS}) as int) - 1 + {k})"
-        subsets = _subsets_sql(f"slice(toks, 1, {plen})", k)
+    for lvl, k in enumerate(sizes):
+        subsets = _subsets_sql(f"_p{lvl}", k)
         per_level.append(
-            f"if(n >= {lvl}, transform({subsets}, s -> named_struct("
-            f"'lvl', {lvl}, 'pre', left(name, {lvl}), 'k1', s.k1, 'k2', s.k2, 'k3', s.k3)), "
-            f"array())")
+            f"if(_p{lvl} = 0, array(), transform({subsets}, s -> named_struct("
+            f"'lvl', {lvl}, 'pre', left(name, {lvl}), 'k1', s.k1, 'k2', s.k2, 'k3', s.k3)))")
     return F.expr("flatten(array(" + ", ".join(per_level) + "))")
 
 
@@ -145,7 +158,7 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     bounds = match_fraction_bounds(threshold)
     sizes = key_sizes(bounds)
     if key_sizes_override is not None:
-        if any(o > s for o, s in zip(key_sizes_override, sizes)):
+        if any(o > s for o, s in zip(key_sizes_override, max_key_sizes(bounds))):
             raise ValueError(f"key sizes {key_sizes_override} are not lossless here")
         sizes = list(key_sizes_override)
     lc = left_col or left.columns[0]
@@ -161,15 +174,17 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
 
     raw_a, raw_b = _raw_tokens(a_names), _raw_tokens(b_names)
     freq = (raw_a.select("tid").unionByName(raw_b.select("tid"))
-            .groupBy("tid").agg(F.count(F.lit(1)).alias("f")))
+            .groupBy("tid").agg(F.count(F.lit(1)).alias("f"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
     # size check before broadcasting: small, but its size depends on the data
     if freq.count() <= TOKEN_TABLE_BROADCAST_ROWS:
         freq = F.broadcast(freq)
 
     keys = _keys_expr(bounds, sizes)
-    ka = _ordered_tokens(raw_a, freq).select(
+    plens = _prefix_lengths(bounds, sizes)
+    ka = _ordered_tokens(raw_a, freq).withColumns(plens).select(
         F.col("name").alias("a"), F.col("n").alias("la"), F.col("toks").alias("ta"), F.inline(keys))
-    kb = _ordered_tokens(raw_b, freq).select(
+    kb = _ordered_tokens(raw_b, freq).withColumns(plens).select(
         F.col("name").alias("b"), F.col("n").alias("lb"), F.col("toks").alias("tb"), F.inline(keys))
     lvl, la, lb = F.col("lvl"), F.col("la"), F.col("lb")
     longest = F.greatest(la, lb)
@@ -177,7 +192,7 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     # any deduplication; only pairs that can still match reach the distinct
     # both key sides grow with the data: never broadcast them (a sort-merge join
     # spills instead of failing, and AQE splits skewed key partitions)
-    cand = (ka.join(kb.hint("merge"), ["lvl", "pre", "k1", "k2", "k3"])
+    cand = (ka.join(kb.hint(_KEY_JOIN_HINT), ["lvl", "pre", "k1", "k2", "k3"])
             .where((F.col("a") != F.col("b"))
                    & (common_prefix4(F.col("a"), F.col("b")) == lvl)
                    & (F.least(la, lb) > _bound(bounds, lvl) * longest)
@@ -192,6 +207,6 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     # later steps do not recompute the candidate join, then free the cache
     ensure_checkpoint_dir(pairs.sparkSession)
     pairs = pairs.checkpoint(eager=True)
-    a_names.unpersist()
-    b_names.unpersist()
+    for cached in (a_names, b_names, freq):
+        cached.unpersist()
     return pairs
