@@ -103,10 +103,12 @@ def _discover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["path", "table_name", "row_tag", "empty_columns"])
 
 
-def discover(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per ``*.xml`` file: ``(path, table_name, row_tag, empty_columns)``."""
+def discover(spark: SparkSession, folder: str | list[str]) -> DataFrame:
+    """One row per ``*.xml`` file of one or more folders:
+    ``(path, table_name, row_tag, empty_columns)``."""
+    folders = [folder] if isinstance(folder, str) else list(folder)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xml")
-             .load(folder).select("path"))
+             .load(folders).select("path"))
     return files.mapInPandas(_discover, _DISCOVERY_SCHEMA)
 
 
@@ -140,8 +142,9 @@ def _empty_table(spark: SparkSession, columns: list[str]) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def load_xml_dump(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every table of an XML dump folder (M10) -> ``{table_name: DataFrame}``.
+def load_xml_dump(spark: SparkSession, folder: str | list[str]) -> dict[str, DataFrame]:
+    """Every table of an XML dump (M10), one folder or several ->
+    ``{table_name: DataFrame}``.
 
     The discovery result is file metadata (one row per file), so it is
     collected to plan one XML read per ``(table, row tag)``.
