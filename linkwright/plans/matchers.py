@@ -109,18 +109,20 @@ def match_by_address(firms: DataFrame, accounts: DataFrame,
                   F.col("house_num_1").alias("a_h1"), F.col("house_num_2").alias("a_h2"),
                   clean_account_name("Account_Name").alias("a_clean"))
     # The OR over three house-number forms becomes one equi-join on
-    # (road, postcode, form, value): each side has a row per non-NULL form, and
-    # a pair is kept only under the first form that matches, so every pair
-    # appears once. No address group is ever joined pair-by-pair.
+    # (road, postcode, form, value): each side has a row per non-NULL form.
+    # Accounts at one key with the same cleaned name score the same, so only
+    # the smallest Id among them can win: they collapse first (map-side
+    # combined), which bounds the pairs at a crowded address by distinct names.
+    # A pair matching under several forms appears more than once; the top-1
+    # aggregate below absorbs that.
     fk = _house_number_keys(fl, "f")
-    ak = _house_number_keys(ar, "a")
+    ak = (_house_number_keys(ar, "a")
+          .groupBy("a_road", "postcode", "_aform", "_aval", "a_clean")
+          .agg(F.min(F.struct("Id", "Account_Name")).alias("_acc"))
+          .select("a_road", "postcode", "_aform", "_aval", "a_clean",
+                  F.col("_acc.Id").alias("Id"), F.col("_acc.Account_Name").alias("Account_Name")))
     joined = fk.join(ak, (fk.road_cleaned == ak.a_road) & (fk.plz == ak.postcode)
                      & (fk._form == ak._aform) & (fk._val == ak._aval))
-    eq = lambda x, y: F.coalesce(F.col(x) == F.col(y), F.lit(False))
-    form = F.col("_form")
-    joined = joined.where((form == 0)
-                          | ((form == 1) & ~eq("f_hn", "a_hn"))
-                          | ((form == 2) & ~eq("f_hn", "a_hn") & ~eq("f_h1", "a_h1")))
     # containment is native and cheap; the UDF runs once per joined pair
     scored = joined.withColumn("similarity",
                                jaro_winkler_verify_udf(F.col("f_clean"), F.col("a_clean")))
