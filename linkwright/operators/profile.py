@@ -92,6 +92,14 @@ def profile_tables(tables: Mapping[str, DataFrame], max_list: int = MAX_LIST,
     return out
 
 
+def catalog_tables(spark, database: str) -> dict:
+    """Base tables of a catalog database as ``{name: DataFrame}`` (P13):
+    managed and external tables only, no views or temporary tables."""
+    return {t.name: spark.table(f"{database}.{t.name}")
+            for t in spark.catalog.listTables(database)
+            if not t.isTemporary and (t.tableType or "").upper() in ("MANAGED", "EXTERNAL")}
+
+
 def empty_tables(tables: Mapping[str, DataFrame]) -> list[str]:
     """Names of tables without rows (D5). The reference drops them while
     profiling; here the caller decides (nothing is dropped by default)."""

@@ -25,6 +25,12 @@ def stage_firms(firms: DataFrame) -> DataFrame:
     return firms.withColumns({"name": F.trim("name"), "kuerzel": F.trim("kuerzel")})
 
 
+def stage_accounts(accounts: DataFrame) -> DataFrame:
+    """Staged account names: ``Id`` and trimmed ``Account_Name``.
+    The matchers clean names themselves, so trimming never changes a match."""
+    return accounts.select("Id", F.trim("Account_Name").alias("Account_Name"))
+
+
 def _cut_lineage(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -73,3 +73,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared checkpoint dir for intermediate tables."""
     return f"{ensure_checkpoint_dir(spark)}/scratch/{purpose}-{uuid.uuid4().hex}"
+
+
+def connection_check(spark: SparkSession):
+    """One row with the session's clock, engine version and current database
+    (F21), the equivalent of the reference's connection test query."""
+    return spark.sql("select current_timestamp() as now, version() as version, "
+                     "current_database() as database")

@@ -176,3 +176,16 @@ def write_xml(df: DataFrame, path: str, table_name: str, root_tag: str = "table"
     text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     (text.write.mode(mode).format("xml").option("rowTag", ROW_TAG)
      .option("rootTag", f'{root_tag} name="{table_name}"').save(path))
+
+
+def save_dump(tables: dict[str, DataFrame], target: str, mode: str = "overwrite",
+              fmt: str = "parquet", database: str | None = None) -> None:
+    """Write every loaded table (S7, S8): under ``target/<table>`` or, with
+    ``database``, as catalog tables ``database.<table>``. The default
+    ``overwrite`` makes a re-run idempotent; ``append`` adds rows instead."""
+    for name, df in tables.items():
+        writer = df.write.mode(mode).format(fmt)
+        if database:
+            writer.saveAsTable(f"{database}.{name}")
+        else:
+            writer.save(f"{target.rstrip('/')}/{name}")

@@ -58,3 +58,20 @@ def test_na_tokens(spark):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     got = [r[0] for r in na_tokens_to_null(df).collect()]
     assert got == [None] * 11 + ["Nil", "na", "-", "x"]
+
+
+def test_sql_functions_match_column_functions(spark):
+    from linkwright.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    df = spark.createDataFrame([(v,) for v, _ in CLEAN], "v string")
+    df.createOrReplaceTempView("names_for_sql")
+    got = [r[0] for r in spark.sql("select clean_account_name(v) from names_for_sql").collect()]
+    assert got == [e for _, e in CLEAN]
+    r = spark.sql("select jaro_winkler_similarity('martha', 'marhta') as s").first()
+    assert round(r.s, 6) == 0.961111
+
+
+def test_connection_check(spark):
+    from linkwright.session import connection_check
+    r = connection_check(spark).first()
+    assert r.version and r.database
