@@ -27,6 +27,8 @@ shorter pairs match only when equal (step 1). k=1 is always valid.
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,27 +121,52 @@ def max_key_sizes(bounds: list[float]) -> list[int]:
     return [3 if b * 3 > 2 else 2 if b * 2 > 1 else 1 for b in bounds]
 
 
-def _prefix_lengths(bounds: list[float], sizes: list[int]) -> dict[str, Column]:
-    """Per level, the number of leading tokens to index:
-    ``n - floor(B_l * n) - 1 + k``, at most n; 0 when the name is shorter
-    than the level."""
+# Level-0 names up to this length use the largest valid k; longer ones k-1.
+LONG_NAME = 40
+
+
+def key_families(bounds: list[float], sizes: list[int]) -> list[tuple[int, int, int, int]]:
+    """(level, k, min_len, max_len) key families.
+
+    At a level with k >= 3, C(p, k) keys per name grow fast for long names, so
+    names longer than ``LONG_NAME`` use k-1 instead. A matching pair has
+    ``min > B_l * max``; hence if its longest name exceeds ``LONG_NAME`` both
+    names are at least ``floor(B_l * LONG_NAME) + 1`` long, and names in that
+    overlap carry both families: every pair shares a family. Keys of the two
+    families never collide (the third slot is 0 only for k < 3).
+    """
+    fams = []
+    for lvl, (b, k) in enumerate(zip(bounds, sizes)):
+        if k >= 3:
+            fams.append((lvl, k, 0, LONG_NAME))
+            fams.append((lvl, k - 1, math.floor(b * LONG_NAME - _EPS) + 1, 1 << 30))
+        else:
+            fams.append((lvl, k, 0, 1 << 30))
+    return fams
+
+
+def _prefix_lengths(bounds: list[float], families) -> dict[str, Column]:
+    """Per family, the number of leading tokens to index:
+    ``n - floor(B_l * n) - 1 + k``, at most n; 0 when the name is shorter than
+    the level or outside the family's length range."""
     n = F.col("n")
     out = {}
-    for lvl, (b, k) in enumerate(zip(bounds, sizes)):
+    for i, (lvl, k, lo, hi) in enumerate(families):
+        b = bounds[lvl]
         plen = F.least(n, n - F.floor(F.lit(b) * n - _EPS).cast("int") - 1 + k)
-        out[f"_p{lvl}"] = F.when(n >= lvl, plen).otherwise(F.lit(0))
+        out[f"_p{i}"] = F.when((n >= lvl) & (n >= lo) & (n <= hi), plen).otherwise(F.lit(0))
     return out
 
 
-def _keys_expr(bounds: list[float], sizes: list[int]) -> Column:
-    """array<struct<lvl, pre, k1, k2, k3>> of a (name, toks, _p0.._p4) row."""
-    per_level = []
-    for lvl, k in enumerate(sizes):
-        subsets = _subsets_sql(f"_p{lvl}", k)
-        per_level.append(
-            f"if(_p{lvl} = 0, array(), transform({subsets}, s -> named_struct("
+def _keys_expr(families) -> Column:
+    """array<struct<lvl, pre, k1, k2, k3>> of a (name, toks, _p*) row."""
+    per_family = []
+    for i, (lvl, k, _, _) in enumerate(families):
+        subsets = _subsets_sql(f"_p{i}", k)
+        per_family.append(
+            f"if(_p{i} = 0, array(), transform({subsets}, s -> named_struct("
             f"'lvl', {lvl}, 'pre', left(name, {lvl}), 'k1', s.k1, 'k2', s.k2, 'k3', s.k3)))")
-    return F.expr("flatten(array(" + ", ".join(per_level) + "))")
+    return F.expr("flatten(array(" + ", ".join(per_family) + "))")
 
 
 def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95,
@@ -180,8 +207,9 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     if freq.count() <= TOKEN_TABLE_BROADCAST_ROWS:
         freq = F.broadcast(freq)
 
-    keys = _keys_expr(bounds, sizes)
-    plens = _prefix_lengths(bounds, sizes)
+    families = key_families(bounds, sizes)
+    keys = _keys_expr(families)
+    plens = _prefix_lengths(bounds, families)
     ka = _ordered_tokens(raw_a, freq).withColumns(plens).select(
         F.col("name").alias("a"), F.col("n").alias("la"), F.col("toks").alias("ta"), F.inline(keys))
     kb = _ordered_tokens(raw_b, freq).withColumns(plens).select(

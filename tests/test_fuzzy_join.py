@@ -45,7 +45,11 @@ def _brute(left, right, threshold):
 def test_equals_brute_force(spark, threshold):
     base = ["mullersohne", "acmeindustries", "berlinerbank", "ab", "a", "", "zz",
             "schmidtundpartner", "hauptbahnhof", "nordlicht", "x1", "abcd", "abdc",
-            "qqqqqqqqqqqqqqqqqqqq", "marhta", "martha", "dwayne", "duane"]
+            "qqqqqqqqqqqqqqqqqqqq", "marhta", "martha", "dwayne", "duane",
+            # around the long-name boundary of level-0 key families (35-48)
+            "niederlassungnordverwaltungsgesellsch", "niederlassungnordverwaltungsgesellschaft",
+            "stadtwerkeniederlassungnordverwaltungsgesellschaft",
+            "abcdefghijklmnopqrstuvwxyz0123456789ab", "bacdefghijklmnopqrstuvwxyz0123456789abcdef"]
     left = base + _mutations(base, 1)
     right = base[::2] + _mutations(base, 2) + [None]
     got = jaro_winkler_join(spark.createDataFrame([(x,) for x in left], "n string"),
