@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,8 +68,19 @@ def link(firms: DataFrame, accounts: DataFrame, state: DataFrame | None = None,
     registry = registry or default_registry()
     if enabled is not None:
         registry.enable_only(enabled)
-    firms = stage_firms(firms)
-    state = state if state is not None else empty_crosswalk(spark)
-    state = ensure_all_keys(state, firms)
-    state = run_waterfall(firms, accounts, state, registry, checkpoint=checkpoint)
+    # every matcher reads both inputs; keep them (memory, then disk) for the
+    # duration of the job instead of recomputing them per matcher
+    firms = stage_firms(firms).persist(StorageLevel.MEMORY_AND_DISK)
+    accounts = accounts.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        state = state if state is not None else empty_crosswalk(spark)
+        state = ensure_all_keys(state, firms)
+        if checkpoint:
+            state = _cut_lineage(state)
+        state = run_waterfall(firms, accounts, state, registry, checkpoint=checkpoint)
+    finally:
+        if checkpoint:
+            # the state no longer depends on the cached inputs
+            firms.unpersist()
+            accounts.unpersist()
     return state, match_summary(state)
