@@ -130,7 +130,11 @@ def write_zip_export(df: DataFrame, folder: str, module: str) -> int:
                 n += 1
         if n == 0:
             return
-        name = f"{module}{ARCHIVE_SUFFIX[:-4]}-{run}-{_uuid.uuid4().hex[:8]}.zip"
+        # named by partition, not by attempt: a retried task (lost executor)
+        # rewrites the same archive instead of adding a second copy
+        from pyspark import TaskContext
+        part = TaskContext.get().partitionId()
+        name = f"{module}{ARCHIVE_SUFFIX[:-4]}-{run}-{part:05d}.zip"
         with _open_output(f"{base}/{name}") as out:
             data = io.BytesIO()
             with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as zf:
