@@ -9,6 +9,7 @@ rounded to 6 digits and lists are rendered as sorted text on both sides.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,15 +77,23 @@ def address_parts(spark: SparkSession, sf: str) -> DataFrame:
         parts(accounts, "accounts", "Id", "Billing_Street", "Billing_Code"))
 
 
+def _cached(*frames: DataFrame) -> list[DataFrame]:
+    return [f.persist(StorageLevel.MEMORY_AND_DISK) for f in frames]
+
+
 def address_match(spark: SparkSession, sf: str) -> DataFrame:
     """M2: address matches of the firms the name matcher left unmatched."""
-    firms = stage_firms(derived.firms(spark, sf))
-    accounts = derived.accounts(spark, sf)
+    # both matchers read both inputs: cache them while the query runs, then
+    # keep only the (small) checkpointed result
+    firms, accounts = _cached(stage_firms(derived.firms(spark, sf)), derived.accounts(spark, sf))
     by_name = match_by_name(firms, accounts).select("rec_id")
     unmatched = not_in(firms, "rec_id", by_name)
     p = match_by_address(unmatched, accounts)
-    return p.select("rec_id", F.col("Id").alias("id"),
-                    F.round("similarity", 6).alias("similarity"))
+    out = p.select("rec_id", F.col("Id").alias("id"),
+                   F.round("similarity", 6).alias("similarity")).checkpoint(eager=True)
+    firms.unpersist()
+    accounts.unpersist()
+    return out
 
 
 # -- link state --------------------------------------------------------------
