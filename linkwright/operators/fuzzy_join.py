@@ -84,21 +84,22 @@ def _ordered_tokens(raw: DataFrame, freq: DataFrame) -> DataFrame:
 
 
 def _subsets_sql(plen: str, k: int) -> str:
-    """SQL for all k-subsets (k <= 3) of the first ``plen`` entries of
-    ``toks``, in order, as struct(k1, k2, k3) with 0 for unused slots. The
-    prefix is indexed in place, never copied."""
-    e = lambda i: f"element_at(toks, {i})"
-    if k == 1:
-        return (f"transform(sequence(1, {plen}), "
-                f"i -> named_struct('k1', {e('i')}, 'k2', 0L, 'k3', 0L))")
-    if k == 2:
-        return (f"if({plen} < 2, array(), flatten(transform(sequence(1, {plen} - 1), "
-                f"i -> transform(sequence(i + 1, {plen}), "
-                f"j -> named_struct('k1', {e('i')}, 'k2', {e('j')}, 'k3', 0L)))))")
-    return (f"if({plen} < 3, array(), flatten(flatten(transform(sequence(1, {plen} - 2), "
-            f"i -> transform(sequence(i + 1, {plen} - 1), "
-            f"j -> transform(sequence(j + 1, {plen}), "
-            f"h -> named_struct('k1', {e('i')}, 'k2', {e('j')}, 'k3', {e('h')})))))))")
+    """SQL for all k-subsets (k <= 4) of the first ``plen`` entries of
+    ``toks``, in order, as struct(k1..k4) with 0 for unused slots. The prefix
+    is indexed in place, never copied."""
+    idx = ["i", "j", "h", "g"][:k]
+    slots = ", ".join(f"'k{s + 1}', " + (f"element_at(toks, {idx[s]})" if s < k else "0L")
+                      for s in range(4))
+    body = f"named_struct({slots})"
+    # built inside out: index s runs from the previous index + 1 up to
+    # plen - (k - 1 - s), so every subset is generated once, in order
+    for s in reversed(range(k)):
+        start = "1" if s == 0 else f"{idx[s - 1]} + 1"
+        stop = f"{plen} - {k - 1 - s}" if k - 1 - s else plen
+        body = f"transform(sequence({start}, {stop}), {idx[s]} -> {body})"
+        if s < k - 1:
+            body = f"flatten({body})"
+    return f"if({plen} < {k}, array(), {body})"
 
 
 def key_sizes(bounds: list[float]) -> list[int]:
@@ -111,36 +112,54 @@ def key_sizes(bounds: list[float]) -> list[int]:
     instead of 2.85M pairs, which matters more as the data grows (emitted
     pairs grow with the square of the names, keys linearly).
     """
-    caps = [3, 2, 2, 1, 1]
+    caps = [4, 2, 2, 1, 1]
     return [min(k, cap) for k, cap in zip(max_key_sizes(bounds), caps)]
 
 
 def max_key_sizes(bounds: list[float]) -> list[int]:
-    """Largest lossless subset size (at most 3) per level."""
-    return [3 if b * 3 > 2 else 2 if b * 2 > 1 else 1 for b in bounds]
+    """Largest lossless subset size per level (at most 4).
+
+    k tokens are shared by every matching pair whose longest name has k or more
+    characters when ``B_l * k > k - 1``. Shorter pairs must match only when
+    equal (the equality join covers them). Names of at most 3 characters have
+    a Jaro window of 0: a non-equal pair of at most 2 characters scores at most
+    2/3, and at level 0 (first characters differ) one of 3 characters scores at
+    most 7/9. So k=3 needs a threshold above 2/3, and k=4 is used only at level 0
+    with a threshold above 7/9.
+    """
+    out = []
+    for lvl, b in enumerate(bounds):
+        k = 3 if b * 3 > 2 else 2 if b * 2 > 1 else 1
+        # at level 0 the threshold on jaro is J_0 = (B_0 + 2) / 3
+        if lvl == 0 and b * 4 > 3 and (b + 2.0) / 3.0 > 7.0 / 9.0:
+            k = 4
+        out.append(k)
+    return out
 
 
-# Level-0 names up to this length use the largest valid k; longer ones k-1.
+# Names up to this length use a level's largest k; each band of 1.5x longer
+# names uses one token less, down to single tokens.
 LONG_NAME = 40
 
 
 def key_families(bounds: list[float], sizes: list[int]) -> list[tuple[int, int, int, int]]:
     """(level, k, min_len, max_len) key families.
 
-    At a level with k >= 2, C(p, k) keys per name grow fast for long names, so
-    names longer than ``LONG_NAME`` use k-1 instead. A matching pair has
-    ``min > B_l * max``; hence if its longest name exceeds ``LONG_NAME`` both
-    names are at least ``floor(B_l * LONG_NAME) + 1`` long, and names in that
-    overlap carry both families: every pair shares a family. Keys of the two
-    families never collide (a slot is 0 exactly when k is below its index).
+    C(p, k) keys per name grow fast for long names, so at a level with k >= 2
+    band ``i`` (names up to ``LONG_NAME * 1.5**i``) uses ``k - i``. A matching
+    pair has ``min > B_l * max``: if its longest name is in band i, both names
+    are at least ``floor(B_l * top of band i-1) + 1`` long, so bands overlap by
+    that much and every pair lies entirely inside one band. Keys of different
+    k never collide (a slot is 0 exactly when k is below its index).
     """
     fams = []
     for lvl, (b, k) in enumerate(zip(bounds, sizes)):
-        if k >= 2:
-            fams.append((lvl, k, 0, LONG_NAME))
-            fams.append((lvl, k - 1, math.floor(b * LONG_NAME - _EPS) + 1, 1 << 30))
-        else:
-            fams.append((lvl, k, 0, 1 << 30))
+        lo, top = 0, float(LONG_NAME)
+        for kk in range(k, 0, -1):
+            hi = int(top) if kk > 1 else 1 << 30
+            fams.append((lvl, kk, lo, hi))
+            lo = math.floor(b * int(top) - _EPS) + 1
+            top *= 1.5
     return fams
 
 
@@ -158,13 +177,14 @@ def _prefix_lengths(bounds: list[float], families) -> dict[str, Column]:
 
 
 def _keys_expr(families) -> Column:
-    """array<struct<lvl, pre, k1, k2, k3>> of a (name, toks, _p*) row."""
+    """array<struct<lvl, pre, k1, k2, k3, k4>> of a (name, toks, _p*) row."""
     per_family = []
     for i, (lvl, k, _, _) in enumerate(families):
         subsets = _subsets_sql(f"_p{i}", k)
         per_family.append(
             f"if(_p{i} = 0, array(), transform({subsets}, s -> named_struct("
-            f"'lvl', {lvl}, 'pre', left(name, {lvl}), 'k1', s.k1, 'k2', s.k2, 'k3', s.k3)))")
+            f"'lvl', {lvl}, 'pre', left(name, {lvl}), 'k1', s.k1, 'k2', s.k2, 'k3', s.k3, "
+            f"'k4', s.k4)))")
     return F.expr("flatten(array(" + ", ".join(per_family) + "))")
 
 
@@ -219,7 +239,7 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     # any deduplication; only pairs that can still match reach the distinct
     # both key sides grow with the data: never broadcast them (a sort-merge join
     # spills instead of failing, and AQE splits skewed key partitions)
-    cand = (ka.join(kb.hint(_KEY_JOIN_HINT), ["lvl", "pre", "k1", "k2", "k3"])
+    cand = (ka.join(kb.hint(_KEY_JOIN_HINT), ["lvl", "pre", "k1", "k2", "k3", "k4"])
             .where((F.col("a") != F.col("b"))
                    & (common_prefix4(F.col("a"), F.col("b")) == lvl)
                    & (F.least(la, lb) > _bound(bounds, lvl) * longest)

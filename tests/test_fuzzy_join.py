@@ -72,7 +72,7 @@ def test_titles_equal_brute_force(spark):
 
 
 def test_key_sizes():
-    assert key_sizes(match_fraction_bounds(0.95)) == [3, 2, 2, 1, 1]
+    assert key_sizes(match_fraction_bounds(0.95)) == [4, 2, 2, 1, 1]
     assert key_sizes(match_fraction_bounds(0.85)) == [2, 1, 1, 1, 1]
 
 
