@@ -64,11 +64,13 @@ def inspect_xml(stream) -> tuple[str, str | None, list[str] | None]:
     first_child_cols: list[str] | None = None
     current_has_children = False
     current_cols: list[str] = []
+    root = None
     for event, elem in ET.iterparse(stream, events=("start", "end")):
         tag = _local_name(elem.tag)
         if event == "start":
             depth += 1
             if depth == 1:
+                root = elem
                 root_name = elem.attrib.get("name") or tag
             elif tag == ROW_TAG:
                 return root_name, ROW_TAG, None
@@ -84,7 +86,8 @@ def inspect_xml(stream) -> tuple[str, str | None, list[str] | None]:
                 all_children_nested &= current_has_children
                 if first_child_cols is None:
                     first_child_cols = list(current_cols)
-            if depth >= 2:
+                root.clear()   # drop finished children: memory stays constant
+            elif depth > 2:
                 elem.clear()
             depth -= 1
     if child_tags and all_children_nested:
