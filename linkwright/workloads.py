@@ -18,7 +18,7 @@ from .functions.address import parse_address_line
 from .functions.casts import flags_to_double, nan_to_null
 from .functions.text import clean_account_name, clean_german_road, split_house_number
 from .operators.profile import profile_tables
-from .operators.state import ensure_all_keys, fill_null_update, match_summary, not_in
+from .operators.state import ensure_all_keys, fill_null_update, not_in
 from .operators.topk import top_k_per_group
 from .plans.link import link, stage_firms
 from .plans.matchers import match_by_address, match_by_name
