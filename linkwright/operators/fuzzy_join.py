@@ -122,10 +122,11 @@ def max_key_sizes(bounds: list[float]) -> list[int]:
     k tokens are shared by every matching pair whose longest name has k or more
     characters when ``B_l * k > k - 1``. Shorter pairs must match only when
     equal (the equality join covers them). Names of at most 3 characters have
-    a Jaro window of 0: a non-equal pair of at most 2 characters scores at most
-    2/3, and at level 0 (first characters differ) one of 3 characters scores at
-    most 7/9. So k=3 needs a threshold above 2/3, and k=4 is used only at level 0
-    with a threshold above 7/9.
+    a Jaro window of 0. A non-equal pair of at most 2 characters scores at most
+    0.85 (``'a'`` against ``'ab'``), and k=3 is valid only when ``B_l > 2/3``, that
+    is for thresholds above 8/9. At level 0 (first characters differ) a pair of
+    at most 3 characters scores at most 7/9, so k=4 is used only there and
+    above 7/9.
     """
     out = []
     for lvl, b in enumerate(bounds):
