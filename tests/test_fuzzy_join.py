@@ -80,3 +80,17 @@ def test_plan_has_no_nested_loop(spark):
     a = spark.createDataFrame([("abc",)], "n string")
     plan = jaro_winkler_join(a, a)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("threshold,alphabet,seed", [
+    (0.95, "abc", 5), (0.9, "abc", 6), (0.85, "abcd", 7), (0.75, "ab", 8), (0.95, "ab", 9)])
+def test_random_small_alphabet_equals_brute_force(spark, threshold, alphabet, seed):
+    """Small alphabets and short names put many pairs right at the bounds."""
+    rnd = random.Random(seed)
+    base = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 14))) for _ in range(120)]
+    left = base[:60] + _mutations(base[:30], seed)
+    right = base[60:] + _mutations(base[30:60], seed + 100)
+    got = jaro_winkler_join(spark.createDataFrame([(x,) for x in left], "n string"),
+                            spark.createDataFrame([(x,) for x in right], "n string"),
+                            threshold).collect()
+    assert {(r["a"], r["b"], round(r["sim"], 9)) for r in got} == _brute(left, right, threshold)
