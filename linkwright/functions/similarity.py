@@ -22,9 +22,17 @@ WINKLER_BOOST_THRESHOLD = 0.7  # boost only when jaro > 0.7
 
 
 def jaro_winkler(a: str | None, b: str | None) -> float | None:
-    """Jaro-Winkler similarity; NULL -> NULL, an empty side -> 0.0."""
+    """Jaro-Winkler similarity over the UTF-8 bytes of two strings, like the
+    reference's engine (so ``'müller'``/``'muller'`` scores 0.864..., not the
+    0.9 a per-character comparison gives); NULL -> NULL, an empty side -> 0.0.
+    For ASCII text bytes and characters coincide."""
     if a is None or b is None:
         return None
+    return jaro_winkler_seq(a.encode("utf-8"), b.encode("utf-8"))
+
+
+def jaro_winkler_seq(a, b) -> float:
+    """Jaro-Winkler of two sequences (bytes, str, lists of symbols)."""
     la, lb = len(a), len(b)
     if la == 0 or lb == 0:
         return 0.0

@@ -5,13 +5,14 @@ Spark plan a broadcast nested-loop join over all N*M pairs. Here the same result
 comes from equi-joins only:
 
 1. **Equality pairs** -- an equi-join on the name (covers ``'' = ''``).
-2. **Candidate keys** -- a name is a set of ``(char, occurrence#)`` tokens.
+2. **Candidate keys** -- a name is a set of ``(byte, occurrence#)`` tokens
+   (the similarity works on UTF-8 bytes, like the reference's engine).
    ``jw > threshold`` with common prefix l implies more than ``B_l * max(|a|,|b|)``
    shared tokens (``similarity.match_fraction_bounds``). With tokens in one
    global rarest-first order, the prefix-filter principle says two such names
    share their first ``k`` common tokens within the first
    ``n - floor(B_l * n) - 1 + k`` tokens of each. A key is
-   ``(l, first l characters, k-subset of that prefix)``; two matching names
+   ``(l, first l bytes, k-subset of that prefix)``; two matching names
    share one at their own common-prefix level l.
 3. **Native pruning** -- the pair's own level, length ratio and token overlap,
    all JVM expressions.
@@ -54,7 +55,8 @@ def _bound(bounds: list[float], level: Column) -> Column:
 
 
 def common_prefix4(a: Column, b: Column) -> Column:
-    """Common prefix length of two different strings, capped at 4."""
+    """Common prefix length of two different UTF-8 encoded names (binary
+    columns), in bytes, capped at 4 -- the similarity works on bytes."""
     expr = F.lit(0)
     for k in range(1, WINKLER_MAX_PREFIX + 1):
         expr = F.when(F.substring(a, 1, k) == F.substring(b, 1, k), F.lit(k)).otherwise(expr)
@@ -62,18 +64,25 @@ def common_prefix4(a: Column, b: Column) -> Column:
 
 
 def _raw_tokens(names: DataFrame) -> DataFrame:
-    """(name, n, tid): one row per character; ``tid`` encodes the character's
-    code point and its occurrence number in the name, so equal tokens of two
-    names are equal integers and a name's tokens are all distinct.
+    """(name, n, tid): one row per UTF-8 byte (the similarity's unit); ``tid``
+    encodes the byte value and its occurrence number in the name, so equal
+    tokens of two names are equal integers and a name's tokens are distinct.
+    ``n`` is the length in bytes.
 
     ``names`` comes out of a ``distinct`` and is hash-partitioned by name, so
     the window needs no further shuffle.
     """
-    chars = F.expr("regexp_extract_all(name, '(?s).', 0)")
+    # ASCII names (bytes are characters) split cheaply by character; others
+    # by the hex digits of their UTF-8 encoding
+    ascii_only = F.octet_length("name") == F.length("name")
+    units = F.when(ascii_only, F.expr("regexp_extract_all(name, '(?s).', 0)")).otherwise(
+        F.expr("regexp_extract_all(hex(encode(name, 'UTF-8')), '..', 0)"))
     t = (names.where(F.length("name") > 0)
-         .select("name", F.length("name").alias("n"), F.posexplode(chars).alias("pos", "c")))
+         .select("name", F.octet_length("name").alias("n"), ascii_only.alias("_ascii"),
+                 F.posexplode(units).alias("pos", "c")))
     occ = F.row_number().over(Window.partitionBy("name", "c").orderBy("pos"))
-    return t.select("name", "n", (F.ascii("c").cast("long") * _OCC_RANGE + occ).alias("tid"))
+    byte = F.when(F.col("_ascii"), F.ascii("c")).otherwise(F.conv("c", 16, 10)).cast("long")
+    return t.select("name", "n", (byte * _OCC_RANGE + occ).alias("tid"))
 
 
 def _ordered_tokens(raw: DataFrame, freq: DataFrame) -> DataFrame:
@@ -178,13 +187,15 @@ def _prefix_lengths(bounds: list[float], families) -> dict[str, Column]:
 
 
 def _keys_expr(families) -> Column:
-    """array<struct<lvl, pre, k1, k2, k3, k4>> of a (name, toks, _p*) row."""
+    """array<struct<lvl, pre, k1, k2, k3, k4>> of a (nb, toks, _p*) row, where
+    ``nb`` is the UTF-8 encoded name."""
     per_family = []
     for i, (lvl, k, _, _) in enumerate(families):
         subsets = _subsets_sql(f"_p{i}", k)
         per_family.append(
             f"if(_p{i} = 0, array(), transform({subsets}, s -> named_struct("
-            f"'lvl', {lvl}, 'pre', left(name, {lvl}), 'k1', s.k1, 'k2', s.k2, 'k3', s.k3, "
+            f"'lvl', {lvl}, 'pre', substring(nb, 1, {lvl}), "
+            f"'k1', s.k1, 'k2', s.k2, 'k3', s.k3, "
             f"'k4', s.k4)))")
     return F.expr("flatten(array(" + ", ".join(per_family) + "))")
 
@@ -230,10 +241,13 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     families = key_families(bounds, sizes)
     keys = _keys_expr(families)
     plens = _prefix_lengths(bounds, families)
+    # names travel as UTF-8 bytes (the similarity's unit) and are decoded
+    # again only for the few pairs that survive the filters
+    plens["nb"] = F.encode("name", "UTF-8")
     ka = _ordered_tokens(raw_a, freq).withColumns(plens).select(
-        F.col("name").alias("a"), F.col("n").alias("la"), F.col("toks").alias("ta"), F.inline(keys))
+        F.col("nb").alias("a"), F.col("n").alias("la"), F.col("toks").alias("ta"), F.inline(keys))
     kb = _ordered_tokens(raw_b, freq).withColumns(plens).select(
-        F.col("name").alias("b"), F.col("n").alias("lb"), F.col("toks").alias("tb"), F.inline(keys))
+        F.col("nb").alias("b"), F.col("n").alias("lb"), F.col("toks").alias("tb"), F.inline(keys))
     lvl, la, lb = F.col("lvl"), F.col("la"), F.col("lb")
     longest = F.greatest(la, lb)
     # every filter here is on JVM expressions and runs inside the join, before
@@ -245,7 +259,8 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
                    & (common_prefix4(F.col("a"), F.col("b")) == lvl)
                    & (F.least(la, lb) > _bound(bounds, lvl) * longest)
                    & (F.size(F.array_intersect("ta", "tb")) > _bound(bounds, lvl) * longest))
-            .select("a", "b").distinct())
+            .select("a", "b").distinct()
+            .select(F.decode("a", "UTF-8").alias("a"), F.decode("b", "UTF-8").alias("b")))
     fuzzy = (cand.withColumn("sim", jaro_winkler_verify_udf(F.col("a"), F.col("b")))
              .where(F.col("sim") > F.lit(threshold)))
     pairs = equal.unionByName(fuzzy)

@@ -83,7 +83,8 @@ def test_plan_has_no_nested_loop(spark):
 
 
 @pytest.mark.parametrize("threshold,alphabet,seed", [
-    (0.95, "abc", 5), (0.9, "abc", 6), (0.85, "abcd", 7), (0.75, "ab", 8), (0.95, "ab", 9)])
+    (0.95, "abc", 5), (0.9, "abc", 6), (0.85, "abcd", 7), (0.75, "ab", 8), (0.95, "ab", 9),
+    (0.9, "aéßü😀", 10)])
 def test_random_small_alphabet_equals_brute_force(spark, threshold, alphabet, seed):
     """Small alphabets and short names put many pairs right at the bounds."""
     rnd = random.Random(seed)
