@@ -20,8 +20,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # checkpoint files of stages that are no longer referenced are removed
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
