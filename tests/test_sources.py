@@ -86,3 +86,14 @@ def test_guards(spark, tmp_path):
         require_rows(df.where("a > 5"))
     with pytest.raises(FileNotFoundError):
         require_path(spark, str(tmp_path / "missing"))
+
+
+def test_xml_tag_case_merges(spark, tmp_path):
+    """§2.13 item 16: tags differing only in case are one column, across rows and files."""
+    d = tmp_path / "case"
+    _write(d / "a.xml", '<root name="t"><Row><Name>x</Name><k>1</k></Row>'
+                        '<Row><name>y</name><k>2</k></Row></root>')
+    _write(d / "b.xml", '<root name="t"><Row><NAME>z</NAME><k>3</k></Row></root>')
+    t = load_xml_dump(spark, str(d))["t"]
+    assert [c.lower() for c in t.columns] == ["name", "k"]
+    assert rows(t) == [("x", "1"), ("y", "2"), ("z", "3")]
