@@ -95,3 +95,12 @@ def test_random_small_alphabet_equals_brute_force(spark, threshold, alphabet, se
                             spark.createDataFrame([(x,) for x in right], "n string"),
                             threshold).collect()
     assert {(r["a"], r["b"], round(r["sim"], 9)) for r in got} == _brute(left, right, threshold)
+
+
+def test_threshold_is_strict(spark):
+    """§2.13 item 13: a score of exactly 0.95 does not match; 0.95 plus one ulp does."""
+    left = spark.createDataFrame([("cdcdbdbb",), ("abcdefghijklmnopqrst",)], "n string")
+    right = spark.createDataFrame([("cdcdbdba",), ("badcfeghijklmnopqrst",)], "n string")
+    got = {(r["a"], r["b"]) for r in jaro_winkler_join(left, right).collect()}
+    assert jaro_winkler("cdcdbdbb", "cdcdbdba") == 0.95
+    assert got == {("abcdefghijklmnopqrst", "badcfeghijklmnopqrst")}
