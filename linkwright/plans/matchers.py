@@ -123,7 +123,8 @@ def match_by_address(firms: DataFrame, accounts: DataFrame,
                   F.col("_acc.Id").alias("Id"), F.col("_acc.Account_Name").alias("Account_Name")))
     joined = fk.join(ak, (fk.road_cleaned == ak.a_road) & (fk.plz == ak.postcode)
                      & (fk._form == ak._aform) & (fk._val == ak._aval))
-    # containment is native and cheap; the UDF runs once per joined pair
+    # containment is native and cheap; the UDF scores each joined row (a pair
+    # matching under several house-number forms is scored once per form)
     scored = joined.withColumn("similarity",
                                jaro_winkler_verify_udf(F.col("f_clean"), F.col("a_clean")))
     kept = scored.where((F.col("similarity") > F.lit(min_sim))
