@@ -108,6 +108,12 @@ def match_by_address(firms: DataFrame, accounts: DataFrame,
                   "postcode", F.col("house_number").alias("a_hn"),
                   F.col("house_num_1").alias("a_h1"), F.col("house_num_2").alias("a_h2"),
                   clean_account_name("Account_Name").alias("a_clean"))
+    # Firms that are copies of one another (same address forms and cleaned
+    # name) get the same answer: match each such group once, then join the
+    # result back to the firms, so a group holding a third of all rows costs
+    # one match, not one per copy.
+    gcols = ["road_cleaned", "plz", "f_hn", "f_h1", "f_h2", "f_clean"]
+    groups = fl.select(*gcols).distinct()
     # The OR over three house-number forms becomes one equi-join on
     # (road, postcode, form, value): each side has a row per non-NULL form.
     # Accounts at one key with the same cleaned name score the same, so only
@@ -115,7 +121,7 @@ def match_by_address(firms: DataFrame, accounts: DataFrame,
     # combined), which bounds the pairs at a crowded address by distinct names.
     # A pair matching under several forms appears more than once; the top-1
     # aggregate below absorbs that.
-    fk = _house_number_keys(fl, "f")
+    fk = _house_number_keys(groups, "f")
     ak = (_house_number_keys(ar, "a")
           .groupBy("a_road", "postcode", "_aform", "_aval", "a_clean")
           .agg(F.min(F.struct("Id", "Account_Name")).alias("_acc"))
@@ -130,9 +136,15 @@ def match_by_address(firms: DataFrame, accounts: DataFrame,
     kept = scored.where((F.col("similarity") > F.lit(min_sim))
                         | F.col("a_clean").contains(F.col("f_clean"))
                         | F.col("f_clean").contains(F.col("a_clean")))
-    best = best_per_group(kept, ["rec_id"], [("similarity", True), ("Id", False)],
-                          payload=["name", "Account_Name", "road_cleaned", "plz", "f_hn"])
-    return best.withColumnRenamed("f_hn", "house_number")
+    best = best_per_group(kept, gcols, [("similarity", True), ("Id", False)],
+                          payload=["Account_Name"])
+    # back to the firms; house-number forms may be NULL, so compare NULL-safely
+    best = best.select(*[F.col(c).alias(f"_g_{c}") for c in gcols],
+                       "Id", "similarity", "Account_Name")
+    on = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in gcols]
+    return fl.join(best, on).select(
+        "rec_id", "Id", "similarity", "name", "Account_Name", "road_cleaned", "plz",
+        F.col("f_hn").alias("house_number"))
 
 
 def _house_number_keys(df: DataFrame, side: str) -> DataFrame:

@@ -47,3 +47,17 @@ def test_parse_address_line(spark):
     got = [tuple(r["p"]) for r in df.select(parse_address_line("l").alias("p")).collect()]
     assert got == [("hauptstr.", "62-64a", "12345"), ("linden-allee", "5", "01234"),
                    ("am markt", None, "99999"), (None, None, None)]
+
+
+def test_address_matcher_copies_of_one_firm(spark):
+    """A group of copies (same name and address) is matched once and every copy
+    gets the answer; the NULL-safe join back is an equi-join, not a nested loop."""
+    copies = [(str(i), "Müller Bau", "x", "10115", "Hauptstraße 5") for i in range(40)]
+    firms = spark.createDataFrame(copies + [("99", "Zeta", "x", "10115", "Hauptstraße 9")], FIRMS)
+    acc = spark.createDataFrame([("50", "Mueller Bau Holding", "10115", "Hauptstr. 5"),
+                                 ("49", "Mueller Bau Holding", "10115", "Hauptstr. 5")], ACCOUNTS)
+    out = match_by_address(firms, acc)
+    got = {r.rec_id: r.Id for r in out.collect()}
+    assert got == {str(i): "49" for i in range(40)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
