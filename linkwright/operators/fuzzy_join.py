@@ -224,19 +224,21 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     a_names = left.select(F.col(lc).alias("name")).where(F.col("name").isNotNull()).distinct()
     b_names = right.select(F.col(rc).alias("name")).where(F.col("name").isNotNull()).distinct()
 
-    a_names = a_names.persist(StorageLevel.MEMORY_AND_DISK)
-    b_names = b_names.persist(StorageLevel.MEMORY_AND_DISK)
+    # cache what several branches read, only when this call also releases it
+    keep = ((lambda df: df.persist(StorageLevel.MEMORY_AND_DISK)) if materialize
+            else (lambda df: df))
+    a_names, b_names = keep(a_names), keep(b_names)
     equal = a_names.join(b_names, "name").select(
         F.col("name").alias("a"), F.col("name").alias("b"),
         F.when(F.length("name") > 0, F.lit(1.0)).otherwise(F.lit(0.0)).alias("sim"))
 
     raw_a, raw_b = _raw_tokens(a_names), _raw_tokens(b_names)
-    freq = (raw_a.select("tid").unionByName(raw_b.select("tid"))
-            .groupBy("tid").agg(F.count(F.lit(1)).alias("f"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    token_table = keep(raw_a.select("tid").unionByName(raw_b.select("tid"))
+                       .groupBy("tid").agg(F.count(F.lit(1)).alias("f")))
     # size check before broadcasting: small, but its size depends on the data
-    if freq.count() <= TOKEN_TABLE_BROADCAST_ROWS:
-        freq = F.broadcast(freq)
+    freq = token_table
+    if token_table.count() <= TOKEN_TABLE_BROADCAST_ROWS:
+        freq = F.broadcast(token_table)
 
     families = key_families(bounds, sizes)
     keys = _keys_expr(families)
@@ -270,6 +272,6 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     # later steps do not recompute the candidate join, then free the cache
     ensure_checkpoint_dir(pairs.sparkSession)
     pairs = pairs.checkpoint(eager=True)
-    for cached in (a_names, b_names, freq):
+    for cached in (a_names, b_names, token_table):
         cached.unpersist()
     return pairs
