@@ -69,9 +69,12 @@ def link(firms: DataFrame, accounts: DataFrame, state: DataFrame | None = None,
     if enabled is not None:
         registry.enable_only(enabled)
     # every matcher reads both inputs; keep them (memory, then disk) for the
-    # duration of the job instead of recomputing them per matcher
-    firms = stage_firms(firms).persist(StorageLevel.MEMORY_AND_DISK)
-    accounts = accounts.persist(StorageLevel.MEMORY_AND_DISK)
+    # duration of the job instead of recomputing them per matcher. Only when
+    # the state is checkpointed can they be released again before returning.
+    firms = stage_firms(firms)
+    if checkpoint:
+        firms = firms.persist(StorageLevel.MEMORY_AND_DISK)
+        accounts = accounts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         state = state if state is not None else empty_crosswalk(spark)
         state = ensure_all_keys(state, firms)
@@ -80,7 +83,6 @@ def link(firms: DataFrame, accounts: DataFrame, state: DataFrame | None = None,
         state = run_waterfall(firms, accounts, state, registry, checkpoint=checkpoint)
     finally:
         if checkpoint:
-            # the state no longer depends on the cached inputs
             firms.unpersist()
             accounts.unpersist()
     return state, match_summary(state)
