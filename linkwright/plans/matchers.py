@@ -49,19 +49,23 @@ def match_by_name(firms: DataFrame, accounts: DataFrame,
         m, z = m.where(F.col("mc") != ""), z.where(F.col("zc") != "")
     if materialize:
         m, z = m.persist(StorageLevel.MEMORY_AND_DISK), z.persist(StorageLevel.MEMORY_AND_DISK)
-    # equal keys score equally, so per key only the smallest Id can win;
-    # this aggregate combines map-side even when one key holds many accounts
-    best_id = z.where(F.col("zc").isNotNull()).groupBy("zc").agg(F.min("Id").alias("Id"))
-    pairs = jaro_winkler_join(m.select("mc"), z.select("zc"), threshold, materialize=materialize)
-    scored = pairs.join(best_id, pairs.b == best_id.zc).select(
-        F.col("a").alias("mc"), "zc", "sim", "Id")
-    best = best_per_group(scored, ["mc"], [("sim", True), ("Id", False)], payload=["zc"])
-    proposals = m.join(best, "mc").select("rec_id", "Id", "sim", "mc", "zc")
-    if materialize:
-        ensure_checkpoint_dir(proposals.sparkSession)
-        proposals = proposals.checkpoint(eager=True)
-        m.unpersist()
-        z.unpersist()
+    try:
+        # equal keys score equally, so per key only the smallest Id can win;
+        # this aggregate combines map-side even when one key holds many accounts
+        best_id = z.where(F.col("zc").isNotNull()).groupBy("zc").agg(F.min("Id").alias("Id"))
+        pairs = jaro_winkler_join(m.select("mc"), z.select("zc"), threshold,
+                                  materialize=materialize)
+        scored = pairs.join(best_id, pairs.b == best_id.zc).select(
+            F.col("a").alias("mc"), "zc", "sim", "Id")
+        best = best_per_group(scored, ["mc"], [("sim", True), ("Id", False)], payload=["zc"])
+        proposals = m.join(best, "mc").select("rec_id", "Id", "sim", "mc", "zc")
+        if materialize:
+            ensure_checkpoint_dir(proposals.sparkSession)
+            proposals = proposals.checkpoint(eager=True)
+    finally:
+        if materialize:
+            m.unpersist()
+            z.unpersist()
     return proposals
 
 

@@ -86,14 +86,15 @@ def address_match(spark: SparkSession, sf: str) -> DataFrame:
     # both matchers read both inputs: cache them while the query runs, then
     # keep only the (small) checkpointed result
     firms, accounts = _cached(stage_firms(derived.firms(spark, sf)), derived.accounts(spark, sf))
-    by_name = match_by_name(firms, accounts).select("rec_id")
-    unmatched = not_in(firms, "rec_id", by_name)
-    p = match_by_address(unmatched, accounts)
-    out = p.select("rec_id", F.col("Id").alias("id"),
-                   F.round("similarity", 6).alias("similarity")).checkpoint(eager=True)
-    firms.unpersist()
-    accounts.unpersist()
-    return out
+    try:
+        by_name = match_by_name(firms, accounts).select("rec_id")
+        unmatched = not_in(firms, "rec_id", by_name)
+        p = match_by_address(unmatched, accounts)
+        return p.select("rec_id", F.col("Id").alias("id"),
+                        F.round("similarity", 6).alias("similarity")).checkpoint(eager=True)
+    finally:
+        firms.unpersist()
+        accounts.unpersist()
 
 
 # -- link state --------------------------------------------------------------
