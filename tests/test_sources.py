@@ -97,3 +97,17 @@ def test_xml_tag_case_merges(spark, tmp_path):
     t = load_xml_dump(spark, str(d))["t"]
     assert [c.lower() for c in t.columns] == ["name", "k"]
     assert rows(t) == [("x", "1"), ("y", "2"), ("z", "3")]
+
+
+def test_save_dump_overwrite_is_idempotent(spark, tmp_path):
+    """Writing a loaded dump twice keeps one copy; append is opt-in."""
+    from linkwright.sources.xml import save_dump
+    d = tmp_path / "dump"
+    _write(d / "a.xml", '<root name="firmen"><Row><a>1</a></Row><Row><a>2</a></Row></root>')
+    tables = load_xml_dump(spark, str(d))
+    target = str(tmp_path / "warehouse")
+    save_dump(tables, target)
+    save_dump(tables, target)
+    assert spark.read.parquet(f"{target}/firmen").count() == 2
+    save_dump(tables, target, mode="append")
+    assert spark.read.parquet(f"{target}/firmen").count() == 4
