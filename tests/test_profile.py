@@ -39,3 +39,15 @@ def test_profile_scans_each_table_once(spark, tmp_path):
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("FileScan parquet") == 1
     assert "ReusedExchange" in final
+
+
+def test_catalog_tables_lists_base_tables_only(spark, tmp_path):
+    """managed/external tables of a database, no views or temporary tables."""
+    from linkwright.operators.profile import catalog_tables
+    db = "lw_catalog_test"
+    spark.sql(f"create database if not exists {db} location '{tmp_path / 'db'}'")
+    spark.range(3).write.mode("overwrite").saveAsTable(f"{db}.base_t")
+    spark.range(2).createOrReplaceTempView("temp_v")
+    tables = catalog_tables(spark, db)
+    assert set(tables) == {"base_t"}
+    assert tables["base_t"].count() == 3
