@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkwright.llm.decontam import find_contained
+from linkwright.llm.minhash import near_duplicates
 from linkwright.llm.secrets import find_secrets
 
 
@@ -15,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate group of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of every document: counts, digest of the base spans, and all spans."""
     found = find_secrets(table(spark, sf_dir, "documents"))
@@ -33,5 +39,5 @@ def op8_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_secret_scan, op8_benchmark_containment)}
+    f.__name__: f for f in (op5_minhash_dedup, op7_secret_scan, op8_benchmark_containment)}
 ORACLE_SQL: dict[str, str] = {}
