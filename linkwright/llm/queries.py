@@ -7,15 +7,45 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkwright.llm.common import in_fold
 from linkwright.llm.decontam import find_contained
+from linkwright.llm.language import LanguageModel
 from linkwright.llm.minhash import near_duplicates
+from linkwright.llm.quality_model import QualityModel
 from linkwright.llm.secrets import find_secrets
+from linkwright.llm.toxicity import ToxicityModel
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def predicted(score: str = "score"):
+    return (F.col(score) >= 0.7).cast("int").alias("predicted")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; the grammar's weights come from the two thirds of ids not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = ToxicityModel.fit(docs, labels.where(~in_fold(F.col("doc_id"), 3, 1)))
+    return model.score(docs).select("doc_id", in_fold(F.col("doc_id"), 3, 1).alias("held_out"), "score", predicted(),
+                                    F.col("best").alias("clause_weight"), F.col("total").alias("total_weight"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from the three quarters of ids not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = LanguageModel.fit(docs.where(~in_fold(F.col("doc_id"), 4, 2)))
+    return model.label(docs).select("doc_id", in_fold(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from the three quarters of ids not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = QualityModel.fit(docs, labels.where(~in_fold(F.col("doc_id"), 4, 2)))
+    return model.score(docs).select("doc_id", in_fold(F.col("doc_id"), 4, 2).alias("held_out"), "score", predicted())
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate group of every document."""
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -39,5 +69,6 @@ def op8_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_minhash_dedup, op7_secret_scan, op8_benchmark_containment)}
+    f.__name__: f for f in (op1_toxicity, op5_minhash_dedup, op6_language_id, op7_secret_scan,
+                            op8_benchmark_containment, op10_quality_model)}
 ORACLE_SQL: dict[str, str] = {}
