@@ -8,11 +8,13 @@ ASCII white-space bytes (0x20, 0x09-0x0D); for shingles A-Z are lower-cased.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -201,10 +203,10 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
     return nodes.unionByName(roots)
 
 
-def scalar(df: DataFrame):
-    """The first value of a one-row frame."""
-    return df.first()[0]
+def share(spark: SparkSession, value) -> Callable[[], object]:
+    """Broadcast ``value``; the returned function gives it back inside a task.
 
-
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+    It travels with the definitions of its classes, so executors need no copy of this package.
+    """
+    box = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(box.value)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import SHINGLE_WORDS, Powers, Words, blocks, shingle_hashes
+from linkwright.llm.common import SHINGLE_WORDS, Powers, Words, blocks, share, shingle_hashes
 
 THRESHOLD_PERCENT = 75
 #: About 16 bytes a value in each task; 4 million are some 64 MB.
@@ -140,11 +140,11 @@ def find_contained(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
 def _by_broadcast(d: DataFrame, index: ItemIndex, item_type, schema: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_type
 
-    shared = d.sparkSession.sparkContext.broadcast(index)
+    shared = share(d.sparkSession, index)
     item_arrow = to_arrow_type(item_type)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, powers = shared.value, Powers()
+        index, powers = shared(), Powers()
         for batch in batches:
             row, item, size, common = [], [], [], []
             texts = batch.column(1)

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkwright.llm.common import share
+
 GRAMS, ORDERS, LANDMARKS, RIDGE = 1 << 13, 3, 128, 1e-3
 #: Training rows per language on average, and languages, at most: the bound of the sample.
 ROWS_PER_LANGUAGE, MAX_LANGUAGES = 1_000, 500
@@ -146,10 +148,10 @@ class LanguageModel:
     def label(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """``(doc_id, lang_pred, score)`` per row; NULL texts and texts without a letter are ``und`` with score 0."""
         rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        shared = docs.sparkSession.sparkContext.broadcast(self)
+        shared = share(docs.sparkSession, self)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            model, letters = shared.value, letter_table()
+            model, letters = shared(), letter_table()
             for batch in batches:
                 for lo in range(0, batch.num_rows, ROWS):
                     part = batch.slice(lo, ROWS)

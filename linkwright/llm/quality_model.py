@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import Powers, Words, blocks, mix
+from linkwright.llm.common import Powers, Words, blocks, mix, share
 
 BUCKETS, INDEX_ROWS, DIM, WINDOW, HIDDEN = 1 << 13, 1 << 13, 64, 2, 32
 #: Labelled rows used for fitting at most: the bound of everything that reaches the driver.
@@ -227,10 +227,10 @@ class QualityModel:
     def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """``(doc_id, score)`` per row, 0 to 1; NULL and empty texts are scored as documents of no words."""
         rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        shared = docs.sparkSession.sparkContext.broadcast(self)
+        shared = share(docs.sparkSession, self)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            model, powers = shared.value, Powers()
+            model, powers = shared(), Powers()
             for batch in batches:
                 score = model.network.score(pool(batch.column(1), model.table, powers).astype(np.float64))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())],

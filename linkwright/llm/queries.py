@@ -11,7 +11,9 @@ from linkwright.llm.common import in_fold
 from linkwright.llm.decontam import find_contained
 from linkwright.llm.language import LanguageModel
 from linkwright.llm.minhash import near_duplicates
+from linkwright.llm.mixing import mix_sources
 from linkwright.llm.quality_model import QualityModel
+from linkwright.llm.quality_rules import judge
 from linkwright.llm.secrets import find_secrets
 from linkwright.llm.toxicity import ToxicityModel
 
@@ -32,6 +34,17 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.col("best").alias("clause_weight"), F.col("total").alias("total_weight"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the quality rules for every document."""
+    return judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document by the mix."""
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from the three quarters of ids not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -69,6 +82,6 @@ def op8_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op5_minhash_dedup, op6_language_id, op7_secret_scan,
+    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_source_mixing, op5_minhash_dedup, op6_language_id, op7_secret_scan,
                             op8_benchmark_containment, op10_quality_model)}
 ORACLE_SQL: dict[str, str] = {}

@@ -10,7 +10,7 @@ Five transducers read the words of a clause, and their outputs are composed:
 
 A clause ends at ``. ! ? ; :`` or a line end. Isolated words are not scored: the weight of a
 clause is that of its best composed path, and a text is scored by its heaviest clause and the
-sum of all, calibrated by a logistic curve on the labels.
+sum of all, also in relation to its length, calibrated by a logistic curve on the labels.
 
 An Aho-Corasick automaton finds the clauses that hold an insult or threat at all; only
 those are read, so the whole of every text is covered at the cost of one scan.
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import stage
+from linkwright.llm.common import share, stage
 
 #: Labelled rows used for fitting, and arcs of the insult transducer, at most.
 SAMPLE_ROWS, MAX_ARCS = 20_000, 5_000
@@ -65,7 +65,7 @@ class Grammar:
     def __init__(self, words: dict[str, float], stems: dict[str, float], threats: dict[str, float]) -> None:
         self.words, self.stems, self.threats = words, stems, threats
         self.lengths = sorted({len(s) for s in stems})
-        self.curve = (-3.0, 1.0, 0.5)
+        self.curve = (-3.0, 0.5, 0.5, 0.5)
 
     def automaton(self):
         import ahocorasick
@@ -111,10 +111,10 @@ class Grammar:
                 reported = True
         return total
 
-    def read(self, text: str | None, arcs) -> tuple[float, float]:
-        """Heaviest clause and sum of all clauses of a text."""
+    def read(self, text: str | None, arcs) -> tuple[float, float, float]:
+        """Heaviest clause, sum of all clauses, and sum per thousand characters of a text."""
         if not text or not len(arcs):
-            return 0.0, 0.0
+            return 0.0, 0.0, 0.0
         lowered = text.lower()
         best = total = 0.0
         done = 0
@@ -127,11 +127,7 @@ class Grammar:
             done = m.end() if m else len(lowered)
             weight = self.clause(lowered[a:m.start() if m else done])
             best, total = max(best, weight), total + weight
-        return best, total
-
-    def probability(self, best, total):
-        a, b, c = self.curve
-        return 1 / (1 + np.exp(-np.clip(a + b * np.log1p(best) + c * np.log1p(total), -30, 30)))
+        return best, total, 1000.0 * total / (len(text) + 500)
 
 
 def _ends_before(text: str, lo: int, hi: int):
@@ -173,7 +169,7 @@ def learn_arcs(texts: DataFrame) -> tuple[dict[str, float], dict[str, float], di
              .withColumn("stem", F.expr("substring(word, 1, n)")))
     stems = (parts.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"),
                                        F.sum((F.col("toxic") > F.col("clean")).cast("int")).alias("kinds"))
-             .where((F.col("kinds") >= STEM_WORDS) & (F.col("clean") * 100 <= F.col("toxic")) & (F.col("toxic") >= 8))
+             .where((F.col("kinds") >= STEM_WORDS) & (F.col("clean") * 30 <= F.col("toxic")) & (F.col("toxic") >= 8))
              .withColumnRenamed("stem", "word").withColumn("weight", odds(F.col("toxic"), F.col("clean"))))
     pure = top(stems, STEM_LONGEST - STEM_LETTERS + 1)
     pure = {s: w for s, w in pure.items() if not any(s[:k] in pure for k in range(STEM_LETTERS, len(s)))}
@@ -203,54 +199,68 @@ class ToxicityModel:
         texts = stage(docs.select(F.col(id_col).alias("_doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
                       .join(F.broadcast(some), F.col("_doc") == F.col("_id")).select("text", "label", "_order"),
                       "toxicity-sample")
+        # the curve is fitted on texts that the arcs it sees were not learnt from
+        fold = F.pmod("_order", F.lit(3)) == 0
+        trial = cls(Grammar(*learn_arcs(texts.where(~fold))))
+        rows = trial._readings(texts.where(fold))
         model = cls(Grammar(*learn_arcs(texts)))
-        rows = np.array([(r[0], r[1], r[2]) for r in texts.select("text", "label").mapInArrow(
-            model._reader(texts.sparkSession, 1), "label int, best double, total double").toLocalIterator()], dtype=float)
+        if not len(rows) or rows[:, 0].min() == rows[:, 0].max():
+            rows = model._readings(texts)
         if len(rows) and rows[:, 0].min() != rows[:, 0].max():
             model.grammar.curve = fit_curve(rows[np.lexsort(rows.T)])
         return model
 
+    def _readings(self, texts: DataFrame) -> np.ndarray:
+        got = texts.select("text", "label").mapInArrow(
+            self._reader(texts.sparkSession, 1), "label int, best double, total double, dense double")
+        return np.array([tuple(r) for r in got.toLocalIterator()], dtype=float).reshape(-1, 4)
+
     def _reader(self, spark, keep: int):
-        shared = spark.sparkContext.broadcast(self.grammar)
+        shared = share(spark, self.grammar)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            grammar = shared.value
+            grammar = shared()
             arcs = grammar.automaton()
             for batch in batches:
                 got = [grammar.read(t, arcs) for t in batch.column(1 - keep).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(keep), pa.array([g[0] for g in got], pa.float64()),
-                     pa.array([g[1] for g in got], pa.float64())],
-                    names=[batch.schema.names[keep], "best", "total"])
+                    [batch.column(keep), *[pa.array([g[j] for g in got], pa.float64()) for j in range(3)]],
+                    names=[batch.schema.names[keep], "best", "total", "dense"])
         return run
 
     def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """``(doc_id, score, best, total)`` per row: probability, weight of the heaviest clause, sum of clauses.
+        """``(doc_id, score, best, total, dense)`` per row: probability, heaviest clause, sum, sum per length.
 
         A NULL or empty text has no clause and gets the curve's value for weight 0.
         """
         rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         kind = rows.schema["doc_id"].dataType.simpleString()
-        read = rows.mapInArrow(self._reader(docs.sparkSession, 0), f"doc_id {kind}, best double, total double")
-        a, b, c = self.grammar.curve
-        return read.select("doc_id", (1 / (1 + F.exp(-(F.lit(a) + b * F.log1p("best") + c * F.log1p("total"))))).alias("score"),
-                           "best", "total")
-
-
-def fit_curve(rows: np.ndarray) -> tuple[float, float, float]:
-    """Logistic regression of the label on log1p of best and total, by Newton steps with a small ridge."""
-    y = rows[:, 0]
-    x = np.column_stack([np.ones(len(rows)), np.log1p(rows[:, 1]), np.log1p(rows[:, 2])])
-    w = np.zeros(3)
-    ridge = np.diag([1e-3, 5e-2, 5e-2])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + ridge @ w
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, grad)
-        w -= np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
+        read = rows.mapInArrow(self._reader(docs.sparkSession, 0),
+                               f"doc_id {kind}, best double, total double, dense double")
+        a, b, c, d = self.grammar.curve
+        logit = F.lit(a) + b * F.log1p("best") + c * F.log1p("total") + d * F.log1p("dense")
+        return read.select("doc_id", (1 / (1 + F.exp(-logit))).alias("score"), "best", "total", "dense")
+
+
+def fit_curve(rows: np.ndarray) -> tuple[float, float, float, float]:
+    """Logistic regression of the label on log1p of best, total and dense, by Newton steps with a small ridge.
+
+    No weight is negative: more insult never lowers a score.
+    """
+    y, x = rows[:, 0], np.column_stack([np.ones(len(rows)), np.log1p(rows[:, 1:])])
+    used = np.ones(4, dtype=bool)
+    while True:
+        w, z = np.zeros(used.sum()), x[:, used]
+        ridge = np.diag(np.where(np.arange(used.sum()) == 0, 1e-3, 5e-2))
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+            step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge, z.T @ (p - y) + ridge @ w)
+            w -= np.clip(step, -2, 2)
+            if np.abs(step).max() < 1e-8:
+                break
+        if (w[1:] >= 0).all():
             break
-    if not np.isfinite(w).all() or math.isnan(w.sum()):
-        return (-3.0, 1.0, 0.5)
-    # more weight never lowers a score
-    return float(w[0]), float(max(w[1], 0.0)), float(max(w[2], 0.0))
+        used[np.flatnonzero(used)[1:][w[1:] < 0]] = False
+    out = np.zeros(4)
+    out[used] = w
+    return tuple(float(v) for v in out)
