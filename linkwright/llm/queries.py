@@ -11,6 +11,7 @@ from linkwright.llm.common import in_fold
 from linkwright.llm.decontam import find_contained
 from linkwright.llm.language import LanguageModel
 from linkwright.llm.minhash import near_duplicates
+from linkwright.llm.oracle import ORACLE_SQL
 from linkwright.llm.mixing import mix_sources
 from linkwright.llm.quality_model import QualityModel
 from linkwright.llm.quality_rules import judge
@@ -84,4 +85,4 @@ def op8_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_source_mixing, op5_minhash_dedup, op6_language_id, op7_secret_scan,
                             op8_benchmark_containment, op10_quality_model)}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
