@@ -16,6 +16,7 @@ from linkwright.llm.mixing import mix_sources
 from linkwright.llm.quality_model import QualityModel
 from linkwright.llm.quality_rules import judge
 from linkwright.llm.secrets import find_secrets
+from linkwright.llm.suffix_dedup import repeated_strings
 from linkwright.llm.toxicity import ToxicityModel
 
 
@@ -82,7 +83,15 @@ def op8_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat 50-byte strings of earlier documents."""
+    found = repeated_strings(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                        F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_source_mixing, op5_minhash_dedup, op6_language_id, op7_secret_scan,
-                            op8_benchmark_containment, op10_quality_model)}
+                            op8_benchmark_containment, op9_suffix_dedup, op10_quality_model)}
 __all__ = ["ORACLE_SQL", "QUERIES"]
