@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linkwright.llm.common import in_fold
 from linkwright.llm.decontam import find_contained
+from linkwright.llm.html_text import extract
 from linkwright.llm.language import LanguageModel
 from linkwright.llm.minhash import near_duplicates
 from linkwright.llm.oracle import ORACLE_SQL
@@ -47,6 +48,12 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", F.col("text").alias("text"), F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from the three quarters of ids not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -92,6 +99,6 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_source_mixing, op5_minhash_dedup, op6_language_id, op7_secret_scan,
+    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_source_mixing, op4_html_text, op5_minhash_dedup, op6_language_id, op7_secret_scan,
                             op8_benchmark_containment, op9_suffix_dedup, op10_quality_model)}
 __all__ = ["ORACLE_SQL", "QUERIES"]
