@@ -182,27 +182,50 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
     """
     links = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                   .distinct(), purpose)
-    seen = None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = (both.join(low, "a").where("b > a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
-        large = stage(large, purpose)
+        large = stage(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                      .where("a <> b").distinct(), purpose)
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a").select(F.col("b").alias("x"), "a", "m"))
-        small = (small.select(F.col("x").alias("a"), F.col("m").alias("b"))
+        small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         links = stage(small, purpose)
-        mark = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if mark == seen:
+        # done when every node hangs on one node, and that one on none
+        roles = (links.select(F.col("a").alias("n"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+                 .unionByName(links.select(F.col("b").alias("n"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+                 .groupBy("n").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")))
+        if roles.where("hangs > 1 or (hangs = 1 and holds = 1)").isEmpty():
             break
-        seen = mark
     nodes = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return nodes.unionByName(roots)
 
 
+FILTER_BITS = 25
+
+
+def likely_in(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Those of ``rows`` whose ``column`` may be among the ids of ``wanted`` (one column): a prefilter before a join.
+
+    The ids' hashes set bits in a table of fixed size (2^25 bits, 4 MB), which is broadcast whatever the
+    number of ids. No wanted row is lost; with very many ids the filter lets everything pass.
+    """
+    def place(c):
+        return F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
+
+    ids = wanted.select(place(F.col(wanted.columns[0]).cast("long")).alias("h"))
+    bits = ids.groupBy(F.bitmap_bucket_number("h").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("_bits"))
+    at = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) > 0
+    placed = rows.withColumn("_place", place(F.col(column).cast("long"))).withColumn(
+        "_number", F.bitmap_bucket_number("_place"))
+    return (placed.join(F.broadcast(bits), F.col("_number") == F.col("_bucket")).where(bit)
+            .drop("_place", "_number", "_bucket", "_bits"))
+
+
 def share(spark: SparkSession, value) -> Callable[[], object]:
     """Broadcast ``value``; the returned function gives it back inside a task.
 

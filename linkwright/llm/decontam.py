@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -116,6 +117,20 @@ def _compare(item: set[bytes], doc: set[bytes], percent: int) -> tuple[int, int]
     return (len(item), common) if item and 100 * common >= percent * len(item) else None
 
 
+def bounded_index(items: DataFrame, percent: int, max_index_values: int) -> ItemIndex | None:
+    """The index of ``items`` (item_id, item_text) if it has at most ``max_index_values`` values, else None."""
+    # a word has two bytes at least with the space after it; sizes are read before any item is
+    words = (items.agg(F.sum(F.length("item_text"))).first()[0] or 0) // 2
+    if words > 64 * max_index_values:
+        return None
+    index = ItemIndex([tuple(r) for r in items.collect()], percent)
+    return index if len(index.values) <= max_index_values else None
+
+
+def _item_rows(items: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
+    return items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).cast("string").alias("item_text"))
+
+
 def find_contained(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                    item_col: str = "item_id", item_text_col: str = "text", percent: int = THRESHOLD_PERCENT,
                    max_index_values: int = MAX_INDEX_VALUES) -> DataFrame:
@@ -126,17 +141,26 @@ def find_contained(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
     gives no pairs.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("doc_text"))
-    i = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).cast("string").alias("item_text"))
+    i = _item_rows(items, item_col, item_text_col)
     schema = OUT.format(id=d.schema["doc_id"].dataType.simpleString(), item=i.schema["item_id"].dataType.simpleString())
-    # words are an upper bound for sketch values; read sizes before any item is read itself
-    bound = i.agg(F.sum(F.length("item_text"))).first()[0] or 0
-    if bound // 2 <= 64 * max_index_values and max_index_values > 0:
-        index = ItemIndex([tuple(r) for r in i.collect()], percent)
-        if len(index.values) <= max_index_values:
-            return _by_broadcast(d, index, i.schema["item_id"].dataType, schema)
+    index = bounded_index(i, percent, max_index_values)
+    if index is not None:
+        return _by_broadcast(d, index, i.schema["item_id"].dataType, schema)
     return _by_join(d, i, percent, schema)
 
 
+def _contained(index: ItemIndex, powers: Powers, texts: pa.Array) -> Iterator[tuple[int, int, int, int]]:
+    """(row, item number, size of the item, shingles in common) for each item contained in a row's text."""
+    for lo, _, data, offsets in blocks(texts):
+        words = Words(data, offsets)
+        for k, h in enumerate(shingle_hashes(words, words.hashes(powers))):
+            found = index.candidates(h)
+            own = shingle_set(texts[lo + k].as_py()) if found else set()
+            for j in found:
+                if (got := _compare(index.shingles(j), own, index.percent)) is not None:
+                    yield lo + k, j, *got
+
+
 def _by_broadcast(d: DataFrame, index: ItemIndex, item_type, schema: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -146,19 +170,9 @@ def _by_broadcast(d: DataFrame, index: ItemIndex, item_type, schema: str) -> Dat
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, powers = shared(), Powers()
         for batch in batches:
-            row, item, size, common = [], [], [], []
-            texts = batch.column(1)
-            for lo, _, data, offsets in blocks(texts):
-                words = Words(data, offsets)
-                for k, h in enumerate(shingle_hashes(words, words.hashes(powers))):
-                    found = index.candidates(h)
-                    own = shingle_set(texts[lo + k].as_py()) if found else set()
-                    for j in found:
-                        if (got := _compare(index.shingles(j), own, index.percent)) is not None:
-                            row.append(lo + k)
-                            item.append(index.ids[j])
-                            size.append(got[0])
-                            common.append(got[1])
+            got = list(_contained(index, powers, batch.column(1)))
+            row, item, size, common = (list(x) for x in zip(*got)) if got else ([], [], [], [])
+            item = [index.ids[j] for j in item]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int64())), pa.array(item, item_arrow), pa.array(size, pa.int64()),
                  pa.array(common, pa.int64()),
@@ -217,7 +231,26 @@ def _by_join(d: DataFrame, i: DataFrame, percent: int, schema: str) -> DataFrame
     return pairs.mapInArrow(verify, schema)
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that contain an item; columns as they were. Rows with a NULL id stay."""
-    found = find_contained(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(found, docs[id_col] == F.col("_leak"), "left_anti")
+def drop_contaminated(docs: DataFrame, items: DataFrame, *, text_col: str = "text", item_col: str = "item_id",
+                      item_text_col: str = "text", percent: int = THRESHOLD_PERCENT,
+                      max_index_values: int = MAX_INDEX_VALUES) -> DataFrame:
+    """``docs`` without the documents that contain an item; columns as they were, each row judged by its own text."""
+    i = _item_rows(items, item_col, item_text_col)
+    index = bounded_index(i, percent, max_index_values)
+    if index is None:
+        keyed = docs.withColumn("_node", F.xxhash64(text_col))
+        leaks = _by_join(keyed.select(F.col("_node").alias("doc_id"), F.col(text_col).cast("string").alias("doc_text"))
+                         .dropDuplicates(["doc_id"]), i, percent,
+                         OUT.format(id="bigint", item=i.schema["item_id"].dataType.simpleString()))
+        return keyed.join(leaks.select(F.col("doc_id").alias("_node")).distinct(), "_node", "left_anti").drop("_node")
+    shared = share(docs.sparkSession, index)
+
+    @F.pandas_udf("boolean")
+    def leaks(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index, powers = shared(), Powers()
+        for s in parts:
+            out = np.zeros(len(s), dtype=bool)
+            out[[r for r, *_ in _contained(index, powers, pa.array(s, type=pa.large_string(), from_pandas=True))]] = True
+            yield pd.Series(out)
+
+    return docs.where(~leaks(F.col(text_col).cast("string")))

@@ -7,8 +7,8 @@ Jaccard similarity is at least ``percent`` / 100; a group is a connected compone
 1. One pass over the texts gives per document the set size, a digest of the
    set, ``BANDS`` band keys of ``ROWS`` minima each, and the low ``BITS`` bits of
    all minima packed into longs. Documents of equal sets become one class.
-2. Band keys are grouped. Every class is first held only against the smallest
-   class of its bucket, not against all of it.
+2. Band keys are grouped. Every class is first held against one class only: the
+   smallest that heads one of its buckets.
 3. A pair goes on if the set sizes allow the similarity and the b-bit
    signatures, with chance agreements (1 in 2^b) corrected for, come within
    ``SLACK`` of it; then it is confirmed on the full sets.
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import Powers, Words, blocks, connected_components, mix, shingle_hashes, stage
+from linkwright.llm.common import Powers, Words, blocks, connected_components, likely_in, mix, shingle_hashes, stage
 
 BANDS, ROWS, BITS = 32, 4, 4
 PERMUTATIONS = BANDS * ROWS
@@ -141,7 +141,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["a", "b"])
 
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = stage(texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi"), "minhash-texts")
+    texts = stage(likely_in(texts, "doc_id", wanted).join(wanted, F.col("doc_id") == F.col("node"), "left_semi"),
+                  "minhash-texts")
     sides = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
              .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"))
     return sides.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
@@ -171,32 +172,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = stage(buckets.join(shared.select("key", "head"), "key"), "minhash-members")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return stage(confirm(pairs, texts, percent), "minhash-links")
+        return stage(confirm(stage(pairs, "minhash-pairs"), texts, percent), "minhash-links")
 
-    stars = members.where("rep > head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
+    # every class against the smallest class that heads one of its buckets: one pair each
+    heads = members.where("rep > head").groupBy("rep").agg(F.min("head").alias("a")).withColumnRenamed("rep", "b")
     left = reps.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
     right = reps.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
     likely = possible(F.col("n_a"), F.col("bits_a"), F.col("n_b"), F.col("bits_b"), percent)
-    links = linked(stage(stars.join(left, "a").join(right, "b").where(likely).select("a", "b"), "minhash-pairs"))
+    links = linked(heads.join(left, "a").join(right, "b").where(likely).select("a", "b"))
     # rows of one id with different texts are one document
-    same = named.join(owner, "class").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     ids = named.groupBy("doc_id").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
-    same = same.join(ids.select(F.col("doc_id").alias("b")), "b", "left_semi").select("a", "b")
-    links = links.unionByName(same)
-    groups = connected_components(links, "minhash-components")
+    same = (named.join(ids.select("doc_id"), "doc_id", "left_semi").join(owner, "class").where("doc_id <> rep")
+            .select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
+    groups = connected_components(links.unionByName(same), "minhash-components")
 
     placed = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "head", F.coalesce("component", "rep").alias("component"))
+        "key", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     open_ = stage(placed.join(mixed.select("key", "low"), "key").join(reps, "rep"), "minhash-open")
     x, y = open_.where("component > low").alias("x"), open_.alias("y")
     rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") > F.col("y.component"))
-                   & (F.col("y.rep") != F.col("x.head"))
                    & possible(F.col("x.n"), F.col("x.bits"), F.col("y.n"), F.col("y.bits"), percent))
             .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-    rest = stage(rest, "minhash-pairs")
-    if not rest.isEmpty():
-        groups = connected_components(links.unionByName(linked(rest)), "minhash-components")
+    more = linked(rest)
+    if not more.isEmpty():
+        # the groups so far are single nodes now
+        at = groups.withColumnRenamed("component", "root")
+        for side in ("a", "b"):
+            more = (more.join(at.withColumnRenamed("node", side), side, "left")
+                    .withColumn(side, F.coalesce("root", side)).drop("root"))
+        joined = connected_components(more, "minhash-components")
+        roots = joined.select(F.col("node").alias("root"), F.col("component").alias("least"))
+        groups = (groups.withColumnRenamed("component", "root").join(roots, "root", "left")
+                  .select("node", F.coalesce("least", "root").alias("component"))
+                  .unionByName(joined.join(groups, "node", "left_anti")))
+        groups = stage(groups, "minhash-groups")
 
     component = groups.withColumnRenamed("node", "rep")
     by_class = owner.join(component, "rep", "left").select("class", F.coalesce("component", "rep").alias("component"))
@@ -209,7 +219,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
     """``docs`` with one document of each group (the smallest id); of rows that repeat an id, one stays.
 
-    Rows with a NULL id stay unless their set is that of a row with an id.
+    Rows with a NULL id stay.
     """
     found = near_duplicates(docs, id_col, text_col, percent)
     ids = found.where("doc_id is not null").groupBy("doc_id").agg(
@@ -218,6 +228,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     named = docs.join(keep, docs[id_col].cast("long") == F.col("_id"))
     once = named.where("_times = 1").select(*[docs[c] for c in docs.columns])
     again = named.where("_times > 1").dropDuplicates(["_id"]).select(*[docs[c] for c in docs.columns])
-    # a row without an id goes only when its text is that of a row with one
-    unnamed = docs.where(F.col(id_col).isNull())
-    return once.unionByName(again).unionByName(unnamed)
+    return once.unionByName(again).unionByName(docs.where(F.col(id_col).isNull()))

@@ -106,11 +106,16 @@ def distance(rows_center: list[Column], low: dict, diag: list[Column]) -> Column
     return total([y[i] * y[i] / diag[i] for i in range(4)])
 
 
-def reject_outliers(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Add ``distance2`` to ``rows`` (key columns and x0..x3), per group of equal keys (NULL is a value)."""
+def match(keys: list[str]) -> Column:
+    """Rows and estimates of one group: key columns equal, NULL being a value."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)])
+
+
+def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Estimate per group of ``rows`` (key columns and x0..x3): its keys as _k0.., centre _m0.., the
+    triangle and diagonal of its covariance _l.., _d.., and the factor that makes the distances consistent."""
     k = [f"_k{i}" for i in range(len(keys))]
-    named = [F.col(c).alias(n) for c, n in zip(keys, k)]
-    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(keys, k)])
+    named, same = [F.col(c).alias(n) for c, n in zip(keys, k)], match(keys)
 
     def grouped(frame: DataFrame, *aggregates: Column) -> DataFrame:
         return stage(frame.groupBy(*named).agg(*aggregates), "quality-group")
@@ -123,26 +128,72 @@ def reject_outliers(rows: DataFrame, keys: list[str]) -> DataFrame:
     near = total([((F.col(x) - F.col(f"{x}_mid")) * (F.col(x) - F.col(f"{x}_mid")))
                   / F.greatest(F.lit(f * f), F.pow((F.col(f"{x}_hi") - F.col(f"{x}_lo")) / 1.349, F.lit(2.0)))
                   for x, f in zip(X, FLOOR)])
-    measured = rows.join(start, match).select(*rows.columns, near.alias("distance2"))
-    for step in range(STEPS):
+    measured = rows.join(start, same).select(*rows.columns, near.alias("distance2"))
+    for _ in range(STEPS):
         cut = grouped(measured, F.percentile(ranked(F.col("distance2")), F.lit(CORE)).alias("_cut"))
-        core = measured.join(cut, match).where(ranked(F.col("distance2")) <= F.col("_cut"))
+        core = measured.join(cut, same).where(ranked(F.col("distance2")) <= F.col("_cut"))
         sums = grouped(core, F.count(F.lit(1)).alias("_n"), *[F.sum(x).alias(f"_s{i}") for i, x in enumerate(X)],
                        *[F.sum(F.col(X[i]) * F.col(X[j])).alias(f"_p{i}{j}") for i, j in PAIRS])
         mean = [F.col(f"_s{i}") / F.col("_n") for i in range(4)]
         cov = {(i, j): (F.col(f"_p{i}{j}") / F.col("_n") - mean[i] * mean[j]) + (FLOOR[i] * FLOOR[i] if i == j else 0.0)
                for i, j in PAIRS}
         low, diag = cholesky(cov)
-        estimate = sums.select(*k, *[m.alias(f"_m{i}") for i, m in enumerate(mean)],
-                               *[v.alias(f"_l{i}{j}") for (i, j), v in low.items()],
-                               *[d.alias(f"_d{i}") for i, d in enumerate(diag)])
-        d2 = distance([F.col(x) - F.col(f"_m{i}") for i, x in enumerate(X)],
-                      {ij: F.col("_l{}{}".format(*ij)) for ij in low}, [F.col(f"_d{i}") for i in range(4)])
-        measured = rows.join(stage(estimate, "quality-estimate"), match).select(*rows.columns, d2.alias("distance2"))
+        estimate = stage(sums.select(*k, *[m.alias(f"_m{i}") for i, m in enumerate(mean)],
+                                     *[v.alias(f"_l{i}{j}") for (i, j), v in low.items()],
+                                     *[d.alias(f"_d{i}") for i, d in enumerate(diag)]), "quality-estimate")
+        measured = rows.join(estimate, same).select(*rows.columns, raw_distance().alias("distance2"))
     # consistency: the core's covariance is too small; never make it smaller
-    scale = grouped(measured, F.percentile(ranked(F.col("distance2")), F.lit(0.5)).alias("_mid"))
-    factor = F.greatest(F.lit(1.0), F.col("_mid") / 100 / CHI2_MEDIAN)
-    return measured.join(scale, match).select(*rows.columns, (F.col("distance2") / factor).alias("distance2"))
+    middle = measured.groupBy(*[F.col(c).alias(f"{n}m") for c, n in zip(keys, k)]).agg(
+        F.percentile(ranked(F.col("distance2")), F.lit(0.5)).alias("_mid"))
+    own = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"{n}m")) for n in k])
+    return (estimate.join(middle, own).withColumn("_factor", F.greatest(F.lit(1.0), F.col("_mid") / 100 / CHI2_MEDIAN))
+            .drop("_mid", *[f"{n}m" for n in k]))
+
+
+def raw_distance() -> Column:
+    """Squared distance of x0..x3 from a joined estimate."""
+    low = {(i, j): F.col(f"_l{i}{j}") for j in range(4) for i in range(j + 1, 4)}
+    return distance([F.col(x) - F.col(f"_m{i}") for i, x in enumerate(X)], low, [F.col(f"_d{i}") for i in range(4)])
+
+
+class QualityRules:
+    """Estimates of all groups of a corpus: one small row per language and source."""
+
+    KEYS = ["_lang", "_source"]
+
+    def __init__(self, groups: DataFrame) -> None:
+        self.groups = groups
+
+    @classmethod
+    def fit(cls, counts: DataFrame) -> QualityRules:
+        """``counts`` are :func:`base_counts` of the corpus; documents failing the base rules take no part."""
+        good = counts.where(~F.col("base_failed"))
+        means = stage(good.groupBy(F.col("_lang").alias("_k0"), F.col("_source").alias("_k1"))
+                      .agg((F.sum("word_chars") / F.sum("n_words")).alias("mean_len")), "quality-means")
+        rows = stage(vectors(good.join(means, match(cls.KEYS))).select(*cls.KEYS, *X), "quality-vectors")
+        found = estimates(rows, cls.KEYS)
+        means = means.select(F.col("_k0").alias("_g0"), F.col("_k1").alias("_g1"), "mean_len")
+        own = F.col("_k0").eqNullSafe(F.col("_g0")) & F.col("_k1").eqNullSafe(F.col("_g1"))
+        return cls(stage(found.join(means, own).drop("_g0", "_g1"), "quality-model"))
+
+    def apply(self, counts: DataFrame) -> DataFrame:
+        """Add ``kept`` and ``distance2`` (NULL where the base rules fail) to rows with counts."""
+        rows = vectors(counts.join(self.groups, match(self.KEYS), "left"))
+        d2 = F.when(~F.col("base_failed"), raw_distance() / F.col("_factor"))
+        return rows.withColumn("distance2", d2).withColumn(
+            "kept", ~F.col("base_failed") & F.coalesce(F.col("distance2") < CUTOFF, F.lit(True)))
+
+
+def base_counts(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    """``docs`` with counts, base verdict, and the group columns _lang and _source."""
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    return (with_counts(docs.withColumns({"_lang": F.col(lang_col).cast("string"),
+                                          "_source": F.col(source_col).cast("string"),
+                                          "_text": F.col(text_col).cast("string")}), "_text")
+            .withColumn("base_failed", failed).drop("_text"))
+
+
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -155,19 +206,21 @@ def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     in the estimates. A group of one document is its own centre and keeps it. An empty table
     gives an empty result.
     """
-    counts = with_counts(docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("_lang"),
-                                     F.col(source_col).cast("string").alias("_source"),
-                                     F.col(text_col).cast("string").alias("_text")), "_text").drop("_text")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    counts = stage(counts.withColumn("base_failed", failed), "quality-counts")
-    good = counts.where(~F.col("base_failed"))
-    means = stage(good.groupBy(F.col("_lang").alias("_l"), F.col("_source").alias("_s"))
-                  .agg((F.sum("word_chars") / F.sum("n_words")).alias("mean_len")), "quality-means")
-    good = stage(vectors(good.join(means, F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_source").eqNullSafe(F.col("_s"))))
-                 .drop("_l", "_s", "mean_len"), "quality-vectors")
-    out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    judged = reject_outliers(good, ["_lang", "_source"]).select(
-        *out, (F.col("distance2") < CUTOFF).alias("kept"), "distance2")
-    fails = counts.where("base_failed").select(*out, F.lit(False).alias("kept"),
-                                               F.lit(None).cast("double").alias("distance2"))
-    return judged.unionByName(fails)
+    counts = stage(_counted(docs, id_col, text_col, lang_col, source_col), "quality-counts")
+    return QualityRules.fit(counts).apply(counts).select("doc_id", *COUNTS, "base_failed", "kept", "distance2")
+
+
+def _counted(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    few = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t"), F.col(lang_col).alias("_a"),
+                      F.col(source_col).alias("_b"))
+    return base_counts(few, "_t", "_a", "_b").drop("_t", "_a", "_b")
+
+
+def keep_good(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+              source_col: str = "source") -> DataFrame:
+    """``docs`` without the documents that the rules reject; columns as they were, no text is shuffled."""
+    rules = QualityRules.fit(stage(_counted(docs, id_col, text_col, lang_col, source_col), "quality-counts"))
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    held = base_counts(whole.withColumns({"_t": F.col("_row")[text_col], "_a": F.col("_row")[lang_col],
+                                          "_b": F.col("_row")[source_col]}), "_t", "_a", "_b")
+    return rules.apply(held).where("kept").select("_row.*")
