@@ -5,25 +5,47 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkwright.llm.common import stage
 from linkwright.llm.decontam import drop_contaminated
+from linkwright.llm.minhash import keep_one
+from linkwright.llm.mixing import mix_sources
+from linkwright.llm.quality_rules import keep_good
 from linkwright.llm.secrets import redact
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return keep_good(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document of smallest id stays."""
+    return keep_one(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go."""
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the text become a mark; no document goes."""
-    return redact(docs)
+    """Secrets in the text become a mark, and n_chars follows; no document goes."""
+    return redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: words taken of each document, repeats counted; documents not taken go."""
+    return mix_sources(docs).where("taken > 0")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality),
+    ("minhash_near_dedup", near_dedup),
     ("benchmark_decontamination", decontaminate),
     ("secret_scan", mask_secrets),
+    ("source_mixing", mix),
 ]
 
 #: Not expressible in SQL; tests/llm checks the pipeline against plain Python.
