@@ -218,9 +218,11 @@ def _counted(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_
 
 def keep_good(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
               source_col: str = "source") -> DataFrame:
-    """``docs`` without the documents that the rules reject; columns as they were, no text is shuffled."""
-    rules = QualityRules.fit(stage(_counted(docs, id_col, text_col, lang_col, source_col), "quality-counts"))
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    held = base_counts(whole.withColumns({"_t": F.col("_row")[text_col], "_a": F.col("_row")[lang_col],
-                                          "_b": F.col("_row")[source_col]}), "_t", "_a", "_b")
-    return rules.apply(held).where("kept").select("_row.*")
+    """``docs`` without the documents that the rules reject; columns as they were.
+
+    Each row is judged by its own text, language and source; rows that repeat an id need not agree.
+    """
+    row = F.xxhash64(*[F.col(c).cast("string") for c in (id_col, lang_col, source_col, text_col)])
+    counts = stage(_counted(docs.withColumn("_row", row), "_row", text_col, lang_col, source_col), "quality-counts")
+    kept = QualityRules.fit(counts).apply(counts).where("kept").select("doc_id").distinct()
+    return docs.join(kept.select(F.col("doc_id").alias("_kept")), row == F.col("_kept"), "left_semi")
