@@ -87,23 +87,33 @@ def total(terms) -> Column:
     return reduce(lambda a, b: a + b, terms)
 
 
-def cholesky(cov: dict[tuple[int, int], Column]) -> tuple[dict, list[Column]]:
-    """Unit lower triangle and diagonal of the L D L' decomposition, as expressions."""
-    low, diag = {}, []
+def with_triangle(sums: DataFrame) -> DataFrame:
+    """Centre _m0.., and unit lower triangle _l.. and diagonal _d.. of the covariance's L D L' decomposition,
+    from the count _n, sums _s0.. and sums of products _p00.. of a group.
+
+    Built column by column, so that no expression repeats another one.
+    """
+    out = sums.withColumns({f"_m{i}": F.col(f"_s{i}") / F.col("_n") for i in range(4)})
+    out = out.withColumns({f"_c{i}{j}": (F.col(f"_p{i}{j}") / F.col("_n") - F.col(f"_m{i}") * F.col(f"_m{j}"))
+                           + (FLOOR[i] * FLOOR[i] if i == j else 0.0) for i, j in PAIRS})
     for j in range(4):
-        d = total([cov[j, j], *[-(low[j, k] * low[j, k] * diag[k]) for k in range(j)]])
-        diag.append(d)
+        less = [F.col(f"_l{j}{k}") * F.col(f"_l{j}{k}") * F.col(f"_d{k}") for k in range(j)]
+        out = out.withColumn(f"_d{j}", reduce(lambda a, b: a - b, [F.col(f"_c{j}{j}"), *less]))
+        rows = {}
         for i in range(j + 1, 4):
-            low[i, j] = total([cov[j, i], *[-(low[i, k] * low[j, k] * diag[k]) for k in range(j)]]) / d
-    return low, diag
+            less = [F.col(f"_l{i}{k}") * F.col(f"_l{j}{k}") * F.col(f"_d{k}") for k in range(j)]
+            rows[f"_l{i}{j}"] = reduce(lambda a, b: a - b, [F.col(f"_c{j}{i}"), *less]) / F.col(f"_d{j}")
+        if rows:
+            out = out.withColumns(rows)
+    return out.drop(*[f"_c{i}{j}" for i, j in PAIRS], *[f"_p{i}{j}" for i, j in PAIRS], *[f"_s{i}" for i in range(4)], "_n")
 
 
-def distance(rows_center: list[Column], low: dict, diag: list[Column]) -> Column:
-    """Squared Mahalanobis distance by forward substitution."""
-    y: list[Column] = []
+def with_distance(rows: DataFrame) -> DataFrame:
+    """Squared Mahalanobis distance ``distance2`` of x0..x3 from the joined estimate, by forward substitution."""
     for i in range(4):
-        y.append(total([rows_center[i], *[-(low[i, k] * y[k]) for k in range(i)]]))
-    return total([y[i] * y[i] / diag[i] for i in range(4)])
+        less = [F.col(f"_l{i}{k}") * F.col(f"_y{k}") for k in range(i)]
+        rows = rows.withColumn(f"_y{i}", reduce(lambda a, b: a - b, [F.col(X[i]) - F.col(f"_m{i}"), *less]))
+    return rows.withColumn("distance2", total([F.col(f"_y{i}") * F.col(f"_y{i}") / F.col(f"_d{i}") for i in range(4)]))
 
 
 def match(keys: list[str]) -> Column:
@@ -134,14 +144,8 @@ def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
         core = measured.join(cut, same).where(ranked(F.col("distance2")) <= F.col("_cut"))
         sums = grouped(core, F.count(F.lit(1)).alias("_n"), *[F.sum(x).alias(f"_s{i}") for i, x in enumerate(X)],
                        *[F.sum(F.col(X[i]) * F.col(X[j])).alias(f"_p{i}{j}") for i, j in PAIRS])
-        mean = [F.col(f"_s{i}") / F.col("_n") for i in range(4)]
-        cov = {(i, j): (F.col(f"_p{i}{j}") / F.col("_n") - mean[i] * mean[j]) + (FLOOR[i] * FLOOR[i] if i == j else 0.0)
-               for i, j in PAIRS}
-        low, diag = cholesky(cov)
-        estimate = stage(sums.select(*k, *[m.alias(f"_m{i}") for i, m in enumerate(mean)],
-                                     *[v.alias(f"_l{i}{j}") for (i, j), v in low.items()],
-                                     *[d.alias(f"_d{i}") for i, d in enumerate(diag)]), "quality-estimate")
-        measured = rows.join(estimate, same).select(*rows.columns, raw_distance().alias("distance2"))
+        estimate = stage(with_triangle(sums), "quality-estimate")
+        measured = with_distance(rows.join(estimate, same)).select(*rows.columns, "distance2")
     # consistency: the core's covariance is too small; never make it smaller
     middle = measured.groupBy(*[F.col(c).alias(f"{n}m") for c, n in zip(keys, k)]).agg(
         F.percentile(ranked(F.col("distance2")), F.lit(0.5)).alias("_mid"))
@@ -150,12 +154,6 @@ def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
             .drop("_mid", *[f"{n}m" for n in k]))
 
 
-def raw_distance() -> Column:
-    """Squared distance of x0..x3 from a joined estimate."""
-    low = {(i, j): F.col(f"_l{i}{j}") for j in range(4) for i in range(j + 1, 4)}
-    return distance([F.col(x) - F.col(f"_m{i}") for i, x in enumerate(X)], low, [F.col(f"_d{i}") for i in range(4)])
-
-
 class QualityRules:
     """Estimates of all groups of a corpus: one small row per language and source."""
 
@@ -178,8 +176,8 @@ class QualityRules:
 
     def apply(self, counts: DataFrame) -> DataFrame:
         """Add ``kept`` and ``distance2`` (NULL where the base rules fail) to rows with counts."""
-        rows = vectors(counts.join(self.groups, match(self.KEYS), "left"))
-        d2 = F.when(~F.col("base_failed"), raw_distance() / F.col("_factor"))
+        rows = with_distance(vectors(counts.join(self.groups, match(self.KEYS), "left")))
+        d2 = F.when(~F.col("base_failed"), F.col("distance2") / F.col("_factor"))
         return rows.withColumn("distance2", d2).withColumn(
             "kept", ~F.col("base_failed") & F.coalesce(F.col("distance2") < CUTOFF, F.lit(True)))
 
