@@ -3,8 +3,9 @@
 The reference works on two systems' company lists (firms with ``rec_id, name,
 kuerzel, plz, strasse``; accounts with ``Id, Account_Name, Billing_Code,
 Billing_Street``). No such data ships with it, so the queries derive both from
-``documents``: titles are the first 28 characters of each text, which gives
-real near copies in four languages. Every derivation is a plain projection of
+``pages``: a name is the whole ``<title>`` element of a page, white-space runs
+collapsed, nothing cut. Near copies are whole titles with one character left
+out, by a fixed rule on the page id. Every derivation is a plain projection of
 the whole table, so the work grows with the input.
 """
 
@@ -13,28 +14,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TITLE_CHARS = 28
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(k, title): whitespace runs collapsed, first 28 characters, trimmed.
-
-    The whitespace rewrite runs over every whole text. A file with a single
-    row group scans as one task; then the rows are spread first so that the
-    text work uses every core (a large table already scans in parallel and is
-    left as it is).
-    """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    parallelism = spark.sparkContext.defaultParallelism
-    if docs.rdd.getNumPartitions() < parallelism:
-        docs = docs.repartition(parallelism)
-    flat = F.regexp_replace("text", "[ \\t\\n\\f\\r]+", " ")
-    return docs.select(F.col("doc_id").alias("k"),
-                       F.trim(F.substring(flat, 1, TITLE_CHARS)).alias("title"))
+    """(k, title): the whole title of every page, white-space runs collapsed, trimmed."""
+    title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
+    return table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("k"),
+        F.trim(F.regexp_replace(title, "[ \\t\\n\\f\\r]+", " ")).alias("title"))
 
 
 def _txt(c) -> F.Column:
@@ -42,7 +32,7 @@ def _txt(c) -> F.Column:
 
 
 def firms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Left system: even ``doc_id``; NULL name every 14th, NULL plz every 22nd."""
+    """Left system: even ``page_id``; NULL name every 14th, NULL plz every 22nd."""
     b = titles(spark, sf_dir).where(F.col("k") % 2 == 0)
     k = F.col("k")
     road = (F.when(k % 10 == 0, "Hauptstraße").when(k % 10 == 2, "Bahnhofstr.")
@@ -62,31 +52,39 @@ def firms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Right system: untrimmed name-only rows (odd ``doc_id``) plus rows that
-    can match by address only (``doc_id % 4 = 0``)."""
-    t = titles(spark, sf_dir)
-    k = F.col("k")
+    """Right system, one scan: per page up to two rows. Untrimmed name-only rows (odd ``page_id``), near
+    copies of firm names (``page_id % 6 = 0``, one character left out), and rows that can match by
+    address only (``page_id % 4 = 0``)."""
+    k, title = F.col("k"), F.col("title")
     null = F.lit(None).cast("string")
-    name_only = t.where(k % 2 == 1).select(
-        _txt(k).alias("Id"), F.concat(F.lit("  "), "title", F.lit(" ")).alias("Account_Name"),
-        null.alias("Billing_Code"), null.alias("Billing_Street"))
+    gap = (k % F.greatest(F.length(title), F.lit(1))).cast("int")   # characters before the one left out
+    near = F.concat(F.substring(title, F.lit(1), gap), F.substring(title, gap + 2, F.length(title)))
     road = (F.when(k % 10 == 0, "Hauptstr.").when(k % 10 == 2, "Bahnhofstraße")
             .when(k % 10 == 4, "MÜLLERWEG").when(k % 10 == 6, "Weststraße")
             .when(k % 10 == 8, "Linden-Allee"))
-    by_address = t.where(k % 4 == 0).select(
-        _txt(k + 1000000).alias("Id"),
-        F.when(k % 12 == 0, F.concat(F.repeat(F.lit("qzx7"), 15), F.lit(" "), "title"))
-         .when(k % 20 == 0, F.lit("Unrelated 4711"))
-         .otherwise(F.concat("title", F.lit(" Niederlassung Nord"))).alias("Account_Name"),
-        F.lpad(_txt((k * 7919) % 99999), 5, "0").alias("Billing_Code"),
-        F.concat(road, F.lit(" "), _txt(k % 90 + 1)).alias("Billing_Street"))
-    return name_only.unionByName(by_address)
+
+    def row(number, name, code, street):
+        return F.struct(_txt(number).alias("Id"), name.alias("Account_Name"), code.alias("Billing_Code"),
+                        street.alias("Billing_Street"))
+
+    rows = F.array(
+        F.when(k % 2 == 1, row(k, F.concat(F.lit("  "), title, F.lit(" ")), null, null)),
+        F.when(k % 6 == 0, row(k + 2000000, F.concat(near, F.lit(" Ltd")), null, null)),
+        F.when(k % 4 == 0, row(
+            k + 1000000,
+            F.when(k % 12 == 0, F.concat(F.repeat(F.lit("qzx7"), 15), F.lit(" "), title))
+             .when(k % 20 == 0, F.lit("Unrelated 4711"))
+             .otherwise(F.concat(title, F.lit(" Niederlassung Nord"))),
+            F.lpad(_txt((k * 7919) % 99999), 5, "0"),
+            F.concat(road, F.lit(" "), _txt(k % 90 + 1)))))
+    return (titles(spark, sf_dir).select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r"))
+            .select("r.*"))
 
 
 # The same derivations in DuckDB SQL, for the oracle queries.
 SQL_TITLES = (
-    "select doc_id as k, trim(substr(regexp_replace(text, '[ \\t\\n\\f\\r]+', ' ', 'g'), 1, 28)) "
-    "as title from documents")
+    "select page_id as k, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), "
+    "'[ \\t\\n\\f\\r]+', ' ', 'g')) as title from pages")
 
 SQL_FIRMS = f"""
 select cast(k as varchar) as rec_id,
@@ -105,6 +103,9 @@ select cast(k as varchar) as Id, concat('  ',title,' ') as Account_Name,
        cast(null as varchar) as Billing_Code, cast(null as varchar) as Billing_Street
 from ({SQL_TITLES}) b where k%2=1
 union all
+select cast(2000000+k as varchar), concat(substr(title, 1, g), substr(title, g + 2), ' Ltd'), null, null
+from (select *, k % greatest(length(title), 1) as g from ({SQL_TITLES})) b where k%6=0
+union all
 select cast(1000000+k as varchar),
        case when k%12=0 then concat(repeat('qzx7',15),' ',title)
             when k%20=0 then 'Unrelated 4711'

@@ -23,12 +23,20 @@ def try_cast_long(c) -> Column:
     """Text -> bigint like the oracle's ``try_cast(x AS int64)`` (F10):
     integers as is (surrounding spaces allowed), decimals and exponent forms
     rounded half away from zero (``'2.5'`` -> 3, ``'1e3'`` -> 1000), anything
-    else or out of range -> NULL. Large ids never pass through double.
-    Hex and ``1_000`` forms are not accepted (documented difference)."""
+    else or out of range -> NULL. Large ids never pass through double, and a
+    plain decimal is rounded by its first decimal digit alone, however many
+    follow. Hex and ``1_000`` forms are not accepted (documented difference)."""
     c = _col(c).cast("string")
     exact = c.try_cast("bigint")
+    plain = r"^\s*([+-]?)([0-9]*)\.([0-9]*)\s*$"
+    part = lambda i: F.regexp_extract(c, plain, i)
+    whole = F.when(part(2) == "", "0").otherwise(part(2))
+    up = F.when(part(3).rlike("^[5-9]"), F.lit(1)).otherwise(F.lit(0))
+    size = whole.try_cast("decimal(38,0)") + up
+    decimal = F.when(part(1) == "-", -size).otherwise(size).try_cast("bigint")
     rounded = F.round(c.try_cast("decimal(38,10)")).try_cast("bigint")
-    return F.coalesce(exact, rounded)
+    is_plain = c.rlike(plain) & c.rlike("[0-9]")
+    return F.coalesce(exact, F.when(is_plain, decimal).otherwise(rounded))
 
 
 def na_tokens_to_null(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

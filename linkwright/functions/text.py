@@ -36,23 +36,30 @@ LEGAL_FORM_REGEX = (f"(?<![{_ASCII_WORD}])(" + "|".join(LEGAL_FORMS)
                     + f")(?![{_ASCII_WORD}])")
 
 
-def _decomposition_table(first: int = 0x00C0, last: int = 0x2FFF) -> tuple[str, str]:
+def _decomposition_table() -> tuple[str, str]:
     """Characters whose canonical decomposition is one base letter plus marks.
 
-    Built by rule from ``unicodedata`` (NFD, drop combining marks), so the table
-    follows the Unicode database instead of being typed in.
+    Built by rule from ``unicodedata`` (NFD, drop marks), so the table follows the
+    Unicode database instead of being typed in. Stand-alone marks come last,
+    without a counterpart: ``translate`` drops those.
     """
-    src, dst = [], []
-    for cp in range(first, last + 1):
+    src, dst, marks = [], [], []
+    # all planes that hold letters or marks with a canonical decomposition
+    for cp in (*range(0xC0, 0x30000), *range(0xE0000, 0xE0200)):
         ch = chr(cp)
+        if unicodedata.category(ch) in ("Cs", "Cn"):   # surrogates, unassigned
+            continue
+        if unicodedata.category(ch)[0] == "M":
+            marks.append(ch)
+            continue
         nfd = unicodedata.normalize("NFD", ch)
         if nfd == ch:
             continue
-        base = "".join(c for c in nfd if not unicodedata.combining(c))
+        base = "".join(c for c in nfd if unicodedata.category(c)[0] != "M")
         if len(base) == 1 and base != ch:
             src.append(ch)
             dst.append(base)
-    return "".join(src), "".join(dst)
+    return "".join(src + marks), "".join(dst)
 
 
 _ACCENT_SRC, _ACCENT_DST = _decomposition_table()
@@ -65,8 +72,7 @@ def _col(c) -> Column:
 def strip_accents(c) -> Column:
     """Remove diacritics: letters with a canonical decomposition lose their
     marks, stand-alone combining marks are dropped; ``ß ø æ ł`` stay (F3)."""
-    c = F.translate(_col(c), _ACCENT_SRC, _ACCENT_DST)
-    return F.regexp_replace(c, r"\p{M}+", "")
+    return F.translate(_col(c), _ACCENT_SRC, _ACCENT_DST)
 
 
 def clean_account_name(c) -> Column:

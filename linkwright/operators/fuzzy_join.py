@@ -38,12 +38,9 @@ from ..functions.similarity import (WINKLER_MAX_PREFIX, jaro_winkler_verify_udf,
                                     match_fraction_bounds)
 from ..session import ensure_checkpoint_dir
 
-# Above this many distinct tokens the frequency table is joined by shuffle
-# instead of broadcast (it is at most alphabet size x longest name).
-TOKEN_TABLE_BROADCAST_ROWS = 1_000_000
 _EPS = 1e-9
 _KEY_JOIN_HINT = "merge"
-_OCC_RANGE = 1 << 20  # occurrence numbers below this fit in a token id
+_OCC_RANGE = 1 << 32  # above any occurrence number in a name, so token ids never collide
 
 
 def _bounds_sql(bounds: list[float]) -> str:
@@ -152,7 +149,7 @@ def max_key_sizes(bounds: list[float]) -> list[int]:
 LONG_NAME = 40
 
 
-def key_families(bounds: list[float], sizes: list[int]) -> list[tuple[int, int, int, int]]:
+def key_families(bounds: list[float], sizes: list[int]) -> list[tuple[int, int, int, int | None]]:
     """(level, k, min_len, max_len) key families.
 
     C(p, k) keys per name grow fast for long names, so at a level with k >= 2
@@ -166,7 +163,7 @@ def key_families(bounds: list[float], sizes: list[int]) -> list[tuple[int, int,
     for lvl, (b, k) in enumerate(zip(bounds, sizes)):
         lo, top = 0, float(LONG_NAME)
         for kk in range(k, 0, -1):
-            hi = int(top) if kk > 1 else 1 << 30
+            hi = int(top) if kk > 1 else None   # the last band has no end
             fams.append((lvl, kk, lo, hi))
             lo = math.floor(b * int(top) - _EPS) + 1
             top *= 1.5
@@ -182,7 +179,8 @@ def _prefix_lengths(bounds: list[float], families) -> dict[str, Column]:
     for i, (lvl, k, lo, hi) in enumerate(families):
         b = bounds[lvl]
         plen = F.least(n, n - F.floor(F.lit(b) * n - _EPS).cast("int") - 1 + k)
-        out[f"_p{i}"] = F.when((n >= lvl) & (n >= lo) & (n <= hi), plen).otherwise(F.lit(0))
+        inside = (n >= lvl) & (n >= lo) & (F.lit(True) if hi is None else n <= hi)
+        out[f"_p{i}"] = F.when(inside, plen).otherwise(F.lit(0))
     return out
 
 
@@ -233,13 +231,9 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
         F.when(F.length("name") > 0, F.lit(1.0)).otherwise(F.lit(0.0)).alias("sim"))
 
     raw_a, raw_b = _raw_tokens(a_names), _raw_tokens(b_names)
-    token_table = keep(raw_a.select("tid").unionByName(raw_b.select("tid"))
-                       .groupBy("tid").agg(F.count(F.lit(1)).alias("f")))
-    # size check before broadcasting: small, but its size depends on the data
-    freq = token_table
-    if token_table.count() <= TOKEN_TABLE_BROADCAST_ROWS:
-        freq = F.broadcast(token_table)
-
+    # AQE broadcasts it or not, by its measured size
+    freq = keep(raw_a.select("tid").unionByName(raw_b.select("tid"))
+                .groupBy("tid").agg(F.count(F.lit(1)).alias("f")))
     families = key_families(bounds, sizes)
     keys = _keys_expr(families)
     plens = _prefix_lengths(bounds, families)
@@ -271,7 +265,8 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     # the matches are few; write them once to the shared checkpoint folder so
     # later steps do not recompute the candidate join, then free the cache
     ensure_checkpoint_dir(pairs.sparkSession)
-    pairs = pairs.checkpoint(eager=True)
-    for cached in (a_names, b_names, token_table):
-        cached.unpersist()
-    return pairs
+    try:
+        return pairs.checkpoint(eager=True)
+    finally:
+        for cached in (a_names, b_names, freq):
+            cached.unpersist()

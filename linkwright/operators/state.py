@@ -32,20 +32,19 @@ def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str | None = No
     SQL three-valued logic: an empty ``other`` keeps every row (NULL keys too);
     a NULL in ``other`` keeps none; otherwise NULL keys are dropped and the rest
     is an anti join. Spark's own NOT IN plan is a null-aware broadcast join and
-    becomes a nested loop once ``other`` is too large to broadcast, so the two
-    scalar facts are read first and the row work stays a hash/sort-merge join.
+    becomes a nested loop once ``other`` is too large to broadcast. Here the two
+    facts are scalar subqueries of the same lazy plan (one row, no job while it
+    is built) and the row work is an equi join.
     """
     other_col = other_col or col
     keys = other.select(F.col(other_col).alias("_k"))
-    stats = keys.agg(F.count(F.lit(1)).alias("n"),
-                     F.count(F.when(F.col("_k").isNull(), 1)).alias("nulls")).first()
-    if stats["n"] == 0:
-        return df
-    if stats["nulls"] > 0:
-        return df.where(F.lit(False))
-    present = keys.distinct()
-    return (df.where(F.col(col).isNotNull())
-            .join(present, F.col(col) == present["_k"], "left_anti"))
+    facts = keys.agg((F.count(F.lit(1)) == 0).alias("none"),
+                     (F.count(F.when(F.col("_k").isNull(), 1)) > 0).alias("null")).select(F.struct("none", "null"))
+    fact = facts.scalar()
+    present = keys.where("_k is not null").distinct().withColumn("_in", F.lit(True))
+    joined = df.join(present, F.col(col) == F.col("_k"), "left")
+    keep = fact["none"] | (~fact["null"] & F.col(col).isNotNull() & F.col("_in").isNull())
+    return joined.where(keep).select(*[df[c] for c in df.columns])
 
 
 def ensure_all_keys(state: DataFrame, firms: DataFrame, key: str = "rec_id",

@@ -201,6 +201,30 @@ from customer""",
     "zip_export_load": """select cast(n_nationkey as varchar) as n_nationkey, n_name,
   cast(n_regionkey as varchar) as n_regionkey from nation""",
 
+    "zip_multi_module": """select cast(s_suppkey as varchar) as s_suppkey, s_name,
+  case when s_suppkey % 2 = 0 then cast(s_nationkey as varchar) end as s_nationkey,
+  case when s_suppkey % 2 = 0 then cast(s_acctbal as varchar) end as s_acctbal
+from supplier""",
+
+    "xml_shapes": """select 'child' as file, cast(n_nationkey as varchar) as n_nationkey, n_name,
+  cast(n_regionkey as varchar) as n_regionkey from nation
+union all
+select 'inner', cast(n_nationkey as varchar), n_name, null from nation""",
+
+    "update_from_csv": """select o_orderkey, case when o_orderstatus = 'O' then
+    case o_orderkey % 5 when 0 then null when 1 then o_orderkey % 1000 when 2 then o_orderkey % 1000 + 1
+         when 3 then -100 else o_orderkey end else o_custkey end as o_custkey,
+  o_orderstatus = 'O' as updated
+from orders""",
+
+    "refresh_from_csv": """select cast(doc_id as varchar) as doc_id, cast(quality = 1 as double) as via_angebote,
+  cast(toxic = 1 as double) as locked__s, cast(quality = 1 and toxic = 0 as double) as ap_ist_entscheider
+from labels""",
+
+    "match_custom": f"""with {BASE},
+c as (select Billing_Code, min(Id) as Id from accounts where Billing_Code is not null group by Billing_Code)
+select rec_id, c.Id as id_zoho from firms left join c on plz = Billing_Code""",
+
     "full_refresh": """select doc_id, cast(quality = 1 as double) as via_angebote,
   cast(toxic = 1 as double) as locked__s,
   cast(quality = 1 and toxic = 0 as double) as ap_ist_entscheider

@@ -67,7 +67,7 @@ def link(firms: DataFrame, accounts: DataFrame, state: DataFrame | None = None,
     spark = firms.sparkSession
     registry = registry or default_registry()
     if enabled is not None:
-        registry.enable_only(enabled)
+        registry = registry.enable_only(enabled)
     # every matcher reads both inputs; keep them (memory, then disk) for the
     # duration of the job instead of recomputing them per matcher. Only when
     # the state is checkpointed can they be released again before returning.

@@ -9,7 +9,7 @@ and fills only NULL links, so an earlier match is never overwritten.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -180,16 +180,15 @@ class MatcherRegistry:
         self.matchers.append(m)
         return m
 
-    def enable_only(self, names: Iterable[str] | str | None) -> None:
-        """Enable list (M4): a comma list or iterable; when non-empty every
-        other matcher is disabled. Unknown names are ignored."""
+    def enable_only(self, names: Iterable[str] | str | None) -> MatcherRegistry:
+        """Enable list (M4): a comma list or iterable; when non-empty, a copy of
+        the registry in which every other matcher is disabled. A matcher that
+        was registered as disabled stays so. Unknown names are ignored."""
         if isinstance(names, str):
             names = [n.strip() for n in names.split(",") if n.strip()]
         names = list(names or [])
-        if not names:
-            return
-        for m in self.matchers:
-            m.enabled = m.name in names
+        return MatcherRegistry([replace(m, enabled=m.enabled and (not names or m.name in names))
+                                for m in self.matchers])
 
     def enabled(self) -> list[Matcher]:
         return [m for m in self.matchers if m.enabled]
@@ -199,7 +198,7 @@ def default_registry() -> MatcherRegistry:
     """The two default matchers in reference order (M5): names, then addresses."""
     reg = MatcherRegistry()
     reg.register("name_match", lambda f, a: match_by_name(f, a),
-                 "Match firms by cleaned name and Jaro-Winkler similarity")
+                 "Cleaned names, equal or very similar")
     reg.register("address_match", lambda f, a: match_by_address(f, a),
-                 "Match firms by road, postcode and house number")
+                 "Same cleaned road, postcode and a house number in common, names alike")
     return reg

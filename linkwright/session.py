@@ -51,11 +51,18 @@ def build_session(master: str | None = None, app_name: str = "linkwright",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process, so that local folders are shared."""
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster names a shared folder (HDFS, object store) there. Only when it
-    is unset -- local runs and tests -- do we pick a folder ourselves.
+    is unset do we pick a folder ourselves, and only for a local master: on a
+    cluster a folder of one machine would be lost to the others, so it raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +71,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = os.path.join(os.environ.get("LINKWRIGHT_LOCAL_DIR", "/tmp"),
                                   "linkwright-checkpoints")
     sc.setCheckpointDir(configured)

@@ -1,12 +1,13 @@
 """Zipped CSV export landing.
 
-Each module arrives as ``<module>_exportZoho.zip`` holding one CSV. Spark has
+Each module arrives as ``<module>_exportZoho.zip`` holding CSV files. Spark has
 no ZIP codec, and a ZIP is not splittable, so each archive is one task: a
-``mapInPandas`` over the ``binaryFile`` rows streams every member through the
-``csv`` module and emits ``(archive, member, row_no, header, values)``. The
-column names come from the header row; values become text columns and the
-pandas NA tokens become NULL. Only landed files are processed; the HTTP export
-client of the reference is not part of this library.
+``mapInPandas`` over the file listing opens the archive by path, streams every
+member through the ``csv`` module and emits one map per row, from column name to
+text. Members are told apart, so their headers may differ; a member of a header
+alone still gives its columns. A row longer than its header, or a member that is
+no CSV, raises. pandas' NA tokens become NULL. Only landed files are processed;
+the HTTP export client of the reference is not part of this library.
 """
 
 from __future__ import annotations
@@ -21,48 +22,67 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import na_tokens_to_null
+from ..session import is_local, scratch_path
 
-# The CRM modules the reference exports, in its order.
-EXPORT_MODULES = ("Leads", "Accounts", "Contacts", "Deals", "Campaigns", "Tasks",
-                  "Events", "Calls", "Products", "Salesorders", "Invoices")
+# Fixed value: the file name ending of the export archives.
 ARCHIVE_SUFFIX = "_exportZoho.zip"
 
 _ROWS_SCHEMA = ("archive string, member string, row_no long, "
-                "header array<string>, vals array<string>")
+                "header array<string>, cells map<string,string>")
 _BATCH_ROWS = 10_000
 
 
-def _explode_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _open_archive(path: str):
+    """A seekable file of any Hadoop-style URI, read by parts."""
+    if path.startswith("file:"):
+        return open("/" + path[5:].lstrip("/"), "rb")
+    import pyarrow.fs as pafs
+    fs, inner = pafs.FileSystem.from_uri(path)
+    return fs.open_input_file(inner)
+
+
+def _member_rows(path: str, zf: zipfile.ZipFile) -> Iterator[tuple]:
+    """(archive, member, row number, header, cells); row 0 bears the header."""
+    for member in zf.namelist():
+        if member.endswith("/"):
+            continue
+        if not member.lower().endswith(".csv"):
+            raise ValueError(f"{path}: member {member!r} is no CSV file")
+        with zf.open(member) as raw:
+            reader = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
+            header = next(reader, None)
+            if header is None:
+                continue
+            yield path, member, 0, header, None
+            for i, record in enumerate(reader, 1):
+                if len(record) > len(header):
+                    raise ValueError(f"{path}: {member!r} row {i} has {len(record)} fields, "
+                                     f"its header has {len(header)}")
+                if record:   # a blank line is no row
+                    yield path, member, i, None, dict(zip(header, record))
+
+
+def _read_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["archive", "member", "row_no", "header", "cells"]
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                for member in zf.namelist():
-                    if not member.lower().endswith(".csv"):
-                        continue
-                    with zf.open(member) as raw:
-                        reader = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig",
-                                                             newline=""))
-                        header = next(reader, None)
-                        if header is None:
-                            continue
+        for path in batch["path"]:
+            rows = []
+            with _open_archive(path) as raw, zipfile.ZipFile(raw) as zf:
+                for row in _member_rows(path, zf):
+                    rows.append(row)
+                    if len(rows) >= _BATCH_ROWS:
+                        yield pd.DataFrame(rows, columns=names)
                         rows = []
-                        for i, rec in enumerate(reader, 1):
-                            rows.append((path, member, i, header, rec))
-                            if len(rows) >= _BATCH_ROWS:
-                                yield pd.DataFrame(rows, columns=[
-                                    "archive", "member", "row_no", "header", "vals"])
-                                rows = []
-                        if rows:
-                            yield pd.DataFrame(rows, columns=[
-                                "archive", "member", "row_no", "header", "vals"])
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
 
 
 def read_zip_rows(spark: SparkSession, path: str) -> DataFrame:
     """Long form of every CSV row in the ZIP archives at ``path`` (a file, a
-    folder or a glob): ``(archive, member, row_no, header, vals)``."""
+    folder or a glob): ``(archive, member, row_no, header, cells)``."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-             .load(path).select("path", "content"))
-    return files.mapInPandas(_explode_archives, _ROWS_SCHEMA)
+             .load(path).select("path"))
+    return files.mapInPandas(_read_archives, _ROWS_SCHEMA)
 
 
 def module_name(archive_path: str) -> str:
@@ -78,22 +98,24 @@ def module_name(archive_path: str) -> str:
 def load_zip_exports(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """One all-text table per module found in the archives.
 
-    The archives are read once (checkpointed to the shared folder); the
-    distinct headers -- one small row per archive -- name the columns.
+    The archives are read once, into one folder per module; the distinct
+    headers -- metadata -- name the columns, in order of first appearance.
     """
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    rows = read_zip_rows(spark, path).checkpoint(eager=True)
-    headers = rows.groupBy("archive", "header").agg(F.count(F.lit(1)).alias("n")).collect()
-    tables: dict[str, DataFrame] = {}
-    for h in sorted(headers, key=lambda r: r["archive"]):
-        cols = list(h["header"])
-        part = rows.where(F.col("archive") == h["archive"]).select(
-            *[F.get(F.col("vals"), i).alias(c) for i, c in enumerate(cols)])
-        module = module_name(h["archive"])
-        tables[module] = (tables[module].unionByName(part, allowMissingColumns=True)
-                          if module in tables else part)
-    return {m: na_tokens_to_null(t) for m, t in tables.items()}
+    module = F.regexp_replace(F.regexp_extract("archive", r"([^/]*)/*$", 1),
+                              rf"({ARCHIVE_SUFFIX[:-4]}.*|\.[^.]*)$", "")
+    staged = scratch_path(spark, "zip_rows")
+    rows = read_zip_rows(spark, path).withColumn("module", module)
+    rows.write.partitionBy("module").parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
+    headers = (rows.where("row_no = 0").groupBy("module", "header")
+               .agg(F.min(F.struct("archive", "member")).alias("at")).orderBy("module", "at").collect())
+    columns: dict[str, dict[str, None]] = {}
+    for h in headers:
+        columns.setdefault(h["module"], {}).update(dict.fromkeys(h["header"]))
+    return {m: na_tokens_to_null(
+                rows.where((F.col("module") == m) & (F.col("row_no") > 0))
+                .select(*[F.col("cells")[c].alias(c) for c in names]))
+            for m, names in columns.items()}
 
 
 def _open_output(uri: str):
@@ -115,11 +137,15 @@ def write_zip_export(df: DataFrame, folder: str, module: str) -> int:
     number of archives. Used to build landing folders (and test fixtures)."""
     import uuid as _uuid
 
+    if not is_local(df.sparkSession) and (folder.startswith("/") or folder.startswith("file:")):
+        raise ValueError(f"{folder} is a folder of one machine; name one that all executors share")
     columns = df.columns
     run = _uuid.uuid4().hex[:8]
     base = folder.rstrip("/")
 
-    def write_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyspark import TaskContext
+
+    def write_part(batches: Iterator[pd.DataFrame], always: bool = False) -> Iterator[pd.DataFrame]:
         buf = io.StringIO()
         writer = csv.writer(buf, lineterminator="\n")
         writer.writerow(columns)
@@ -128,11 +154,10 @@ def write_zip_export(df: DataFrame, folder: str, module: str) -> int:
             for rec in batch.itertuples(index=False):
                 writer.writerow(["" if v is None else v for v in rec])
                 n += 1
-        if n == 0:
+        if n == 0 and not always:
             return
         # named by partition, not by attempt: a retried task (lost executor)
         # rewrites the same archive instead of adding a second copy
-        from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         name = f"{module}{ARCHIVE_SUFFIX[:-4]}-{run}-{part:05d}.zip"
         with _open_output(f"{base}/{name}") as out:
@@ -142,5 +167,9 @@ def write_zip_export(df: DataFrame, folder: str, module: str) -> int:
             out.write(data.getvalue())
         yield pd.DataFrame({"archive": [name], "rows": [n]})
 
-    written = df.mapInPandas(write_part, "archive string, rows long").collect()
-    return len(written)
+    done = "archive string, rows long"
+    written = df.mapInPandas(write_part, done).count()
+    if written:
+        return written
+    # an empty table is one archive with a header
+    return df.sparkSession.range(1).mapInPandas(lambda _: write_part(iter(()), always=True), done).count()

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.casts import na_tokens_to_null
 
@@ -13,13 +14,13 @@ from ..functions.casts import na_tokens_to_null
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
 
-def list_files(spark: SparkSession, folder: str) -> list[str]:
-    """Full paths of the files directly inside ``folder`` (file listing only,
+def list_entries(spark: SparkSession, folder: str) -> list[str]:
+    """Full paths of the entries directly inside ``folder`` (listing only,
     through Hadoop's FileSystem API so any store works)."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(str(s.getPath().toString()) for s in fs.listStatus(path) if s.isFile())
+    return sorted(str(s.getPath().toString()) for s in fs.listStatus(path))
 
 
 def _stem(path: str) -> str:
@@ -27,10 +28,24 @@ def _stem(path: str) -> str:
     return name.rsplit(".", 1)[0] if "." in name else name
 
 
-def read_text_csv(spark: SparkSession, path: str, na_tokens: bool = True) -> DataFrame:
-    """A CSV file as an all-text table: header row, no type inference, quoted
-    newlines kept; pandas' NA tokens become NULL (F17)."""
-    df = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path)
+_EXTRA = "_beyond_header"
+
+
+def read_text_csv(spark: SparkSession, path: str, na_tokens: bool = True,
+                  multi_line: bool = True) -> DataFrame:
+    """A CSV file, or a folder of files of one header, as an all-text table in
+    one scan: header row, no type inference, pandas' NA tokens become NULL (F17).
+
+    A row with more fields than the header raises, as pandas does; a shorter
+    one is filled with NULL. Quoted newlines are kept, which makes a file one
+    task; without any, ``multi_line=False`` lets large files be split.
+    """
+    options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower()}
+    names = spark.read.options(**options).option("inferSchema", "false").csv(path).columns
+    schema = StructType([StructField(n, StringType(), True) for n in [*names, _EXTRA]])
+    df = spark.read.options(**options).schema(schema).csv(path)
+    too_long = F.raise_error(F.concat(F.lit(f"more fields than the header of {path}: "), F.col(f"`{_EXTRA}`")))
+    df = df.where(F.when(F.col(f"`{_EXTRA}`").isNull(), True).otherwise(too_long.cast("boolean"))).drop(_EXTRA)
     return na_tokens_to_null(df) if na_tokens else df
 
 
@@ -44,10 +59,11 @@ def read_typed_csv(spark: SparkSession, path: str, schema: StructType | str | No
 
 
 def load_csv_dump(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """One all-text table per CSV file of a folder, named by the file stem.
-    A file counts as CSV when its name ends in ``csv``, as in the reference."""
+    """One all-text table per entry of a folder whose name ends in ``csv``, as in
+    the reference, named by its stem (M11). The entry is a file, or a folder of
+    part files of one table, which is one scan however many parts there are."""
     return {_stem(p): read_text_csv(spark, p)
-            for p in list_files(spark, folder) if p[-3:] == "csv"}
+            for p in list_entries(spark, folder) if p.rstrip("/")[-3:] == "csv"}
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

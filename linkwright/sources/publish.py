@@ -30,10 +30,12 @@ def _write_pointer(spark: SparkSession, base: str, version: str) -> None:
     out = fs.create(tmp, True)
     out.write(bytearray(version.encode("utf-8")))
     out.close()
-    if fs.exists(final):
-        fs.delete(final, False)
-    if not fs.rename(tmp, final):
-        raise OSError(f"could not publish pointer under {base}")
+    # one rename over the old pointer: readers see the old version or the new one
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        final.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(final), options)
 
 
 def current_version(spark: SparkSession, base: str) -> str | None:
@@ -51,12 +53,13 @@ def current_version(spark: SparkSession, base: str) -> str | None:
 
 
 def publish(df: DataFrame, base: str, version: str | None = None,
-            fmt: str = "parquet") -> str:
+            fmt: str = "parquet", replace: bool = False) -> str:
     """Write ``df`` as a new version of the table at ``base`` and make it
     current. Returns the version name. An existing version is never
-    overwritten (``errorifexists``)."""
+    overwritten (``errorifexists``) unless ``replace`` is set, which is meant
+    for a version whose writing broke off."""
     version = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    df.write.mode("errorifexists").format(fmt).save(f"{base}/version={version}")
+    df.write.mode("overwrite" if replace else "errorifexists").format(fmt).save(f"{base}/version={version}")
     _write_pointer(df.sparkSession, base, version)
     return version
 

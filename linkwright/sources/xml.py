@@ -34,7 +34,7 @@ from pyspark.sql.types import (ArrayType, LongType, StringType, StructField,
 
 ROW_TAG = "Row"
 XML_READ_OPTIONS = {"inferSchema": "false", "ignoreSurroundingSpaces": "false",
-                    "nullValue": "", "excludeAttribute": "true", "mode": "PERMISSIVE"}
+                    "nullValue": "", "excludeAttribute": "true", "mode": "FAILFAST"}
 _DISCOVERY_SCHEMA = ("path string, table_name string, row_tag string, "
                      "empty_columns array<string>")
 
@@ -59,7 +59,7 @@ def inspect_xml(stream) -> tuple[str, str | None, list[str] | None]:
     """(table_name, row_tag, empty_columns) of one XML document."""
     depth = 0
     root_name = None
-    child_tags: list[str] = []
+    child_tags: dict[str, None] = {}   # distinct, in order
     all_children_nested = True
     first_child_cols: list[str] | None = None
     current_has_children = False
@@ -75,7 +75,7 @@ def inspect_xml(stream) -> tuple[str, str | None, list[str] | None]:
             elif tag == ROW_TAG:
                 return root_name, ROW_TAG, None
             elif depth == 2:
-                child_tags.append(tag)
+                child_tags[tag] = None
                 current_has_children = False
                 current_cols = []
             elif depth == 3:
@@ -91,8 +91,7 @@ def inspect_xml(stream) -> tuple[str, str | None, list[str] | None]:
                 elem.clear()
             depth -= 1
     if child_tags and all_children_nested:
-        distinct = list(dict.fromkeys(child_tags))
-        return root_name, "|".join(distinct), None
+        return root_name, "|".join(child_tags), None
     return root_name, None, first_child_cols or []
 
 
@@ -129,11 +128,36 @@ def _flatten_field(field: StructField):
     return c.alias(field.name)
 
 
+def _holds(dt, tag: str) -> bool:
+    """Whether a type has a field named ``tag`` at any depth."""
+    if isinstance(dt, ArrayType):
+        return _holds(dt.elementType, tag)
+    return isinstance(dt, StructType) and any(f.name == tag or _holds(f.dataType, tag) for f in dt.fields)
+
+
+def _with_inner(df: DataFrame, tag: str) -> list[DataFrame]:
+    """The rows of ``df`` and those of every ``tag`` element inside them."""
+    frames = [df]
+    for f in df.schema.fields:
+        nested = f.dataType.elementType if isinstance(f.dataType, ArrayType) else f.dataType
+        if not isinstance(nested, StructType) or not (f.name == tag or _holds(nested, tag)):
+            continue
+        c = F.col(f"`{f.name}`")
+        c = F.explode(c) if isinstance(f.dataType, ArrayType) else c
+        inner = df.select(c.alias("_inner")).where("_inner is not null").select("_inner.*")
+        found = _with_inner(inner, tag)
+        frames += found if f.name == tag else found[1:]
+    return frames
+
+
 def read_rows(spark: SparkSession, paths: list[str], row_tag: str) -> DataFrame:
-    """All rows with ``row_tag`` of the given files, every column as text."""
+    """All rows with ``row_tag`` of the given files, inner ones included, every column as text."""
     df = spark.read.format("xml").options(**XML_READ_OPTIONS).option("rowTag", row_tag).load(paths)
-    fields = [f for f in df.schema.fields if f.name != "_corrupt_record"]
-    return df.select(*[_flatten_field(f) for f in fields])
+    out = None
+    for frame in _with_inner(df, row_tag):
+        flat = frame.select(*[_flatten_field(f) for f in frame.schema.fields if f.name != "_VALUE"])
+        out = flat if out is None else out.unionByName(flat, allowMissingColumns=True)
+    return out
 
 
 def _empty_table(spark: SparkSession, columns: list[str]) -> DataFrame:

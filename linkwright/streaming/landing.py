@@ -8,8 +8,9 @@ scheduler can run it like a batch job with exactly-once bookkeeping.
 
 Each micro-batch reads the current version of the published target, applies
 the key update and publishes the result as version ``epoch-<id>``. A retried
-epoch finds its version already written and only re-points the table, so the
-sink is idempotent.
+epoch finds its version completely written (``_SUCCESS``) and only re-points the
+table; a version whose writing broke off is written again. So the sink is
+idempotent.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ from ..sources.csv import CSV_OPTIONS
 from ..sources.publish import _fs, _write_pointer, publish, read_current
 
 
-def _version_exists(spark: SparkSession, base: str, version: str) -> bool:
+def _version_complete(spark: SparkSession, base: str, version: str) -> bool:
     fs, _ = _fs(spark, base)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/version={version}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/version={version}/_SUCCESS")
     return fs.exists(path)
 
 
@@ -44,14 +45,14 @@ def apply_landing_updates(spark: SparkSession, landing: str, target_base: str, k
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         version = f"epoch-{epoch_id:010d}"
-        if _version_exists(spark, target_base, version):
+        if _version_complete(spark, target_base, version):
             _write_pointer(spark, target_base, version)   # retried epoch
             return
         if batch.isEmpty():
             return
         current = read_current(spark, target_base)
         updated = update_from_text(current, batch, key, list(columns), flag=None)
-        publish(updated, target_base, version)
+        publish(updated, target_base, version, replace=True)
 
     return (stream.writeStream.foreachBatch(apply)
             .option("checkpointLocation", checkpoint)

@@ -21,11 +21,11 @@ from .operators.profile import profile_tables
 from .operators.state import ensure_all_keys, fill_null_update, not_in
 from .operators.topk import top_k_per_group
 from .plans.link import link, stage_firms
-from .plans.matchers import match_by_address, match_by_name
+from .plans.matchers import MatcherRegistry, match_by_address, match_by_name
 from .plans.refresh import DEALS_FLAG_COLUMNS, full_refresh as refresh_table, update_from_text
 from .session import scratch_path
 from .sources.archive import load_zip_exports, write_zip_export
-from .sources.csv import load_csv_dump, write_csv
+from .sources.csv import load_csv_dump, read_typed_csv, write_csv
 from .sources.publish import publish, read_current
 from .sources.xml import load_xml_dump, write_xml
 
@@ -245,16 +245,7 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
            .when(r == 4, "").otherwise(F.col("c_mktsegment")))
     folder = scratch_path(spark, "csv_dump")
     write_csv(_text_table(cust.withColumn("c_mktsegment", seg)), f"{folder}/customer.csv")
-    # Spark writes a folder of part files; each part is one CSV of the dump
-    return _union_all(load_csv_dump(spark, f"{folder}/customer.csv").values())
-
-
-def _union_all(frames) -> DataFrame:
-    frames = list(frames)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    return load_csv_dump(spark, folder)["customer"]
 
 
 def zip_export_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -264,6 +255,86 @@ def zip_export_load(spark: SparkSession, sf: str) -> DataFrame:
     return load_zip_exports(spark, folder)["nation"]
 
 
+def zip_multi_module(spark: SparkSession, sf: str) -> DataFrame:
+    """Two modules in one landing; suppliers in two archives whose members have different
+    headers, customers of no row at all beside their header."""
+    folder = scratch_path(spark, "zip_modules")
+    sup = _text_table(T(spark, sf, "supplier"))
+    even = F.col("s_suppkey").cast("long") % 2 == 0
+    write_zip_export(sup.where(even), folder, "Accounts")
+    write_zip_export(sup.where(~even).select("s_name", "s_suppkey"), folder, "Accounts")
+    write_zip_export(_text_table(T(spark, sf, "customer")).limit(0), folder, "Contacts")
+    tables = load_zip_exports(spark, folder)
+    accounts, contacts = tables["Accounts"], tables["Contacts"]
+    names = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
+    # the empty module gives its columns and no row
+    return accounts.select(*names).unionByName(contacts.select(
+        *[F.col(c).alias(n) for c, n in zip(("c_custkey", "c_name", "c_nationkey", "c_acctbal"), names)]))
+
+
+def xml_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """A file whose rows are child tags, with a nested and a repeated element; rows inside
+    rows; a document without rows."""
+    folder = scratch_path(spark, "xml_shapes")
+    nat = _text_table(T(spark, sf, "nation"))
+    child = nat.select("n_nationkey", F.struct(F.col("n_name").alias("_VALUE"), F.lit("x").alias("part")).alias("n_name"),
+                       F.array("n_regionkey", F.lit("again")).alias("n_regionkey"))
+    (child.write.format("xml").option("rowTag", "nation").option("rootTag", 'dump name="child"').save(f"{folder}/child"))
+    key = F.col("n_nationkey").cast("long")
+    outer = nat.where(key % 2 == 0).alias("o").join(
+        nat.where(key % 2 == 1).alias("i"), F.col("o.n_nationkey").cast("long") + 1 == F.col("i.n_nationkey").cast("long"), "left")
+    nested = outer.select("o.n_nationkey", "o.n_name", F.struct(F.struct("i.n_nationkey", "i.n_name").alias("Row")).alias("more"))
+    (nested.write.format("xml").option("rowTag", "Row").option("rootTag", 'dump name="inner"').save(f"{folder}/inner"))
+    (nat.limit(0).write.format("xml").option("rowTag", "Row").option("rootTag", 'dump name="none"').save(f"{folder}/none"))
+    tables = load_xml_dump(spark, [f"{folder}/child", f"{folder}/inner", f"{folder}/none"])
+    # the nested element's own text runs up to the indentation before its child
+    own = F.regexp_replace("n_name", r"\s+$", "").alias("n_name")
+    rows = tables["child"].select(F.lit("child").alias("file"), "n_nationkey", own, "n_regionkey")
+    inner = tables["inner"].where("n_nationkey is not null").select(
+        F.lit("inner").alias("file"), "n_nationkey", "n_name", F.lit(None).cast("string").alias("n_regionkey"))
+    return rows.unionByName(inner)
+
+
+def update_from_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """M8 + S12 fed from a file: orders updated from a CSV of text ids, some not castable, some
+    decimals of many digits."""
+    folder = scratch_path(spark, "update_csv")
+    orders = T(spark, sf, "orders")
+    key = F.col("o_orderkey")
+    value = (F.when(key % 5 == 0, F.lit("n/a?")).when(key % 5 == 1, F.concat((key % 1000).cast("string"), F.lit(".49999999999")))
+             .when(key % 5 == 2, F.concat((key % 1000).cast("string"), F.lit(".5")))
+             .when(key % 5 == 3, F.lit("-1e2")).otherwise(key.cast("string")))
+    write_csv(orders.where(F.col("o_orderstatus") == "O").select(
+        key.cast("string").alias("o_orderkey"), value.alias("o_custkey")), f"{folder}/orders.csv")
+    updates = read_typed_csv(spark, f"{folder}/orders.csv", "o_orderkey string, o_custkey string")
+    return update_from_text(orders.select("o_orderkey", "o_custkey"), updates, "o_orderkey", ["o_custkey"], flag="updated")
+
+
+def refresh_from_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """M7 fed from a file: the deals export as CSV, checked, flags to double, published."""
+    folder = scratch_path(spark, "refresh_csv")
+    write_csv(_text_table(deals_like(spark, sf)), f"{folder}/deals.csv")
+    table = load_csv_dump(spark, folder)["deals"]
+    refresh_table(table, f"{folder}/published", DEALS_FLAG_COLUMNS)
+    out = read_current(spark, f"{folder}/published")
+    return out.select(*[F.col(c).alias(c.lower()) for c in out.columns])
+
+
+def match_custom(spark: SparkSession, sf: str) -> DataFrame:
+    """A matcher of the user's own (equal postcodes, smallest account) in front of the defaults,
+    name matching registered but switched off."""
+    def by_postcode(firms: DataFrame, accounts: DataFrame) -> DataFrame:
+        codes = accounts.where("Billing_Code is not null").groupBy("Billing_Code").agg(F.min("Id").alias("Id"))
+        return firms.join(codes, F.col("plz") == F.col("Billing_Code")).select("rec_id", "Id")
+
+    registry = MatcherRegistry()
+    registry.register("postcode", by_postcode, "Equal postcodes")
+    registry.register("name_match", match_by_name, "Off", enabled=False)
+    state, _ = link(derived.firms(spark, sf), derived.accounts(spark, sf), registry=registry,
+                    enabled="postcode,name_match")
+    return state
+
+
 def xml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """S1-S7 + M10: supplier written in the dump layout and loaded back."""
     folder = scratch_path(spark, "xml_dump")
@@ -302,6 +373,11 @@ QUERIES = {
     "xml_schema_drift": xml_schema_drift,
     "csv_roundtrip": csv_roundtrip,
     "zip_export_load": zip_export_load,
+    "zip_multi_module": zip_multi_module,
+    "xml_shapes": xml_shapes,
+    "update_from_csv": update_from_csv,
+    "refresh_from_csv": refresh_from_csv,
+    "match_custom": match_custom,
     "full_refresh": full_refresh,
     "snapshot_publish": snapshot_publish,
     "best_match_topk": best_match_topk,

@@ -25,10 +25,12 @@ def test_waterfall_properties(spark):
 
 def test_registry_enable_list_and_unique_names():
     reg = default_registry()
-    reg.enable_only("address_match, unknown")
-    assert [m.name for m in reg.enabled()] == ["address_match"]
-    reg.enable_only("")
-    assert [m.name for m in reg.enabled()] == ["address_match"]
+    few = reg.enable_only("address_match, unknown")
+    assert [m.name for m in few.enabled()] == ["address_match"]
+    assert [m.name for m in few.enable_only("").enabled()] == ["address_match"]
+    assert len(reg.enabled()) == 2                     # the caller's registry stays as it is
+    reg.register("off", lambda f, a: f, enabled=False)
+    assert reg.enable_only("off").enabled() == []      # a list only ever turns matchers off
     try:
         reg.register("name_match", lambda f, a: f)
         raise AssertionError("duplicate accepted")

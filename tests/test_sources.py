@@ -34,7 +34,7 @@ def test_xml_shapes(spark, tmp_path):
     assert set(t) == {"firmen", "items", "leer", "nothing"}
     f = {r["a"]: r for r in t["firmen"].collect()}
     assert f[" x "]["b"] == "001" and f[" x "]["c"] is None          # spaces, leading zeros, empty
-    assert f["y"]["d"] == "new" and f["y"]["b"] == "t<plz>1</plz>" or f["y"]["b"] in ("t",)
+    assert f["y"]["d"] == "new" and f["y"]["b"] == "t"
     assert f["z"]["d"] is None                                          # evolving schema
     assert f["w"]["e"] == "e1"
     assert None in f                                                    # row without children
@@ -111,3 +111,56 @@ def test_save_dump_overwrite_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(f"{target}/firmen").count() == 2
     save_dump(tables, target, mode="append")
     assert spark.read.parquet(f"{target}/firmen").count() == 4
+
+
+def test_malformed_xml_raises(spark, tmp_path):
+    _write(tmp_path / "bad" / "a.xml", '<root name="t"><Row><a>1</a></Row><Row><a>2</b></Row><Row><a>3</a></Row></root>')
+    with pytest.raises(Exception):
+        load_xml_dump(spark, str(tmp_path / "bad"))["t"].collect()
+
+
+def test_rows_inside_rows_are_rows(spark, tmp_path):
+    _write(tmp_path / "d" / "a.xml", '<root name="t"><Row><a>1</a><x><Row><a>2</a></Row><Row><a>3</a><Row><a>4</a></Row></Row></x>'
+                                     '</Row><Row><a>5</a></Row></root>')
+    t = load_xml_dump(spark, str(tmp_path / "d"))["t"]
+    assert sorted(r.a for r in t.collect()) == ["1", "2", "3", "4", "5"]
+
+
+def test_csv_rows_longer_than_the_header_raise(spark, tmp_path):
+    _write(tmp_path / "c" / "a.csv", "x,y\n1,2\n3\n")
+    assert rows(load_csv_dump(spark, str(tmp_path / "c"))["a"]) == [("1", "2"), ("3", None)]
+    _write(tmp_path / "e" / "a.csv", "x,y\n1,2\n3,4,5\n")
+    with pytest.raises(Exception, match="more fields"):
+        load_csv_dump(spark, str(tmp_path / "e"))["a"].collect()
+
+
+def _zip(path, members):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with zipfile.ZipFile(path, "w") as zf:
+        for name, text in members.items():
+            zf.writestr(name, text)
+
+
+def test_zip_members_with_different_headers(spark, tmp_path):
+    d = tmp_path / "z"
+    _zip(d / "Deals_exportZoho.zip", {"a.csv": "Id,Stage\n1,Won\n", "b.csv": "Owner,Id\nme,2\nyou,3\n"})
+    _zip(d / "Leads_exportZoho.zip", {"a.csv": "Id,Name\n"})
+    t = load_zip_exports(spark, str(d))
+    assert rows(t["Deals"], "Id", "Stage", "Owner") == [("1", "Won", None), ("2", None, "me"), ("3", None, "you")]
+    assert t["Leads"].columns == ["Id", "Name"] and t["Leads"].count() == 0
+
+
+@pytest.mark.parametrize("members", [{"a.csv": "x\n1,2\n"}, {"a.txt": "x"}])
+def test_zip_with_long_rows_or_other_members_raises(spark, tmp_path, members):
+    _zip(tmp_path / "z" / "Deals_exportZoho.zip", members)
+    with pytest.raises(Exception, match="header has|no CSV"):
+        load_zip_exports(spark, str(tmp_path / "z"))
+
+
+def test_save_refuses_an_existing_target(spark, tmp_path):
+    from linkwright.sources.csv import save_tables
+    t = {"a": spark.createDataFrame([(1,)], "x int")}
+    save_tables(t, str(tmp_path / "w"))
+    with pytest.raises(Exception, match="(?i)exists"):
+        save_tables(t, str(tmp_path / "w"))
+    assert rows(spark.read.parquet(str(tmp_path / "w" / "a"))) == [(1,)]

@@ -97,3 +97,25 @@ def test_clean_account_name_parity_with_duckdb_on_unicode(spark):
     con.executemany("insert into t values (?, ?)", list(enumerate(vals)))
     want = dict(con.execute(f"select i, {clean('v')} from t").fetchall())
     assert got == want
+
+
+def test_casts_and_accents_equal_duckdb_everywhere(spark):
+    """F10 on decimals of any length, F3 on every assigned code point of the planes with letters."""
+    import random
+
+    import duckdb
+
+    from linkwright.functions.casts import try_cast_long
+    from linkwright.functions.text import strip_accents
+    rng = random.Random(1)
+    values = [".5", "-.5", "5.", ".", "-.", "0.49999999999", "9223372036854775807.4", "9223372036854775807.5", "1e3", "x", ""]
+    values += [rng.choice(["", "-", "+", " "]) + "".join(rng.choices("0123456789", k=rng.randint(0, 19))) + "."
+               + "".join(rng.choices("0123456789", k=rng.randint(0, 30))) for _ in range(500)]
+    letters = [chr(i) for i in range(0x20, 0x30000) if not 0xD800 <= i <= 0xDFFF]
+    con = duckdb.connect()
+    for data, expr, sql in ((values, try_cast_long("v"), "try_cast(v as bigint)"), (letters, strip_accents("v"), "strip_accents(v)")):
+        con.execute("create or replace table t (i bigint, v varchar)")
+        con.execute("insert into t select unnest(?), unnest(?)", [list(range(len(data))), data])
+        want = con.execute(f"select {sql} from t order by i").fetchall()
+        got = spark.createDataFrame(list(enumerate(data)), "i long, v string").orderBy("i").select(expr.alias("r")).collect()
+        assert [r.r for r in got] == [w[0] for w in want]
