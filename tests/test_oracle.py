@@ -8,7 +8,8 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "documents", "labels"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "documents", "labels",
+          "pages", "benchmark"]
 
 
 def _norm(v):
