@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from linkwright.llm import decontam, html_text, queries
+from linkwright.llm import decontam, html_text, queries, suffix_dedup
 from linkwright.llm.mixing import mix_sources
 from linkwright.llm.oracle import ORACLE_SQL
 from linkwright.llm.quality_rules import judge, keep_good
@@ -132,8 +132,12 @@ def test_removed_bytes_equal_brute_force(messy, messy_rows, empty):
     assert repeated_strings(empty).collect() == []
 
 
-def test_periodic_and_shared_id_texts(spark):
-    rows = [(1, "ab" * 100), (2, "ab" * 60 + "c"), (3, "b" + "ab" * 30), (5, "é" * 30), (6, "è" * 30), (7, "x" + "é" * 30),
+@pytest.mark.parametrize("crowd", [suffix_dedup.CROWD, 2])
+def test_periodic_and_shared_id_texts(spark, monkeypatch, crowd):
+    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+    line = "a line that very many documents of this corpus hold, word for word"
+    rows = [(100 + i, f"{i * 7919 % 1000} {line} {i * 104729 % 1000}" + (f" and {line}" if i % 3 else "")) for i in range(60)]
+    rows += [(1, "ab" * 100), (2, "ab" * 60 + "c"), (3, "b" + "ab" * 30), (5, "é" * 30), (6, "è" * 30), (7, "x" + "é" * 30),
             (8, "q" * 49), (9, "q" * 49), (10, "first text of ten " * 4), (10, "other text of ten " * 4),
             (11, "other text of ten " * 4 + "!")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
