@@ -7,8 +7,8 @@ Jaccard similarity is at least ``percent`` / 100; a group is a connected compone
 1. One pass over the texts gives per document the set size, a digest of the
    set, ``BANDS`` band keys of ``ROWS`` minima each, and the low ``BITS`` bits of
    all minima packed into longs. Documents of equal sets become one class.
-2. Band keys are grouped. Every class is first held against one class only: the
-   smallest that heads one of its buckets.
+2. Band keys are grouped; the smallest class of a bucket heads it. Every class is first held
+   against one class only, the one that heads most of its buckets.
 3. A pair goes on if the set sizes allow the similarity and the b-bit
    signatures, with chance agreements (1 in 2^b) corrected for, come within
    ``SLACK`` of it; then it is confirmed on the full sets.
@@ -141,7 +141,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["a", "b"])
 
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = stage(likely_in(texts, "doc_id", wanted).join(wanted, F.col("doc_id") == F.col("node"), "left_semi"),
+    # an inner join: a semi join would be moved in front of the filter, and every text shuffled
+    texts = stage(likely_in(texts, "doc_id", wanted).join(wanted, F.col("doc_id") == F.col("node")).drop("node"),
                   "minhash-texts")
     sides = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
              .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"))
@@ -174,8 +175,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def linked(pairs: DataFrame) -> DataFrame:
         return stage(confirm(stage(pairs, "minhash-pairs"), texts, percent), "minhash-links")
 
-    # every class against the smallest class that heads one of its buckets: one pair each
-    heads = members.where("rep > head").groupBy("rep").agg(F.min("head").alias("a")).withColumnRenamed("rep", "b")
+    # every class against the class that heads most of its buckets (the smallest of equals): one pair each
+    heads = members.where("rep > head").groupBy("rep", "head").agg(F.count(F.lit(1)).alias("times"))
+    heads = (heads.groupBy("rep").agg(F.max(F.struct("times", (-F.col("head")).alias("minus"))).alias("best"))
+             .select((-F.col("best.minus")).alias("a"), F.col("rep").alias("b")))
     left = reps.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
     right = reps.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
     likely = possible(F.col("n_a"), F.col("bits_a"), F.col("n_b"), F.col("bits_b"), percent)
