@@ -5,9 +5,9 @@ the documents of their language and source: their statistics, transformed to be
 between short and long texts, form a vector, and a document goes if its Mahalanobis distance
 under the group's minimum-covariance-determinant estimate is too large.
 
-The estimate starts from medians and quartile ranges and improves in concentration steps: take
-the ``CORE`` share of the group nearest by the present estimate, then estimate mean and
-covariance from those. Every step is one grouped aggregation of sums (combined before the
+The estimate starts from medians and median absolute deviations and improves in concentration steps:
+take the ``CORE`` share of the group nearest by the present estimate, then estimate mean and
+covariance from those. Start and core both hold with junk in up to half of a group. Every step is one grouped aggregation of sums (combined before the
 shuffle), so a group of any size costs the same per row and none is gathered. Vectors are whole
 numbers (thousandths): sums are exact, and reruns agree.
 """
@@ -24,7 +24,7 @@ from linkwright.llm.common import stage
 WHITE = r"[\x20\x09-\x0D]+"
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WORDS = 10, 20, 5
 #: Share of a group that the estimate is drawn from, and concentration steps.
-CORE, STEPS = 0.75, 3
+CORE, STEPS = 0.5, 3
 #: Least standard deviation of each component (thousandths), so that a component which hardly
 #: varies in a group cannot reject small differences.
 FLOOR = (250.0, 100.0, 30.0, 40.0)
@@ -133,10 +133,11 @@ def estimates(rows: DataFrame, keys: list[str]) -> DataFrame:
     def ranked(d2: Column) -> Column:
         return F.least(F.round(100 * d2), F.lit(float(FAR))).cast("long")
 
-    start = grouped(rows, *[F.percentile(x, F.lit(p)).alias(f"{x}_{q}") for x in X
-                            for q, p in (("lo", 0.25), ("mid", 0.5), ("hi", 0.75))])
+    middles = grouped(rows, *[F.percentile(x, F.lit(0.5)).alias(f"{x}_mid") for x in X])
+    start = grouped(rows.join(middles, same), *[F.max(f"{x}_mid").alias(f"{x}_mid") for x in X],
+                    *[F.percentile(F.abs(F.col(x) - F.col(f"{x}_mid")), F.lit(0.5)).alias(f"{x}_mad") for x in X])
     near = total([((F.col(x) - F.col(f"{x}_mid")) * (F.col(x) - F.col(f"{x}_mid")))
-                  / F.greatest(F.lit(f * f), F.pow((F.col(f"{x}_hi") - F.col(f"{x}_lo")) / 1.349, F.lit(2.0)))
+                  / F.greatest(F.lit(f * f), F.pow(1.4826 * F.col(f"{x}_mad"), F.lit(2.0)))
                   for x, f in zip(X, FLOOR)])
     measured = rows.join(start, same).select(*rows.columns, near.alias("distance2"))
     for _ in range(STEPS):

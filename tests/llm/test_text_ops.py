@@ -242,6 +242,16 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert kept == base
 
 
+def test_junk_in_two_fifths_of_a_group_goes(spark):
+    rows = [(i, " ".join(f"word{(i * j) % 97}" for j in range(1, 60 + i % 40)), "en", "s") for i in range(1, 97)]
+    rows += [(1000 + i, " ".join(f"x{i}y{j}" + "#*$%"[:1 + (i + j) % 4] for j in range(40 + i % 30)), "en", "s") for i in range(64)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = judge(docs).collect()
+    base = {r.doc_id for r in got if not r.base_failed}
+    assert len([d for d in base if d < 1000]) <= 96 and len([d for d in base if d >= 1000]) == 64
+    assert {r.doc_id for r in got if r.kept} == {d for d in base if d < 1000}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql_gives_the_same_rows(spark, sf_dir, name):
     con = duckdb.connect()
