@@ -1,10 +1,12 @@
 """Held-out accuracy of the fitted models, and their answers at the edges."""
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from linkwright.llm import queries
+from linkwright.llm import quality_model, queries
 from linkwright.llm.language import LanguageModel
 from linkwright.llm.quality_model import QualityModel
 from linkwright.llm.toxicity import Grammar, ToxicityModel
@@ -72,3 +74,37 @@ def test_models_answer_every_row(spark, messy, messy_rows, empty):
         by = {r.doc_id: r.lang_pred for r in rows}
         assert by[500] == by[501] == by[502] == "und"
         assert model.label(empty).collect() == []
+
+
+def test_word_vectors_come_from_unlabelled_texts_too(spark):
+    labelled = [(i, " ".join(f"w{(i * j) % 31}" for j in range(1, 30)) + " rare" * (i == 3)) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    more = [(100 + i, f"rare alpha{i % 3} beta rare gamma") for i in range(9)]
+    schema = "doc_id long, text string"
+    few, all_ = spark.createDataFrame(labelled, schema), spark.createDataFrame(labelled + more, schema)
+    read = spark.createDataFrame([(1, "rare beta gamma rare alpha1")], schema)
+    assert QualityModel.fit(few, labels).score(read).first().score != QualityModel.fit(all_, labels).score(read).first().score
+
+
+def test_word_vectors_equal_plain_sums(spark, monkeypatch):
+    monkeypatch.setattr(quality_model, "HELD", 50)
+    texts = [" ".join(f"w{(i * j * j) % 83}" for j in range(1, 40)) + f" only{i} x only{i}" for i in range(1, 30)] + ["", None, "w1"]
+    vectors, powers = quality_model.index_table(), quality_model.Powers()
+    forms, sums = [], {}
+    for t in texts:
+        words = quality_model.Words(*next(quality_model.blocks(pa.array([t], pa.string())))[2:])
+        form = words.hashes(powers, lower=False)
+        index = [a + b for a, b in zip(quality_model.index_vectors(form, vectors),
+                                       quality_model.index_vectors(quality_model.shape_hashes(words, powers), vectors))]
+        for i, f in enumerate(form.tolist()):
+            sums[f] = sums.get(f, 0) + sum((index[j] for j in range(max(0, i - 2), min(len(form), i + 3)) if j != i), np.zeros(64))
+        forms.append(set(form.tolist()))
+    shared = sorted(f for f in sums if sum(f in d for d in forms) > 1)
+    keys, got = quality_model.gather_contexts(spark.createDataFrame([(t,) for t in texts], "text string").repartition(5))
+    assert keys.tolist() == shared and len(shared) < len(sums)
+    assert np.abs(got / 127 - quality_model.unit(np.array([sums[f] for f in shared]))).max() < 0.005
+    # a form of one document: the same vector, made from that document
+    column = pa.array(texts, pa.string())
+    everything = np.array(sorted(sums), dtype=np.uint64)
+    full = (everything, 127 * quality_model.unit(np.array([sums[f] for f in sorted(sums)])))
+    assert np.abs(quality_model.pool(column, (keys, got), powers) - quality_model.pool(column, full, powers)).max() < 0.01
