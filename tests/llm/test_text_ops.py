@@ -158,6 +158,24 @@ def test_article_blocks():
     assert html_text.read_blocks("plain  text") == (["plain text"], False)
 
 
+@pytest.mark.parametrize("around", ['<div class="content-sidebar-wrap">', '<div class="layout no-sidebar">', '<div class="sidebar">',
+                                    '<form action="/">', '<div class="widget"><div id="search">'])
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_what_holds_the_article_stays(around, tag):
+    ends = "".join(f"</{t}>" for t in re.findall(r"<(\w+)", around)[::-1])
+    page = f"<body><nav>menu</nav>{around}<{tag}><p>one</p></{tag}>{ends}<footer>foot</footer></body>"
+    assert html_text.read_blocks(page) == (["one"], True)
+
+
+def test_names_that_only_hold_a_telling_word_stay():
+    inside = ('<h2 id="search-and-rescue">one</h2><section id="social-effects">two</section><p class="form-group">three</p>'
+              '<div id="related-work">four</div><h3 class="comments">five</h3><div class="site-footer">no</div>'
+              '<div class="x ad-box">no</div><div id="comments">no</div>')
+    page = f'<article>{inside}</article><div class="related"><article>teaser</article></div>'
+    assert html_text.read_blocks(page) == (["one", "two", "three", "four", "five"], True)
+    assert html_text.read_blocks('<div hidden><article>no</article></div><p>yes') == (["yes"], False)
+
+
 def test_pages_without_article_lose_what_their_host_repeats(spark):
     shared = " ".join(f"boiler{i}" for i in range(14))
     rows = [(i, f"http://h/{i}", f"<div><div>{shared}</div><div>own{i} words of page {i}</div></div>", "x") for i in range(4)]
