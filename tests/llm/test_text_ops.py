@@ -176,6 +176,24 @@ def test_names_that_only_hold_a_telling_word_stay():
     assert html_text.read_blocks('<div hidden><article>no</article></div><p>yes') == (["yes"], False)
 
 
+@pytest.mark.parametrize("page, blocks", [
+    ("<ul><li class=search>x<li>y</ul><article>one</article>", ["one"]),
+    ("<dl><dt class=ad>x<dd>y</dl><article>one</article>", ["one"]),
+    ("<article><ul><li class=ad>x<li>one</ul>two</article>", ["one", "two"]),
+    ("<article><dl><dt class=ad>x<dd>one<dt>two</dl></article>", ["one", "two"]),
+    ("<article><table><tr class=ad><td>x<tr><td class=ad>y<td>one<tr><th class=ad>z<th>two</table>three</article>", ["one", "two", "three"]),
+    ("<html><head><title>t</title><meta x><body><article>one</article>", ["one"]),
+    ("<head><title>t</title><link y><div><article>one</article></div>", ["one"]),
+    ("<div><article>one<div class=ad>x</article>no</div><article>two</article>", ["one", "two"]),
+    ("<article><section>one<div class=ad><ul><li>x</section>two</article>", ["one", "two"]),
+    ("<article><p>one <span class=ad>x<p>two</article>", ["one", "two"]),
+    ("<article>one<ul class=menu><li>x<ul><li>y</ul><li>z</ul>two</article>", ["one", "two"]),
+    ("<article>one<div class=ad><table><tr><td>x</div>y</table></div>two</article>", ["one", "two"]),
+])
+def test_missing_end_tags_end_what_is_left_out(page, blocks):
+    assert html_text.read_blocks(page) == (blocks, True)
+
+
 def test_pages_without_article_lose_what_their_host_repeats(spark):
     shared = " ".join(f"boiler{i}" for i in range(14))
     rows = [(i, f"http://h/{i}", f"<div><div>{shared}</div><div>own{i} words of page {i}</div></div>", "x") for i in range(4)]
