@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import share
+from linkwright.llm.common import share, stage
 
 GRAMS, ORDERS, LANDMARKS, RIDGE = 1 << 13, 3, 128, 1e-3
-#: Training rows per language on average, and languages, at most: the bound of the sample.
+#: Training rows per language on average, with up to so many languages; with more, all are learnt from fewer rows each.
 ROWS_PER_LANGUAGE, MAX_LANGUAGES = 1_000, 500
 UNKNOWN = "und"
 ROWS = 256
@@ -73,16 +73,17 @@ class LanguageModel:
             rows_per_language: int = ROWS_PER_LANGUAGE, landmarks: int = LANDMARKS) -> LanguageModel:
         """Fit on about ``rows_per_language`` rows of each language, chosen by a hash of the id.
 
-        Rows with a NULL language, id or text are left out, and of over ``MAX_LANGUAGES``
-        languages the rarest. Without any row, every prediction is ``und``.
+        Rows with a NULL language, id or text are left out. Of over ``MAX_LANGUAGES`` languages each has fewer
+        rows and landmarks, one at least. Without any row, every prediction is ``und``.
         """
         rows = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"),
                            F.col(text_col).cast("string").alias("text")).where(
             "_id is not null and lang is not null and text is not null")
-        share = rows.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(MAX_LANGUAGES)
         order = F.xxhash64(F.col("_id").cast("string"))
+        share = stage(rows.groupBy("lang").agg(F.count("*").alias("_n"), F.min(order).alias("_least")), "languages")
+        each = max(1, rows_per_language * MAX_LANGUAGES // max(MAX_LANGUAGES, share.count()))
         some = (rows.join(F.broadcast(share), "lang")
-                .where(F.pmod(order, F.lit(1_000_003)) * F.col("_n") < F.lit(1_000_003 * rows_per_language)))
+                .where((F.pmod(order, F.lit(1_000_003)) * F.col("_n") < F.lit(1_000_003 * each)) | (order == F.col("_least"))))
 
         def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             letters = letter_table()
@@ -99,11 +100,10 @@ class LanguageModel:
             return cls([], np.zeros((0, GRAMS), np.float32), np.zeros((0, 0)), 1.0)
         x = normalised(np.unpackbits(np.frombuffer(b"".join(r[2] for r in got), np.uint8)).reshape(-1, GRAMS)
                        .astype(np.float32))
-        lang = np.array([languages.index(r[0]) for r in got])
-        turn = np.zeros(len(got), dtype=int)  # how many of its language come before: landmarks take turns
-        for k in range(len(languages)):
-            turn[lang == k] = np.arange((lang == k).sum())
-        marks = x[np.lexsort((lang, turn))[:max(landmarks, 2 * len(languages))]]
+        place = {name: k for k, name in enumerate(languages)}
+        lang = np.array([place[r[0]] for r in got])
+        turn = np.arange(len(got)) - np.searchsorted(lang, lang)  # how many of its language come before: landmarks take turns
+        marks = x[np.lexsort((lang, turn))[:max(landmarks, min(2 * len(languages), 2 * MAX_LANGUAGES), len(languages))]]
         gram = (marks @ marks.T).astype(np.float64)
         values, vectors = np.linalg.eigh(gram)
         good = values > 1e-6 * values.max()

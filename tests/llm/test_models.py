@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from linkwright.llm import quality_model, queries
+from linkwright.llm import language, quality_model, queries
 from linkwright.llm.language import LanguageModel
 from linkwright.llm.quality_model import QualityModel
 from linkwright.llm.toxicity import Grammar, ToxicityModel
@@ -31,6 +31,16 @@ def test_language_accuracy(spark, truth):
     assert len(got) > 150 and sum(a == b for a, b in got) >= 0.97 * len(got)
 
 
+def test_rare_languages_are_learnt_too(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 4)
+    rows = [(100 * k + i, " ".join(chr(97 + 2 * k) * (1 + (i + j) % 4) + chr(98 + 2 * k) for j in range(12)), f"l{k:02}")
+            for k in range(12) for i in range(20 - k)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = LanguageModel.fit(docs, rows_per_language=6, landmarks=4)
+    assert model.languages == sorted({r[2] for r in rows}) and len(model.landmarks) >= 12
+    assert {r.doc_id: r.lang_pred for r in model.label(docs).collect()} == {r[0]: r[2] for r in rows}
+
+
 def test_quality_accuracy(spark, truth):
     df = queries.op10_quality_model(spark, SF)
     got = held_out(df, "predicted", truth, 1)
