@@ -19,6 +19,7 @@ from linkwright.llm.quality_rules import judge
 from linkwright.llm.secrets import find_secrets
 from linkwright.llm.suffix_dedup import repeated_strings
 from linkwright.llm.toxicity import ToxicityModel
+from linkwright.llm.vector_codes import compress, with_label_errors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,7 +99,16 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every usable vector, the error per label, and the digest of the codebooks."""
+    codes, books = compress(table(spark, sf_dir, "embeddings"))
+    return with_label_errors(codes).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error",
+        F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_source_mixing, op4_html_text, op5_minhash_dedup, op6_language_id, op7_secret_scan,
-                            op8_benchmark_containment, op9_suffix_dedup, op10_quality_model)}
+                            op8_benchmark_containment, op9_suffix_dedup, op10_quality_model,
+                            op11_vector_codes)}
 __all__ = ["ORACLE_SQL", "QUERIES"]
