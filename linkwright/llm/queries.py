@@ -20,6 +20,7 @@ from linkwright.llm.secrets import find_secrets
 from linkwright.llm.suffix_dedup import repeated_strings
 from linkwright.llm.toxicity import ToxicityModel
 from linkwright.llm.vector_codes import compress, with_label_errors
+from linkwright.llm.vector_search import top_k
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,8 +108,14 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256"))
 
 
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 rows of highest inner product for every row whose vec_id is divisible by 20."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0).select(
+        "query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_source_mixing, op4_html_text, op5_minhash_dedup, op6_language_id, op7_secret_scan,
                             op8_benchmark_containment, op9_suffix_dedup, op10_quality_model,
-                            op11_vector_codes)}
+                            op11_vector_codes, op12_top_k)}
 __all__ = ["ORACLE_SQL", "QUERIES"]
