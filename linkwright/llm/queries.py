@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkwright.llm.common import in_fold
+from linkwright.llm.conversations import damage, repair
 from linkwright.llm.decontam import find_contained
 from linkwright.llm.html_text import extract
 from linkwright.llm.language import LanguageModel
@@ -114,8 +115,16 @@ def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every conversation after damage."""
+    rows = table(spark, sf_dir, "conversations")
+    return repair(damage(rows), rows.select("conv_id")).select(
+        F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.col("digest").alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_source_mixing, op4_html_text, op5_minhash_dedup, op6_language_id, op7_secret_scan,
                             op8_benchmark_containment, op9_suffix_dedup, op10_quality_model,
-                            op11_vector_codes, op12_top_k)}
+                            op11_vector_codes, op12_top_k, op13_conversation_repair)}
 __all__ = ["ORACLE_SQL", "QUERIES"]
