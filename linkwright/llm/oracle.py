@@ -111,7 +111,134 @@ from b left join k on b.r = k.r
 """
 
 
+FINITE = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+
+def whole(scale: int) -> str:
+    return f"list_transform(embedding, lambda x: cast(floor({scale} * cast(x as double)) as bigint))"
+
+
+def vector_codes() -> str:
+    """Two rounds over all entries of each part position, then the final codes."""
+    sql = [f"""
+with k as (select row_number() over () as r, vec_id, label, {whole(256)} as v from embeddings where {FINITE}),
+p as (select r, vec_id, part, v[part * (len(v) // 16) + 1:(part + 1) * (len(v) // 16)] as c
+      from (select *, unnest(range(16)) as part from k)),
+b0 as (select part, entry, c from (
+  select part, row_number() over (partition by part order by vec_id) - 1 as entry, c from p) where entry < 64)"""]
+    for k in range(3):
+        sql.append(f"""
+a{k} as (select r, part, m % 256 as entry, m // 256 as d from (
+  select p.r, p.part, min(256 * list_sum(list_transform(list_zip(p.c, b.c), lambda z: cast((z[1] - z[2]) * (z[1] - z[2]) as hugeint)))
+                          + b.entry) as m
+  from p join b{k} b on p.part = b.part group by p.r, p.part))""")
+        if k < 2:
+            sql.append(f"""
+n{k} as (select part, entry, list((s - ((s % n + n) % n)) // n order by j) as c from (
+  select p.part, a.entry, j, sum(p.c[j]) as s, count(*) as n
+  from (select *, unnest(range(1, len(c) + 1)) as j from p) p join a{k} a on a.r = p.r and a.part = p.part
+  group by p.part, a.entry, j) group by part, entry),
+b{k + 1} as (select b.part, b.entry, coalesce(list_transform(n.c, lambda x: cast(x as bigint)), b.c) as c
+      from b{k} b left join n{k} n on n.part = b.part and n.entry = b.entry)""")
+    return ",".join(sql) + """,
+e as (select r, string_agg(printf('%02x', cast(entry as bigint)), '' order by part) as code, cast(sum(d) as bigint) as error from a2 group by r)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+       (select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) from b2) as codebooks_sha256
+from k join e on k.r = e.r
+"""
+
+
+TOP_K = f"""
+with k as (select row_number() over () as r, vec_id, {whole(64)} as v from embeddings where {FINITE}),
+s as (select q.r, q.vec_id as query_id, c.vec_id,
+             cast(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) as bigint) as score
+      from k q join k c on c.r <> q.r where q.vec_id % 20 = 0)
+select query_id, cast(row_number() over best as int) as rank, vec_id, score from s
+window best as (partition by r order by score desc, vec_id nulls last)
+qualify row_number() over best <= 20
+"""
+
+
+def conversation_repair() -> str:
+    """Row by row, the cheapest edits up to each state of the pattern, as text that sorts by cost and then audit."""
+    step = lambda frm, cost, letters: f"(substr({frm}, 1, 9)::int + {cost})::varchar || substr({frm}, 10) || '{letters}'"
+    # inserts: from nothing, system or assistant to user and on to assistant, from user to assistant and on to user
+    ins = {"z": "z", "s": "s",
+           "u": f"least(u, {step('z', 3, 'I')}, {step('s', 3, 'I')}, {step('a', 3, 'I')})",
+           "a": f"least(a, {step('u', 3, 'I')}, {step('z', 6, 'II')}, {step('s', 6, 'II')})"}
+    keep = lambda frm, letter, cost: f"case when {letter} then {step(frm, cost, 'K')} end"
+    can = "not gone"
+    # the number in front is 100000000 + cost; a state that cannot be reached is NULL, which least() passes over
+    step_k = {
+        "z": step("z", 4, "D"),
+        "s": f"least({step('s', 4, 'D')}, {keep('z', can + ' and first = $$s$$', 'extra')})",
+        "u": "least(" + ", ".join([step("u", 4, "D")] + [x for f in "zsa" for x in (
+            keep(f, can + " and first = $$u$$", "extra"), f"case when {can} then {step(f, '(3 + extra)', 'R')} end")]) + ")",
+        "a": f"least({step('a', 4, 'D')}, {keep('u', can + ' and first = $$a$$', 'extra')}, "
+             f"case when {can} then {step('u', '(3 + extra)', 'R')} end)"}
+    step_k = {k: v.replace("$$", "'") for k, v in step_k.items()}
+    columns = lambda by: ", ".join(f"{v} as {k}" for k, v in by.items())
+    return rf"""
+with recursive t as (
+  select list(v order by i) as tab from (
+    select i, list_reduce(list_concat([cast(i as bigint)], range(8)),
+                          lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v from range(256) r(i))),
+h as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         xor(list_reduce(list_concat([cast(4294967295 as bigint)], list_transform(
+               string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''),
+               lambda x: cast(ascii(x) as bigint))), lambda c, b: xor(tab[xor(c & 255, b) + 1], c >> 8)), 4294967295) % 20 as kind
+  from conversations, t),
+d as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+         case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+         unnest(case when kind = 3 then [0, 1] else [0] end) as copy
+  from h where kind <> 0),
+o as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text)) as i,
+         substr(role, 1, 1) as first, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as seen from d),
+f as (
+  select *, case when seen = '' then 'blank' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+                 when right(seen, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+         lag(first) over (partition by conv_id order by i) || first as pair
+  from o),
+w as (select *, fault in ('blank', 'duplicate') as gone, case when fault = 'truncated' then 3 else 0 end as extra from f),
+g as (
+  select conv_id, max(i) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+         count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+         count(*) filter (fault = 'truncated') as truncated, count(*) filter (pair not in ('su', 'ua', 'au')) as illegal
+  from w group by conv_id),
+ids as (select distinct conv_id from conversations),
+s as (
+  select conv_id, 0 as pos, '100000000' as z, cast(null as varchar) as s, cast(null as varchar) as u, cast(null as varchar) as a
+  from g
+  union all
+  select conv_id, pos + 1, {columns(step_k)}
+  from (select x.conv_id, x.pos, w.first, w.gone, w.extra, {columns(ins)}
+        from (select * from s) x join w on w.conv_id is not distinct from x.conv_id and w.i = x.pos + 1)),
+e as (
+  select g.*, least(s.z, {ins['a']}) as best from s join g on g.conv_id is not distinct from s.conv_id and s.pos = g.n),
+c as (select *, cast(substr(best, 1, 9) as int) - 100000000 as cost, substr(best, 10) as audit from e),
+l as (select conv_id, audit, unnest(range(1, length(audit) + 1)) as j from c),
+q as (
+  select *, substr(audit, j, 1) as edit, length(replace(audit, 'D', '')) as total,
+         length(replace(substr(audit, 1, j), 'I', '')) as i, length(replace(substr(audit, 1, j), 'D', '')) - 1 as line from l),
+m as (
+  select q.conv_id, q.j, case when edit = 'K' then w.role when (line - total % 2) % 2 = 0 then 'user' else 'assistant' end || ':' ||
+         case when edit = 'I' then '' else w.text end as row
+  from q left join w on w.conv_id is not distinct from q.conv_id and w.i = q.i where edit <> 'D'),
+r as (select conv_id, sha256(string_agg(row, chr(10) order by j)) as digest from m group by conv_id)
+select ids.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(coalesce(cost, 0) as bigint) as cost,
+       coalesce(audit, '') as audit, coalesce(digest, sha256('')) as repaired_sha256
+from ids left join c on c.conv_id is not distinct from ids.conv_id left join r on r.conv_id is not distinct from ids.conv_id
+"""
+
+
 ORACLE_SQL = {
     "op2_quality_rules": quality_rules(),
     "op3_source_mixing": MIXING,
+    "op11_vector_codes": vector_codes(),
+    "op12_top_k": TOP_K,
+    "op13_conversation_repair": conversation_repair(),
 }
