@@ -3,13 +3,14 @@
 1. **One row per vector.** Rows whose whole-number vectors are equal score alike with every query, so they
    collapse to one vector with the ``k + 1`` smallest ids among them; no answer can hold a later one. Copies
    are combined in the task, then by (vector, task group), then by vector.
-2. **Approximations.** Each component's range is cut into 16 cells. A vector's cells (half a byte a component)
+2. **Approximations.** Each component's range is cut into 64 cells. A vector's cells (a byte a component)
    are its approximation; approximations travel in blocks. The cuts are weighted means of quantiles that all
    tasks report. Any cuts give exact results; good ones make bounds narrow.
-3. **Scan of the cells.** Blocks of queries meet blocks of approximations. With each cell's middle ``m`` and
-   half width ``h``, a score lies within ``q.m -+ |q|.h``: two matrix products for a pair of blocks. Of a block
-   only those go on whose upper bound reaches the block's (k+1)-th lower bound.
-4. **Reading in bound order.** Per query the (k+1)-th lower bound over all blocks drops most of what is left.
+3. **Scan of the cells.** A block of queries meets one stripe of the blocks of approximations after the other.
+   With each cell's middle ``m`` and half width ``h``, a score lies within ``q.m -+ |q|.h``: two matrix products
+   for a pair of blocks. Each query keeps the k + 1 best lower bounds so far, and only vectors whose upper bound
+   reaches the last of them go on.
+4. **Reading in bound order.** Per query the (k+1)-th lower bound over all stripes drops most of what is left.
    The ``k + 1`` vectors of highest upper bound are read first and scored exactly; the lowest of these scores
    is one that the answer's last row reaches. Only vectors whose upper bound reaches it are read after that,
    so the answer is certain.
@@ -32,9 +33,9 @@ from pyspark.sql import functions as F
 from linkwright.llm.common import share, stage
 from linkwright.llm.vectors import packed, pieces, unpacked, usable, whole_numbers, width_of
 
-SCALE, CELLS = 64, 16
-#: Queries and approximations of a block, at most; fewer approximations where that would leave tasks idle.
-QUERY_BLOCK, CELL_BLOCK = 512, 8192
+SCALE, CELLS = 64, 64
+#: Queries and approximations of a block, at most; queries are taken on in steps of STEP.
+QUERY_BLOCK, CELL_BLOCK, STEP = 4096, 4096, 64
 #: Rows that a task holds at once, and groups that combine a crowded vector's copies before they meet.
 BATCH_ROWS, GROUPS = 4096, 1024
 
@@ -94,66 +95,69 @@ def _cuts(vectors: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.vstack([least, cut + 1]), np.vstack([cut, most])
 
 
-def _blocks(vectors: DataFrame, rows: int, columns: list[str], encode) -> DataFrame:
-    """``vectors`` in blocks of at most ``rows``: ``(block, n, uids, data)``, ``encode`` giving the data's bytes."""
-    count = -(-vectors.count() // rows)
+def _blocks(vectors: DataFrame, rows: int, encode) -> tuple[DataFrame, int]:
+    """``vectors`` in blocks of about ``rows``: ``(number, n, uids, data)`` with ``encode``'s bytes, and their count."""
+    parts = max(1, -(-vectors.count() // rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        for i, table in enumerate(pieces(batches, rows)):
+        for table in pieces(batches, 1 << 40):  # all of the part
             yield pa.RecordBatch.from_pydict({
-                "block": [(task << 32) + i], "n": [table.num_rows],
+                "number": [TaskContext.get().partitionId()], "n": [table.num_rows],
                 "uids": [np.asarray(table["uid"], dtype=np.int64).tobytes()], "data": [encode(table)]})
 
-    spread = vectors.select(*columns).repartition(max(1, count))
-    made = stage(spread.mapInArrow(run, "block long, n long, uids binary, data binary"), "search-blocks")
-    # blocks get numbers without gaps; there are as many rows here as blocks, without their data
-    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("block")) - 1
-    return made.join(made.select("block").withColumn("number", number), "block")
+    spread = vectors.select("uid", "vector").repartition(parts)
+    return stage(spread.mapInArrow(run, "number long, n long, uids binary, data binary"), "search-blocks"), parts
 
 
 def _encoder(lows: np.ndarray, width: int):
     def encode(table: pa.Table) -> bytes:
         whole = unpacked(table["vector"], np.int32, width)
-        cell = np.zeros((len(whole), width + width % 2), dtype=np.uint8)
+        cell = np.empty(whole.shape, dtype=np.uint8)
         for j in range(width):
             cell[:, j] = np.searchsorted(lows[1:, j], whole[:, j], side="right")
-        return (cell[:, ::2] | (cell[:, 1::2] << 4)).tobytes()
+        return cell.tobytes()
     return encode
 
 
-def _scan(pairs: DataFrame, lows: np.ndarray, highs: np.ndarray, k: int) -> DataFrame:
-    """``(query, uid, low, high)`` of pairs of blocks: bounds of what may be among a query's first k + 1 of the block."""
+def _scan(met: DataFrame, lows: np.ndarray, highs: np.ndarray, k: int) -> DataFrame:
+    """``(query, uid, low, high)``: bounds of what may be among a query's first k + 1.
+
+    ``met`` has a block of queries (``kind`` 0) in front of each stripe of blocks of cells.
+    """
     width = lows.shape[1]
-    held = share(pairs.sparkSession, (lows, highs))
+    held = share(met.sparkSession, (lows, highs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_lows, own_highs = held()
         middle, half = (own_lows + own_highs) / 2.0, np.maximum(own_highs - own_lows, 0) / 2.0
         reach = np.abs(middle).max(axis=0) + half.max(axis=0)
         axes = np.arange(width)
-        for row in (r for batch in batches for r in batch.to_pylist()):
-            queries = np.frombuffer(row["q_data"], dtype=np.int32).reshape(row["q_n"], width).astype(np.float64)
-            q_uids, uids = (np.frombuffer(row[c], dtype=np.int64) for c in ("q_uids", "uids"))
-            code = np.frombuffer(row["data"], dtype=np.uint8).reshape(row["n"], -1)
-            cell = np.empty((len(code), 2 * code.shape[1]), dtype=np.uint8)
-            cell[:, ::2], cell[:, 1::2] = code & 15, code >> 4
-            mid, wide = middle[cell[:, :width], axes].T, half[cell[:, :width], axes].T
-            for lo in range(0, len(queries), 64):
-                q = queries[lo:lo + 64]
-                size = np.abs(q)
-                slack = (size @ reach)[:, None] * 2.0 ** -40  # above any rounding of the sums
-                score, spread = q @ mid, size @ wide + slack
-                low, high = score - spread, score + spread
-                if len(uids) > k:
-                    last = np.partition(low, len(uids) - k - 1, axis=1)[:, len(uids) - k - 1]
-                else:
-                    last = np.full(len(q), -np.inf)
-                at, who = np.nonzero(high >= last[:, None])
-                yield pa.RecordBatch.from_pydict({"query": q_uids[lo + at], "uid": uids[who], "low": low[at, who],
-                                                  "high": high[at, who]})
-
-    return pairs.mapInArrow(run, "query long, uid long, low double, high double")
+        queries = q_uids = best = at_set = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own_set, kind, n, uids, data = (batch[c][i].as_py() for c in ("set", "kind", "n", "uids", "data"))
+                uids = np.frombuffer(uids, dtype=np.int64)
+                if kind == 0:
+                    queries = np.frombuffer(data, dtype=np.int32).reshape(n, width).astype(np.float64)
+                    at_set, q_uids, best = own_set, uids, np.full((n, k + 1), -np.inf)
+                    continue
+                if own_set != at_set:  # no query fell into this block
+                    continue
+                cell = np.frombuffer(data, dtype=np.uint8).reshape(n, width)
+                mid, wide = middle[cell, axes].T, half[cell, axes].T
+                for lo in range(0, len(queries), STEP):
+                    q = queries[lo:lo + STEP]
+                    size = np.abs(q)
+                    slack = (size @ reach)[:, None] * 2.0 ** -40  # above any rounding of the sums
+                    score, spread = q @ mid, size @ wide + slack
+                    low, high = score - spread, score + spread
+                    so_far = np.hstack([best[lo:lo + STEP], low])
+                    best[lo:lo + STEP] = np.partition(so_far, n, axis=1)[:, n:]
+                    at, who = np.nonzero(high >= best[lo:lo + STEP].min(axis=1)[:, None])
+                    yield pa.RecordBatch.from_pydict({"query": q_uids[lo + at], "uid": uids[who], "low": low[at, who],
+                                                      "high": high[at, who]})
+
+    return met.mapInArrow(run, "query long, uid long, low double, high double")
 
 
 def _scored(wanted: DataFrame, vectors: DataFrame, width: int) -> DataFrame:
@@ -193,20 +197,21 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, vector: str = "embed
         return spark.createDataFrame([], f"query_id {kind}, rank int, id {kind}, score long")
 
     lows, highs = _cuts(single, width)
-    tasks = max(spark.sparkContext.defaultParallelism, 1)
-    block = int(min(CELL_BLOCK, max(512, single.count() // (4 * tasks))))
-    cells = _blocks(single, block, ["uid", "vector"], _encoder(lows, width))
-    sets = _blocks(asked, QUERY_BLOCK, ["uid", "vector"],
-                   lambda table: unpacked(table["vector"], np.int32, width).tobytes())
-    sets = sets.select(F.col("n").alias("q_n"), F.col("uids").alias("q_uids"), F.col("data").alias("q_data"))
-    # each block of queries is sent to every block of cells; the cells stay where they are
-    count = cells.agg(F.max("number")).first()[0] + 1
-    sent = sets.withColumn("number", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).repartition(count, "number")
-    pairs = cells.select("number", "n", "uids", "data").repartition(count, "number").join(sent, "number")
+    tasks = 4 * max(spark.sparkContext.defaultParallelism, 1)
+    cells, parts = _blocks(single, int(min(CELL_BLOCK, max(512, single.count() // tasks))), _encoder(lows, width))
+    sets, groups = _blocks(asked, QUERY_BLOCK, lambda table: unpacked(table["vector"], np.int32, width).tobytes())
+    # every block of queries goes to each stripe, every block of cells to each block of queries
+    stripes = min(parts, max(1, -(-tasks // groups)))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
+    sets = sets.withColumn("set", F.col("number")).withColumn("stripe", each(stripes)).withColumn("kind", F.lit(0))
+    cells = (cells.withColumn("set", each(groups)).withColumn("stripe", F.col("number") % stripes)
+             .withColumn("kind", F.lit(1)))
+    met = (sets.unionByName(cells).repartition(groups * stripes, "set", "stripe")
+           .sortWithinPartitions("set", "stripe", "kind", "number").select("set", "kind", "n", "uids", "data"))
 
     by_low, by_high = (Window.partitionBy("query").orderBy(F.col(c).desc(), "uid") for c in ("low", "high"))
     last = F.max(F.when(F.col("place") == k + 1, F.col("low"))).over(Window.partitionBy("query"))
-    near = stage(_scan(pairs, lows, highs, k).withColumn("place", F.row_number().over(by_low)).withColumn("last", last)
+    near = stage(_scan(met, lows, highs, k).withColumn("place", F.row_number().over(by_low)).withColumn("last", last)
                  .where(F.col("last").isNull() | (F.col("high") >= F.col("last")))
                  .select("query", "uid", "high", F.row_number().over(by_high).alias("turn")), "search-near")
     first = stage(_scored(near.where(F.col("turn") <= k + 1), single, width), "search-first")
