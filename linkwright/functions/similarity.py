@@ -1,14 +1,17 @@
 """Jaro-Winkler similarity and the bounds used to block on it.
 
-The scorer is a small per-pair Python helper run through an Arrow-batched
-pandas UDF. It is only ever applied to candidate pairs that survived the
-native (JVM) filters of ``operators.fuzzy_join``, never inside a join condition.
+The scorer runs through an Arrow-batched pandas UDF: pairs of similar length are
+laid out as byte matrices and matched position by position for all of them at once. It is
+only ever applied to candidate pairs that survived the native (JVM) filters of
+``operators.fuzzy_join``, never inside a join condition. ``jaro_winkler`` is the
+same definition for a single pair.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -64,11 +67,82 @@ def jaro_winkler_seq(a, b) -> float:
     return sim
 
 
+#: Matrix cells (pairs x longest name) that one step of the scorer works on.
+_CELLS = 1 << 19
+
+
+def _byte_matrix(values: list[bytes], width: int, pad: int) -> np.ndarray:
+    out = np.full((len(values), width), pad, dtype=np.int16)
+    sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values))
+    flat = np.frombuffer(b"".join(values), dtype=np.uint8)
+    rows = np.repeat(np.arange(len(values)), sizes)
+    out[rows, np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
+    return out
+
+
+def _score_block(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Jaro-Winkler of non-empty, different names, one matrix row a pair."""
+    la, lb = (np.array([len(x) for x in s]) for s in (a, b))
+    ma, mb = _byte_matrix(a, la.max(), -1), _byte_matrix(b, lb.max(), -2)
+    window = np.maximum(0, np.maximum(la, lb) // 2 - 1)
+    place = np.arange(mb.shape[1])
+    free = np.ones(mb.shape, dtype=bool)
+    hit = np.zeros(ma.shape, dtype=bool)
+    rows = np.arange(len(a))
+    for i in range(ma.shape[1]):
+        lo, hi = max(0, i - int(window.max())), i + int(window.max()) + 1
+        near = free[:, lo:hi] & (mb[:, lo:hi] == ma[:, i, None]) & (np.abs(place[None, lo:hi] - i) <= window[:, None])
+        if not near.shape[1]:
+            break
+        first = near.argmax(axis=1)
+        got = near[rows, first]
+        hit[got, i] = True
+        free[rows[got], lo + first[got]] = False
+    m = hit.sum(axis=1)
+    # matched bytes of both sides in order, moved to the front
+    order_a, order_b = np.argsort(~hit, axis=1, kind="stable"), np.argsort(free, axis=1, kind="stable")
+    wide = int(m.max()) if len(m) else 0
+    in_a = np.take_along_axis(ma, order_a, axis=1)[:, :wide]
+    in_b = np.take_along_axis(mb, order_b, axis=1)[:, :wide]
+    half = ((in_a != in_b) & (np.arange(wide)[None, :] < m[:, None])).sum(axis=1) // 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        sim = (m / la + m / lb + (m - half) / m) / 3.0
+    sim[m == 0] = 0.0
+    short = min(WINKLER_MAX_PREFIX, ma.shape[1], mb.shape[1])
+    prefix = np.cumprod(ma[:, :short] == mb[:, :short], axis=1).sum(axis=1)
+    boost = np.flatnonzero(sim > WINKLER_BOOST_THRESHOLD)
+    # one fused multiply-add, as the oracle computes it (bit-identical ties)
+    sim[boost] = [_fma(int(p) * WINKLER_PREFIX_SCALE, 1.0 - s, s) for p, s in zip(prefix[boost], sim[boost].tolist())]
+    return sim
+
+
+def jaro_winkler_pairs(a: list[str | None], b: list[str | None]) -> np.ndarray:
+    """``jaro_winkler`` of many pairs at once (NaN for a NULL side)."""
+    out = np.full(len(a), np.nan)
+    todo = []
+    for i, (x, y) in enumerate(zip(a, b)):
+        if isinstance(x, str) and isinstance(y, str):
+            if x == y and x:
+                out[i] = 1.0
+            elif not x or not y:
+                out[i] = 0.0
+            else:
+                todo.append((i, x.encode("utf-8"), y.encode("utf-8")))
+    todo.sort(key=lambda t: max(len(t[1]), len(t[2])), reverse=True)
+    at = 0
+    while at < len(todo):
+        size = max(1, _CELLS // max(len(todo[at][1]), len(todo[at][2])))
+        block = todo[at:at + size]
+        out[[t[0] for t in block]] = _score_block([t[1] for t in block], [t[2] for t in block])
+        at += size
+    return out
+
+
 @F.pandas_udf(DoubleType())
 def jaro_winkler_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     """Arrow-batched Jaro-Winkler over two string columns."""
-    return pd.Series([jaro_winkler(x, y) if isinstance(x, str) and isinstance(y, str)
-                      else None for x, y in zip(a, b)], dtype="float64")
+    found = pd.Series(jaro_winkler_pairs(a.tolist(), b.tolist()), dtype="float64")
+    return found.astype(object).where(found.notna(), None)
 
 
 # The same scorer as a barrier: Catalyst does not push a filter on a

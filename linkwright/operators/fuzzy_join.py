@@ -5,30 +5,35 @@ Spark plan a broadcast nested-loop join over all N*M pairs. Here the same result
 comes from equi-joins only:
 
 1. **Equality pairs** -- an equi-join on the name (covers ``'' = ''``).
-2. **Candidate keys** -- a name is a set of ``(byte, occurrence#)`` tokens
-   (the similarity works on UTF-8 bytes, like the reference's engine).
-   ``jw > threshold`` with common prefix l implies more than ``B_l * max(|a|,|b|)``
-   shared tokens (``similarity.match_fraction_bounds``). With tokens in one
-   global rarest-first order, the prefix-filter principle says two such names
-   share their first ``k`` common tokens within the first
-   ``n - floor(B_l * n) - 1 + k`` tokens of each. A key is
-   ``(l, first l bytes, k-subset of that prefix)``; two matching names
-   share one at their own common-prefix level l.
-3. **Native pruning** -- the pair's own level, length ratio and token overlap,
-   all JVM expressions.
-4. **Verification** -- the Arrow UDF scores only what is left.
-
-Every step is lossless, so the result equals the nested-loop definition. Names
-are deduplicated first: the work grows with distinct names, not with rows.
-
-k is chosen per level by ``key_sizes``: k tokens are shared by every matching
-pair with a longest name of k or more characters when ``B_l * k > k - 1``;
-shorter pairs match only when equal (step 1). k=1 is always valid.
+2. **Budget.** With m matching bytes and t transpositions, ``jaro > J`` means
+   ``(|a|-m)/|a| + (|b|-m)/|b| + t/m < 3(1-J)``. For names of at most ``top``
+   bytes, the bytes that only one of the two has are therefore fewer than
+   ``3(1-J) * top``. J depends on the common prefix of the pair (0 to 4 bytes);
+   pairs with a prefix of 1-2 and 3-4 bytes share a key level each, and the
+   prefix is part of the key.
+3. **Groups (pigeonhole).** A name's ``(byte, occurrence#)`` tokens behind the
+   prefix are dealt by byte into so many groups that in one of them fewer than
+   about four bytes are unmatched, whatever the lengths. Bytes are dealt in order of
+   their frequency, so groups weigh alike.
+4. **Candidate keys.** Within such a group, with sizes s and s' and at most D
+   unmatched bytes, at least ``m = (s + s' - D) / 2`` tokens are common. By the
+   prefix-filter principle the first ``s - m + k`` and ``s' - m + k`` tokens of
+   the two, rarest first, share k of them. A key is the hash of (level, prefix,
+   length classes of both, group, s, s', k tokens); a name has keys for each
+   class and group size of a partner. s' differs from s by D at most, so these are few.
+5. **Verification** -- distinct candidate pairs pass length and prefix bounds on
+   JVM expressions, and the Arrow UDF scores what is left.
+
+Every step is lossless (a colliding hash only adds a candidate), so the result
+equals the nested-loop definition. Names are deduplicated first: the work grows
+with distinct names, not with rows. Key rows are two longs; their
+number per name is bounded by its length.
 """
 
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -38,17 +43,18 @@ from ..functions.similarity import (WINKLER_MAX_PREFIX, jaro_winkler_verify_udf,
                                     match_fraction_bounds)
 from ..session import ensure_checkpoint_dir
 
-_EPS = 1e-9
+_EPS = 1e-6
 _KEY_JOIN_HINT = "merge"
 _OCC_RANGE = 1 << 32  # above any occurrence number in a name, so token ids never collide
 
-
-def _bounds_sql(bounds: list[float]) -> str:
-    return "array(" + ", ".join(repr(float(b)) for b in bounds) + ")"
-
-
-def _bound(bounds: list[float], level: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(b) for b in bounds]), level + 1)
+# Prefix bytes in the key, and the longest common prefix of the pairs it serves.
+LEVELS = ((0, 0), (1, 2), (3, 4))
+# Length classes: the first holds names up to CLASS_BASE bytes, each next one CLASS_STEP times longer ones.
+CLASS_BASE, CLASS_STEP = 8, 1.25
+# Unmatched bytes that a group may hold, about: one group more for each GROUP_BUDGET bytes of the budget.
+GROUP_BUDGET = 4.0
+# Tokens in a key by the difference of the two group sizes: one-sided differences leave more subsets.
+KEY_TOKENS = (5, 4, 4, 3, 3)
 
 
 def common_prefix4(a: Column, b: Column) -> Column:
@@ -60,11 +66,24 @@ def common_prefix4(a: Column, b: Column) -> Column:
     return expr
 
 
+def level_budgets(threshold: float) -> list[float]:
+    """Per common prefix length l (0..4), ``3 * (1 - J_l)``: what unmatched shares and transpositions may add up to."""
+    # the bound is 3 J - 2 with a little slack for the scorer's floating point
+    return [1.0 - b for b in match_fraction_bounds(threshold)]
+
+
+def group_limits(budget: float, top: int) -> tuple[int, int]:
+    """(groups, D): groups that the tokens of names up to ``top`` bytes are dealt into, and the most unmatched
+    bytes that the best of them can have."""
+    groups = max(1, math.ceil((budget * top + _EPS) / GROUP_BUDGET))
+    return groups, math.ceil(budget * top / groups + _EPS) - 1
+
+
 def _raw_tokens(names: DataFrame) -> DataFrame:
-    """(name, n, tid): one row per UTF-8 byte (the similarity's unit); ``tid``
-    encodes the byte value and its occurrence number in the name, so equal
-    tokens of two names are equal integers and a name's tokens are distinct.
-    ``n`` is the length in bytes.
+    """(name, n, pos, tid): one row per UTF-8 byte (the similarity's unit); ``tid``
+    encodes the byte value and its occurrence number counted from the end of the
+    name, so equal tokens of two names are equal integers, and the tokens behind
+    a prefix are those of the rest of the name. ``n`` is the length in bytes.
 
     ``names`` comes out of a ``distinct`` and is hash-partitioned by name, so
     the window needs no further shuffle.
@@ -77,130 +96,69 @@ def _raw_tokens(names: DataFrame) -> DataFrame:
     t = (names.where(F.length("name") > 0)
          .select("name", F.octet_length("name").alias("n"), ascii_only.alias("_ascii"),
                  F.posexplode(units).alias("pos", "c")))
-    occ = F.row_number().over(Window.partitionBy("name", "c").orderBy("pos"))
+    occ = F.row_number().over(Window.partitionBy("name", "c").orderBy(F.col("pos").desc()))
     byte = F.when(F.col("_ascii"), F.ascii("c")).otherwise(F.conv("c", 16, 10)).cast("long")
-    return t.select("name", "n", (byte * _OCC_RANGE + occ).alias("tid"))
-
-
-def _ordered_tokens(raw: DataFrame, freq: DataFrame) -> DataFrame:
-    """(name, n, toks): the name's tokens, rarest first (ties by token)."""
-    ordered = (raw.join(freq, "tid").groupBy("name", "n")
-               .agg(F.array_sort(F.collect_list(F.struct("f", "tid"))).alias("ts")))
-    return ordered.select("name", "n", F.expr("transform(ts, x -> x.tid)").alias("toks"))
-
-
-def _subsets_sql(plen: str, k: int) -> str:
-    """SQL for all k-subsets (k <= 4) of the first ``plen`` entries of
-    ``toks``, in order, as struct(k1..k4) with 0 for unused slots. The prefix
-    is indexed in place, never copied."""
-    idx = ["i", "j", "h", "g"][:k]
-    slots = ", ".join(f"'k{s + 1}', " + (f"element_at(toks, {idx[s]})" if s < k else "0L")
-                      for s in range(4))
-    body = f"named_struct({slots})"
-    # built inside out: index s runs from the previous index + 1 up to
-    # plen - (k - 1 - s), so every subset is generated once, in order
-    for s in reversed(range(k)):
-        start = "1" if s == 0 else f"{idx[s - 1]} + 1"
-        stop = f"{plen} - {k - 1 - s}" if k - 1 - s else plen
-        body = f"transform(sequence({start}, {stop}), {idx[s]} -> {body})"
-        if s < k - 1:
-            body = f"flatten({body})"
-    return f"if({plen} < {k}, array(), {body})"
-
-
-def key_sizes(bounds: list[float]) -> list[int]:
-    """Subset size per level (at most the lossless maximum, ``max_key_sizes``).
-
-    Level 0 groups all names (no common prefix) and takes the largest valid k;
-    levels 1-2 take at most 2 and levels 3-4 single tokens, where the shared
-    3-4 character prefix already groups names. Measured on sf0.1 titles: the
-    same time as single tokens at levels 1-4, but the key join emitted 2.37M
-    instead of 2.85M pairs, which matters more as the data grows (emitted
-    pairs grow with the square of the names, keys linearly).
-    """
-    caps = [4, 2, 2, 1, 1]
-    return [min(k, cap) for k, cap in zip(max_key_sizes(bounds), caps)]
-
-
-def max_key_sizes(bounds: list[float]) -> list[int]:
-    """Largest lossless subset size per level (at most 4).
-
-    k tokens are shared by every matching pair whose longest name has k or more
-    characters when ``B_l * k > k - 1``. Shorter pairs must match only when
-    equal (the equality join covers them). Names of at most 3 characters have
-    a Jaro window of 0. A non-equal pair of at most 2 characters scores at most
-    0.85 (``'a'`` against ``'ab'``), and k=3 is valid only when ``B_l > 2/3``, that
-    is for thresholds above 8/9. At level 0 (first characters differ) a pair of
-    at most 3 characters scores at most 7/9, so k=4 is used only there and
-    above 7/9.
-    """
-    out = []
-    for lvl, b in enumerate(bounds):
-        k = 3 if b * 3 > 2 else 2 if b * 2 > 1 else 1
-        # at level 0 the threshold on jaro is J_0 = (B_0 + 2) / 3
-        if lvl == 0 and b * 4 > 3 and (b + 2.0) / 3.0 > 7.0 / 9.0:
-            k = 4
-        out.append(k)
-    return out
-
-
-# Names up to this length use a level's largest k; each band of 1.5x longer
-# names uses one token less, down to single tokens.
-LONG_NAME = 40
-
-
-def key_families(bounds: list[float], sizes: list[int]) -> list[tuple[int, int, int, int | None]]:
-    """(level, k, min_len, max_len) key families.
-
-    C(p, k) keys per name grow fast for long names, so at a level with k >= 2
-    band ``i`` (names up to ``LONG_NAME * 1.5**i``) uses ``k - i``. A matching
-    pair has ``min > B_l * max``: if its longest name is in band i, both names
-    are at least ``floor(B_l * top of band i-1) + 1`` long, so bands overlap by
-    that much and every pair lies entirely inside one band. Keys of different
-    k never collide (a slot is 0 exactly when k is below its index).
-    """
-    fams = []
-    for lvl, (b, k) in enumerate(zip(bounds, sizes)):
-        lo, top = 0, float(LONG_NAME)
-        for kk in range(k, 0, -1):
-            hi = int(top) if kk > 1 else None   # the last band has no end
-            fams.append((lvl, kk, lo, hi))
-            lo = math.floor(b * int(top) - _EPS) + 1
-            top *= 1.5
-    return fams
-
-
-def _prefix_lengths(bounds: list[float], families) -> dict[str, Column]:
-    """Per family, the number of leading tokens to index:
-    ``n - floor(B_l * n) - 1 + k``, at most n; 0 when the name is shorter than
-    the level or outside the family's length range."""
-    n = F.col("n")
-    out = {}
-    for i, (lvl, k, lo, hi) in enumerate(families):
-        b = bounds[lvl]
-        plen = F.least(n, n - F.floor(F.lit(b) * n - _EPS).cast("int") - 1 + k)
-        inside = (n >= lvl) & (n >= lo) & (F.lit(True) if hi is None else n <= hi)
-        out[f"_p{i}"] = F.when(inside, plen).otherwise(F.lit(0))
-    return out
-
-
-def _keys_expr(families) -> Column:
-    """array<struct<lvl, pre, k1, k2, k3, k4>> of a (nb, toks, _p*) row, where
-    ``nb`` is the UTF-8 encoded name."""
-    per_family = []
-    for i, (lvl, k, _, _) in enumerate(families):
-        subsets = _subsets_sql(f"_p{i}", k)
-        per_family.append(
-            f"if(_p{i} = 0, array(), transform({subsets}, s -> named_struct("
-            f"'lvl', {lvl}, 'pre', substring(nb, 1, {lvl}), "
-            f"'k1', s.k1, 'k2', s.k2, 'k3', s.k3, "
-            f"'k4', s.k4)))")
-    return F.expr("flatten(array(" + ", ".join(per_family) + "))")
+    return t.select("name", "n", "pos", (byte * _OCC_RANGE + occ).alias("tid"))
+
+
+def _token_order(raw: DataFrame) -> DataFrame:
+    """(tid, f, rank): how often each token occurs, and the frequency rank of its byte (0: most frequent)."""
+    freq = raw.groupBy("tid").agg(F.count(F.lit(1)).alias("f"))
+    byte = F.expr(f"tid div {_OCC_RANGE}").alias("byte")
+    ranks = (freq.groupBy(byte).agg(F.sum("f").alias("w"))     # at most 256 rows
+             .select("byte", (F.row_number().over(Window.orderBy(F.desc("w"), "byte")) - 1).alias("rank")))
+    return freq.withColumn("byte", byte).join(F.broadcast(ranks), "byte").select("tid", "f", "rank")
+
+
+def _ordered_tokens(raw: DataFrame, order: DataFrame) -> DataFrame:
+    """(name, n, toks): the name's tokens as (f, tid, rank, pos), rarest first (ties by token)."""
+    return (raw.join(order, "tid").groupBy("name", "n")
+            .agg(F.array_sort(F.collect_list(F.struct("f", "tid", "rank", "pos"))).alias("toks")))
+
+
+def _subsets(spark) -> DataFrame:
+    """(x, k, places): all k-subsets of the first x + k places; a constant table of some hundred rows."""
+    rows = [f"({x}, {k}, array({', '.join(map(str, c))}))" if k else f"({x}, 0, cast(array() as array<int>))"
+            for x in range(len(KEY_TOKENS)) for k in range(max(KEY_TOKENS) + 1)
+            for c in combinations(range(x + k), k)]
+    return spark.sql(f"select * from values {', '.join(rows)} as t(x, k, places)")
+
+
+def _class_sql(n: str) -> str:
+    return f"greatest(0, cast(ceil(ln({n} / {float(CLASS_BASE)}) / {math.log(CLASS_STEP)!r} - 1e-9) as int))"
+
+
+def _keys(tokens: DataFrame, budgets: list[float], left: bool) -> DataFrame:
+    """(id, key) for every candidate key of every name."""
+    levels = ", ".join(f"struct({lvl} as p, {budgets[most]!r}D as budget)" for lvl, most in LEVELS)
+    # a partner is n * (1 - budget) to n / (1 - budget) long; the longer class of the two bounds the budget
+    rows = (tokens.selectExpr("name", "n", "toks", f"inline(array({levels}))").where("n >= p")
+            .selectExpr("*", f"{_class_sql('n')} as cls",
+                        f"explode(sequence({_class_sql(f'greatest(1, floor(n * (1 - budget) - {_EPS}))')}, "
+                        f"{_class_sql(f'ceil(n / (1 - budget) + {_EPS})')})) as partner")
+            .selectExpr("*", f"budget * ceil({float(CLASS_BASE)}D * pow({CLASS_STEP}D, greatest(cls, partner)) + {_EPS}) as whole")
+            .selectExpr("*", f"greatest(1, cast(ceil((whole + {_EPS}) / {GROUP_BUDGET}D) as int)) as groups")
+            .selectExpr("*", f"cast(ceil(whole / groups + {_EPS}) as int) - 1 as most", "explode(sequence(0, groups - 1)) as g"))
+    # bytes are dealt back and forth in order of frequency: 0 .. G-1, G-1 .. 0, ...
+    rows = rows.selectExpr(
+        "name", "p", "cls", "partner", "g", "most",
+        "transform(filter(toks, t -> t.pos >= p and (t.rank % (2 * groups) = g or t.rank % (2 * groups) = 2 * groups - 1 - g)),"
+        " t -> t.tid) as own")
+    rows = rows.selectExpr("*", "explode(sequence(-most, most)) as diff")  # the group's tokens are picked before, once
+    # unmatched bytes have the parity of the sizes' difference
+    rows = (rows.selectExpr("*", "size(own) as s", "most - abs(most - diff) % 2 as odd")
+            .where("s + diff >= 0 and abs(diff) <= odd")
+            .selectExpr("*", "greatest(0, cast((2 * s + diff - odd) div 2 as int)) as common"))
+    sizes = "cls, partner, s, s + diff" if left else "partner, cls, s + diff, s"
+    rows = (rows.selectExpr("*", f"least(common, element_at(array{KEY_TOKENS}, abs(diff) + 1)) as k")
+            .selectExpr("own", "k", "s - common as x", "xxhash64(name) as id",
+                        f"xxhash64(p, substring(encode(name, 'UTF-8'), 1, p), g, {sizes}, k) as head"))
+    toks = ", ".join(f"get(own, get(places, {j}))" for j in range(max(KEY_TOKENS)))
+    return rows.join(F.broadcast(_subsets(tokens.sparkSession)), ["x", "k"]).selectExpr("id", f"xxhash64(head, {toks}) as key")
 
 
 def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95,
                       left_col: str | None = None, right_col: str | None = None,
-                      key_sizes_override: list[int] | None = None,
                       materialize: bool = True) -> DataFrame:
     """All distinct name pairs ``(a, b, sim)`` with ``a = b`` or ``jw(a, b) > threshold``.
 
@@ -211,14 +169,14 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     With ``materialize`` (default) the pairs are computed now and returned as a
     checkpointed DataFrame; otherwise the plan is returned lazily.
     """
-    bounds = match_fraction_bounds(threshold)
-    sizes = key_sizes(bounds)
-    if key_sizes_override is not None:
-        if any(o > s for o, s in zip(key_sizes_override, max_key_sizes(bounds))):
-            raise ValueError(f"key sizes {key_sizes_override} are not lossless here")
-        sizes = list(key_sizes_override)
+    budgets = level_budgets(threshold)
+    if group_limits(max(budgets), CLASS_BASE)[1] >= len(KEY_TOKENS):
+        raise ValueError("KEY_TOKENS has no entry for the largest difference of group sizes")
     lc = left_col or left.columns[0]
     rc = right_col or right.columns[0]
+    # these rows are few and short, but each makes hundreds of key rows, which AQE cannot see when it
+    # merges small partitions: so their number of partitions is fixed
+    spread = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     a_names = left.select(F.col(lc).alias("name")).where(F.col("name").isNotNull()).distinct()
     b_names = right.select(F.col(rc).alias("name")).where(F.col("name").isNotNull()).distinct()
 
@@ -231,32 +189,22 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
         F.when(F.length("name") > 0, F.lit(1.0)).otherwise(F.lit(0.0)).alias("sim"))
 
     raw_a, raw_b = _raw_tokens(a_names), _raw_tokens(b_names)
-    # AQE broadcasts it or not, by its measured size
-    freq = keep(raw_a.select("tid").unionByName(raw_b.select("tid"))
-                .groupBy("tid").agg(F.count(F.lit(1)).alias("f")))
-    families = key_families(bounds, sizes)
-    keys = _keys_expr(families)
-    plens = _prefix_lengths(bounds, families)
-    # names travel as UTF-8 bytes (the similarity's unit) and are decoded
-    # again only for the few pairs that survive the filters
-    plens["nb"] = F.encode("name", "UTF-8")
-    ka = _ordered_tokens(raw_a, freq).withColumns(plens).select(
-        F.col("nb").alias("a"), F.col("n").alias("la"), F.col("toks").alias("ta"), F.inline(keys))
-    kb = _ordered_tokens(raw_b, freq).withColumns(plens).select(
-        F.col("nb").alias("b"), F.col("n").alias("lb"), F.col("toks").alias("tb"), F.inline(keys))
-    lvl, la, lb = F.col("lvl"), F.col("la"), F.col("lb")
-    longest = F.greatest(la, lb)
-    # every filter here is on JVM expressions and runs inside the join, before
-    # any deduplication; only pairs that can still match reach the distinct
+    # one row per (byte, occurrence#); AQE broadcasts it or not, by its measured size
+    order = keep(_token_order(raw_a.select("tid").unionByName(raw_b.select("tid"))))
+    ka, kb = (_keys(_ordered_tokens(raw, order).repartition(spread, "name"), budgets, side).withColumnRenamed("id", c)
+              for raw, side, c in ((raw_a, True, "a_id"), (raw_b, False, "b_id")))
     # both key sides grow with the data: never broadcast them (a sort-merge join
     # spills instead of failing, and AQE splits skewed key partitions)
-    cand = (ka.join(kb.hint(_KEY_JOIN_HINT), ["lvl", "pre", "k1", "k2", "k3", "k4"])
-            .where((F.col("a") != F.col("b"))
-                   & (common_prefix4(F.col("a"), F.col("b")) == lvl)
-                   & (F.least(la, lb) > _bound(bounds, lvl) * longest)
-                   & (F.size(F.array_intersect("ta", "tb")) > _bound(bounds, lvl) * longest))
-            .select("a", "b").distinct()
-            .select(F.decode("a", "UTF-8").alias("a"), F.decode("b", "UTF-8").alias("b")))
+    met = (ka.join(kb.hint(_KEY_JOIN_HINT), "key").select("a_id", "b_id").distinct()
+           .repartition(spread, "a_id", "b_id"))
+    # a hash stands for a name; names of one hash all come back, so none is lost
+    found = (met.join(a_names.selectExpr("xxhash64(name) as a_id", "name as a"), "a_id")
+             .join(b_names.selectExpr("xxhash64(name) as b_id", "name as b"), "b_id").where("a <> b").select("a", "b"))
+    # of the distinct pairs, those whose lengths fit the budget of their own common prefix
+    lvl = common_prefix4(F.encode("a", "UTF-8"), F.encode("b", "UTF-8"))
+    budget = F.element_at(F.array(*[F.lit(b) for b in budgets]), F.col("lvl") + 1)
+    la, lb = F.octet_length("a"), F.octet_length("b")
+    cand = found.withColumn("lvl", lvl).where(F.abs(la - lb) < budget * F.greatest(la, lb) + _EPS).select("a", "b")
     fuzzy = (cand.withColumn("sim", jaro_winkler_verify_udf(F.col("a"), F.col("b")))
              .where(F.col("sim") > F.lit(threshold)))
     pairs = equal.unionByName(fuzzy)
@@ -268,5 +216,5 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     try:
         return pairs.checkpoint(eager=True)
     finally:
-        for cached in (a_names, b_names, freq):
+        for cached in (a_names, b_names, order):
             cached.unpersist()

@@ -53,11 +53,17 @@ def match_by_name(firms: DataFrame, accounts: DataFrame,
         # equal keys score equally, so per key only the smallest Id can win;
         # this aggregate combines map-side even when one key holds many accounts
         best_id = z.where(F.col("zc").isNotNull()).groupBy("zc").agg(F.min("Id").alias("Id"))
-        pairs = jaro_winkler_join(m.select("mc"), z.select("zc"), threshold,
+        # an equal key cannot be beaten (no other key scores 1, and '' pairs with '' alone),
+        # so only firms without one go through the fuzzy join
+        names = m.where(F.col("mc").isNotNull()).select("mc").distinct().join(best_id, F.col("mc") == F.col("zc"), "left")
+        equal = names.where(F.col("zc").isNotNull()).select(
+            "mc", "zc", F.when(F.col("mc") == "", 0.0).otherwise(1.0).alias("sim"), "Id")
+        pairs = jaro_winkler_join(names.where(F.col("zc").isNull()).select("mc"), z.select("zc"), threshold,
                                   materialize=materialize)
         scored = pairs.join(best_id, pairs.b == best_id.zc).select(
             F.col("a").alias("mc"), "zc", "sim", "Id")
         best = best_per_group(scored, ["mc"], [("sim", True), ("Id", False)], payload=["zc"])
+        best = best.select("mc", "zc", "sim", "Id").unionByName(equal)
         proposals = m.join(best, "mc").select("rec_id", "Id", "sim", "mc", "zc")
         if materialize:
             ensure_checkpoint_dir(proposals.sparkSession)

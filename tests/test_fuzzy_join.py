@@ -5,8 +5,7 @@ import pytest
 
 from linkwright import derived
 from linkwright.functions.similarity import jaro_winkler
-from linkwright.operators.fuzzy_join import jaro_winkler_join, key_sizes
-from linkwright.functions.similarity import match_fraction_bounds
+from linkwright.operators.fuzzy_join import KEY_TOKENS, group_limits, jaro_winkler_join, level_budgets
 from conftest import SF_SMALL
 
 
@@ -71,9 +70,13 @@ def test_titles_equal_brute_force(spark):
     assert {(r["a"], r["b"], round(r["sim"], 9)) for r in got} == _brute(left, right, 0.95)
 
 
-def test_key_sizes():
-    assert key_sizes(match_fraction_bounds(0.95)) == [4, 2, 2, 1, 1]
-    assert key_sizes(match_fraction_bounds(0.85)) == [2, 1, 1, 1, 1]
+def test_group_limits():
+    """Every group budget leaves an entry of KEY_TOKENS for each difference of sizes."""
+    assert [round(b, 4) for b in level_budgets(0.95)] == [0.15, 0.1667, 0.1875, 0.2143, 0.25]
+    assert group_limits(0.15, 8) == (1, 1) and group_limits(0.15, 60) == (3, 3) and group_limits(0.25, 60) == (4, 3)
+    for threshold in (0.7, 0.75, 0.85, 0.9, 0.95, 0.99):
+        for budget in level_budgets(threshold):
+            assert all(0 <= group_limits(budget, top)[1] < len(KEY_TOKENS) for top in range(8, 3000))
 
 
 def test_plan_has_no_nested_loop(spark):
