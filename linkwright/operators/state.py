@@ -59,9 +59,10 @@ def fill_null_update(state: DataFrame, proposals: DataFrame, key: str = "rec_id"
                      value: str = "id_zoho", proposal_value: str = "Id") -> DataFrame:
     """``UPDATE state SET value = p.Id FROM p WHERE key = p.key AND value IS NULL``
     (J5): only NULL links are filled, so an earlier match is never overwritten.
-    ``proposals`` must hold at most one row per key (matchers guarantee it)."""
-    p = proposals.select(F.col(key).alias("_pk"),
-                         F.col(proposal_value).cast("string").alias("_pv"))
+    The state keeps its rows: of several proposals for a key (a matcher of the user's own
+    may make them) the smallest value counts, NULL proposals last."""
+    p = (proposals.select(F.col(key).alias("_pk"), F.col(proposal_value).cast("string").alias("_pv"))
+         .where("_pk is not null").groupBy("_pk").agg(F.min("_pv").alias("_pv")))
     joined = state.join(p, state[key] == p["_pk"], "left")
     return joined.select(state[key].alias(key),
                          F.coalesce(state[value], F.col("_pv")).alias(value))

@@ -52,3 +52,11 @@ def test_summary_empty_state(spark):
     empty = _df(spark, [], "rec_id string, id_zoho string")
     r = match_summary(empty).first()
     assert (r.total_firms, r.matched_firms, r.unmatched_firms, r.match_rate) == (0, 0, 0, 0.0)
+
+
+def test_two_proposals_for_a_key_add_no_row(spark):
+    state = spark.createDataFrame([("1", None), ("2", "kept"), (None, None)], "rec_id string, id_zoho string")
+    proposals = spark.createDataFrame([("1", "b"), ("1", "a"), ("1", None), ("2", "c"), (None, "d"), (None, "e")],
+                                      "rec_id string, Id string")
+    assert rows(fill_null_update(state, proposals)) == rows(spark.createDataFrame(
+        [("1", "a"), ("2", "kept"), (None, None)], "rec_id string, id_zoho string"))
