@@ -206,10 +206,12 @@ from customer""",
   case when s_suppkey % 2 = 0 then cast(s_acctbal as varchar) end as s_acctbal
 from supplier""",
 
-    "xml_shapes": """select 'child' as file, cast(n_nationkey as varchar) as n_nationkey, n_name,
-  cast(n_regionkey as varchar) as n_regionkey from nation
+    "xml_shapes": """select 'child' as file, cast(c_custkey as varchar) as c_custkey, c_name,
+  cast(c_nationkey as varchar) as c_nationkey from customer
 union all
-select 'inner', cast(n_nationkey as varchar), n_name, null from nation""",
+select 'direct', cast(c_custkey as varchar), c_name, null from customer
+union all
+select 'inner', cast(c_custkey as varchar), c_name, null from customer""",
 
     "update_from_csv": """select o_orderkey, case when o_orderstatus = 'O' then
     case o_orderkey % 5 when 0 then null when 1 then o_orderkey % 1000 when 2 then o_orderkey % 1000 + 1

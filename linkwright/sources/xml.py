@@ -9,11 +9,15 @@ A dump is a folder of ``*.xml`` files, one table per file:
    depth, else the root's children when every child has children) and, for
    files without rows, the columns of the first child. The scan stops at the
    first ``Row``; memory stays constant because parsed elements are cleared.
+   Rows that are the root's children may have tags that also occur deeper in
+   the file; discovery says so, and names the columns of such files.
 2. **Rows** -- Spark's XML source reads all files of one ``(table, row tag)``
    in parallel, every value as text (no type inference, spaces kept, empty
    element -> NULL, attributes dropped). Files of one table are combined with
    ``unionByName(allowMissingColumns=True)``, so a column that only some rows
-   or files have is NULL elsewhere (schema evolution, S5).
+   or files have is NULL elsewhere (schema evolution, S5). Spark's source finds a
+   row tag at any depth, so files whose child tags also occur deeper are streamed
+   instead, one task a file: only direct children of the root are rows.
 
 Shapes: a repeated tag keeps its first value; a nested element keeps its own
 text before the first child (``_VALUE``) or NULL. Declared difference: a
@@ -23,6 +27,7 @@ text before the first child (``_VALUE``) or NULL. Declared difference: a
 from __future__ import annotations
 
 import io
+import itertools
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
@@ -36,7 +41,10 @@ ROW_TAG = "Row"
 XML_READ_OPTIONS = {"inferSchema": "false", "ignoreSurroundingSpaces": "false",
                     "nullValue": "", "excludeAttribute": "true", "mode": "FAILFAST"}
 _DISCOVERY_SCHEMA = ("path string, table_name string, row_tag string, "
-                     "empty_columns array<string>")
+                     "empty_columns array<string>, direct boolean")
+# Row tag of files that are streamed: rows are the root's children, whatever their tags.
+DIRECT = ""
+_ROWS_PER_BATCH = 5000
 
 
 def _open(path: str):
@@ -55,11 +63,14 @@ def _local_name(tag: str) -> str:
     return tag.rsplit("}", 1)[-1] if isinstance(tag, str) else str(tag)
 
 
-def inspect_xml(stream) -> tuple[str, str | None, list[str] | None]:
-    """(table_name, row_tag, empty_columns) of one XML document."""
+def inspect_xml(stream) -> tuple[str, str | None, list[str] | None, bool]:
+    """(table_name, row_tag, columns, direct) of one XML document; ``direct`` when rows are the root's
+    children and a child's tag also occurs deeper. Columns are those of direct rows, or of an empty document."""
     depth = 0
     root_name = None
     child_tags: dict[str, None] = {}   # distinct, in order
+    deeper: set[str] = set()
+    columns: dict[str, None] = {}
     all_children_nested = True
     first_child_cols: list[str] | None = None
     current_has_children = False
@@ -73,14 +84,17 @@ def inspect_xml(stream) -> tuple[str, str | None, list[str] | None]:
                 root = elem
                 root_name = elem.attrib.get("name") or tag
             elif tag == ROW_TAG:
-                return root_name, ROW_TAG, None
+                return root_name, ROW_TAG, None, False
             elif depth == 2:
                 child_tags[tag] = None
                 current_has_children = False
                 current_cols = []
-            elif depth == 3:
-                current_has_children = True
-                current_cols.append(tag)
+            else:
+                deeper.add(tag)
+                if depth == 3:
+                    current_has_children = True
+                    current_cols.append(tag)
+                    columns[tag] = None
         else:
             if depth == 2:
                 all_children_nested &= current_has_children
@@ -91,8 +105,49 @@ def inspect_xml(stream) -> tuple[str, str | None, list[str] | None]:
                 elem.clear()
             depth -= 1
     if child_tags and all_children_nested:
-        return root_name, "|".join(child_tags), None
-    return root_name, None, first_child_cols or []
+        if deeper.isdisjoint(child_tags):
+            return root_name, "|".join(child_tags), None, False
+        return root_name, DIRECT, list(columns), True
+    return root_name, None, first_child_cols or [], False
+
+
+def direct_rows(stream) -> Iterator[dict[str, str | None]]:
+    """The root's children as rows: first element of each tag, its own text before its first child; an empty
+    element, or one with children and only white space before them, is NULL."""
+    depth, root, row = 0, None, {}
+    for event, elem in ET.iterparse(stream, events=("start", "end")):
+        if event == "start":
+            depth += 1
+            if depth == 1:
+                root = elem
+            elif depth == 2:
+                row = {}
+            continue
+        if depth == 3:
+            text = elem.text or None
+            if len(elem) and text is not None and not text.strip():
+                text = None
+            row.setdefault(_local_name(elem.tag), text)
+        elif depth == 2:
+            yield row
+            root.clear()   # drop finished children: memory stays constant
+        depth -= 1
+
+
+def _stream_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for path in batch["path"]:
+            with _open(path) as fh:
+                rows = direct_rows(io.BufferedReader(fh) if not hasattr(fh, "peek") else fh)
+                while held := list(itertools.islice(rows, _ROWS_PER_BATCH)):
+                    yield pd.DataFrame({"cells": held})
+
+
+def read_direct_rows(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+    """The rows of files whose rows are the root's children, every column as text; one task a file."""
+    files = spark.read.format("binaryFile").load(paths).select("path").repartition(len(paths))
+    cells = files.mapInPandas(_stream_rows, "cells map<string,string>")
+    return cells.select(*[F.col("cells").getItem(c).alias(c) for c in columns])
 
 
 def _discover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -100,14 +155,13 @@ def _discover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for path in batch["path"]:
             with _open(path) as fh:
-                table, tag, cols = inspect_xml(io.BufferedReader(fh) if not hasattr(fh, "peek") else fh)
-            out.append((path, table, tag, cols))
-        yield pd.DataFrame(out, columns=["path", "table_name", "row_tag", "empty_columns"])
+                out.append((path, *inspect_xml(io.BufferedReader(fh) if not hasattr(fh, "peek") else fh)))
+        yield pd.DataFrame(out, columns=["path", "table_name", "row_tag", "empty_columns", "direct"])
 
 
 def discover(spark: SparkSession, folder: str | list[str]) -> DataFrame:
     """One row per ``*.xml`` file of one or more folders:
-    ``(path, table_name, row_tag, empty_columns)``."""
+    ``(path, table_name, row_tag, empty_columns, direct)``."""
     folders = [folder] if isinstance(folder, str) else list(folder)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.xml")
              .load(folders).select("path"))
@@ -179,8 +233,13 @@ def load_xml_dump(spark: SparkSession, folder: str | list[str]) -> dict[str, Dat
     found = discover(spark, folder).collect()
     groups: dict[tuple[str, str], list[str]] = {}
     empties: dict[str, list[str]] = {}
+    direct: dict[str, tuple[list[str], dict[str, None]]] = {}
     for r in found:
-        if r["row_tag"] is None:
+        if r["direct"]:
+            files, columns = direct.setdefault(r["table_name"], ([], {}))
+            files.append(r["path"])
+            columns.update(dict.fromkeys(r["empty_columns"]))
+        elif r["row_tag"] is None:
             empties.setdefault(r["table_name"], list(r["empty_columns"] or []))
         else:
             for tag in r["row_tag"].split("|"):
@@ -190,6 +249,10 @@ def load_xml_dump(spark: SparkSession, folder: str | list[str]) -> dict[str, Dat
         df = read_rows(spark, sorted(paths), tag)
         tables[table] = (tables[table].unionByName(df, allowMissingColumns=True)
                          if table in tables else df)
+    for table, (paths, columns) in sorted(direct.items()):
+        df = read_direct_rows(spark, sorted(paths), list(columns))
+        tables[table] = (tables[table].unionByName(df, allowMissingColumns=True)
+                         if table in tables else df)
     for table, cols in empties.items():
         if table not in tables:
             tables[table] = _empty_table(spark, cols)

@@ -273,26 +273,36 @@ def zip_multi_module(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def xml_shapes(spark: SparkSession, sf: str) -> DataFrame:
-    """A file whose rows are child tags, with a nested and a repeated element; rows inside
-    rows; a document without rows."""
+    """A file whose rows are child tags, with a nested and a repeated element; one whose child
+    tags also occur deeper; rows inside rows; a document without rows, which gives its columns."""
     folder = scratch_path(spark, "xml_shapes")
-    nat = _text_table(T(spark, sf, "nation"))
-    child = nat.select("n_nationkey", F.struct(F.col("n_name").alias("_VALUE"), F.lit("x").alias("part")).alias("n_name"),
-                       F.array("n_regionkey", F.lit("again")).alias("n_regionkey"))
-    (child.write.format("xml").option("rowTag", "nation").option("rootTag", 'dump name="child"').save(f"{folder}/child"))
-    key = F.col("n_nationkey").cast("long")
-    outer = nat.where(key % 2 == 0).alias("o").join(
-        nat.where(key % 2 == 1).alias("i"), F.col("o.n_nationkey").cast("long") + 1 == F.col("i.n_nationkey").cast("long"), "left")
-    nested = outer.select("o.n_nationkey", "o.n_name", F.struct(F.struct("i.n_nationkey", "i.n_name").alias("Row")).alias("more"))
+    cust = _text_table(T(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey"))
+    child = cust.select("c_custkey", F.struct(F.col("c_name").alias("_VALUE"), F.lit("x").alias("part")).alias("c_name"),
+                        F.array("c_nationkey", F.lit("again")).alias("c_nationkey"))
+    (child.write.format("xml").option("rowTag", "customer").option("rootTag", 'dump name="child"').save(f"{folder}/child"))
+    deep = cust.select("c_custkey", "c_name", F.struct(F.lit("deep").alias("entry")).alias("c_nationkey"),
+                       F.struct("c_custkey").alias("entry"))
+    (deep.write.format("xml").option("rowTag", "entry").option("rootTag", 'dump name="direct"').save(f"{folder}/direct"))
+    key = F.col("c_custkey").cast("long")
+    outer = cust.where(key % 2 == 0).alias("o").join(
+        cust.where(key % 2 == 1).alias("i"), F.col("o.c_custkey").cast("long") + 1 == F.col("i.c_custkey").cast("long"), "full")
+    nested = outer.select("o.c_custkey", "o.c_name", F.struct(F.struct("i.c_custkey", "i.c_name").alias("Row")).alias("more"))
     (nested.write.format("xml").option("rowTag", "Row").option("rootTag", 'dump name="inner"').save(f"{folder}/inner"))
-    (nat.limit(0).write.format("xml").option("rowTag", "Row").option("rootTag", 'dump name="none"').save(f"{folder}/none"))
-    tables = load_xml_dump(spark, [f"{folder}/child", f"{folder}/inner", f"{folder}/none"])
+    # children that do not all have children are no rows: a table without rows, with the first child's columns
+    no_rows = cust.agg(*[F.max(c).alias(c) for c in cust.columns]).withColumn(
+        "cells", F.explode(F.array(F.lit(1), F.lit(2)))).select(
+        "cells", *[F.when(F.col("cells") == 1, F.col(c)).alias(c) for c in cust.columns])
+    (no_rows.coalesce(1).sortWithinPartitions("cells").drop("cells").write.format("xml").option("rowTag", "entry")
+     .option("rootTag", 'dump name="none"').save(f"{folder}/none"))
+    tables = load_xml_dump(spark, [f"{folder}/child", f"{folder}/direct", f"{folder}/inner", f"{folder}/none"])
     # the nested element's own text runs up to the indentation before its child
-    own = F.regexp_replace("n_name", r"\s+$", "").alias("n_name")
-    rows = tables["child"].select(F.lit("child").alias("file"), "n_nationkey", own, "n_regionkey")
-    inner = tables["inner"].where("n_nationkey is not null").select(
-        F.lit("inner").alias("file"), "n_nationkey", "n_name", F.lit(None).cast("string").alias("n_regionkey"))
-    return rows.unionByName(inner)
+    own = F.regexp_replace("c_name", r"\s+$", "").alias("c_name")
+    rows = tables["child"].select(F.lit("child").alias("file"), "c_custkey", own, "c_nationkey")
+    direct = tables["direct"].select(F.lit("direct").alias("file"), "c_custkey", "c_name", "c_nationkey")
+    inner = tables["inner"].where("c_custkey is not null").select(
+        F.lit("inner").alias("file"), "c_custkey", "c_name", F.lit(None).cast("string").alias("c_nationkey"))
+    none = tables["none"].select(F.lit("none").alias("file"), "c_custkey", "c_name", "c_nationkey")
+    return rows.unionByName(direct).unionByName(inner).unionByName(none)
 
 
 def update_from_csv(spark: SparkSession, sf: str) -> DataFrame:

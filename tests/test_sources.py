@@ -164,3 +164,14 @@ def test_save_refuses_an_existing_target(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)exists"):
         save_tables(t, str(tmp_path / "w"))
     assert rows(spark.read.parquet(str(tmp_path / "w" / "a"))) == [(1,)]
+
+
+def test_child_tags_that_also_occur_deeper(spark, tmp_path):
+    """Only direct children of the root are rows, whatever their tags; nothing inside them is."""
+    (tmp_path / "t.xml").write_text("<root><a><id>1</id><b>inner</b></a><b><id>2</id><c>z</c><c>again</c></b>"
+                                    "<a><id/><c> <b><id>9</id></b></c></a></root>")
+    (tmp_path / "u.xml").write_text("<root><a><id>3</id><d>plain</d></a></root>")
+    got = load_xml_dump(spark, str(tmp_path))["root"]
+    assert rows(got, "id", "b", "c", "d") == rows(spark.createDataFrame(
+        [("1", "inner", None, None), ("2", None, "z", None), (None, None, None, None), ("3", None, None, "plain")],
+        "id string, b string, c string, d string"))
