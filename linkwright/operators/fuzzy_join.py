@@ -111,9 +111,11 @@ def _token_order(raw: DataFrame) -> DataFrame:
 
 
 def _ordered_tokens(raw: DataFrame, order: DataFrame) -> DataFrame:
-    """(name, n, toks): the name's tokens as (f, tid, rank, pos), rarest first (ties by token)."""
-    return (raw.join(order, "tid").groupBy("name", "n")
-            .agg(F.array_sort(F.collect_list(F.struct("f", "tid", "rank", "pos"))).alias("toks")))
+    """(name, n, toks): the name's tokens as (f, tid, rank, pos), rarest first (ties by token). Tokens that
+    ``order`` does not know count as rarest, bytes it does not know as behind all others."""
+    known = raw.join(order, "tid", "left").selectExpr(
+        "name", "n", "pos", "tid", "coalesce(f, 0) as f", f"coalesce(rank, cast(256 + tid div {_OCC_RANGE} as int)) as rank")
+    return known.groupBy("name", "n").agg(F.array_sort(F.collect_list(F.struct("f", "tid", "rank", "pos"))).alias("toks"))
 
 
 def _subsets(spark) -> DataFrame:
@@ -157,6 +159,42 @@ def _keys(tokens: DataFrame, budgets: list[float], left: bool) -> DataFrame:
     return rows.join(F.broadcast(_subsets(tokens.sparkSession)), ["x", "k"]).selectExpr("id", f"xxhash64(head, {toks}) as key")
 
 
+def token_order(*names: DataFrame) -> DataFrame:
+    """The order of tokens that keys go by, from one-column tables of distinct names. Both sides of a join need the same
+    order; any order gives the same pairs, one that fits the names gives fewer candidates."""
+    tids = None
+    for df in names:
+        found = _raw_tokens(df.select(F.col(df.columns[0]).alias("name"))).select("tid")
+        tids = found if tids is None else tids.unionByName(found)
+    return _token_order(tids)
+
+
+def name_keys(names: DataFrame, order: DataFrame, threshold: float, left: bool) -> DataFrame:
+    """(id, key): the candidate keys of distinct names (column ``name``), as the left or right side of a join."""
+    # these rows are few and short, but each makes hundreds of key rows, which AQE cannot see when it
+    # merges small partitions: so their number of partitions is fixed
+    spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tokens = _ordered_tokens(_raw_tokens(names), order).repartition(spread, "name")
+    return _keys(tokens, level_budgets(threshold), left)
+
+
+def scored_pairs(met: DataFrame, a_names: DataFrame, b_names: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, sim) above the threshold of candidate id pairs (a_id, b_id) whose names differ."""
+    budgets = level_budgets(threshold)
+    spread = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = met.select("a_id", "b_id").distinct().repartition(spread, "a_id", "b_id")
+    # a hash stands for a name; names of one hash all come back, so none is lost
+    found = (met.join(a_names.selectExpr("xxhash64(name) as a_id", "name as a"), "a_id")
+             .join(b_names.selectExpr("xxhash64(name) as b_id", "name as b"), "b_id").where("a <> b").select("a", "b"))
+    # of the distinct pairs, those whose lengths fit the budget of their own common prefix
+    lvl = common_prefix4(F.encode("a", "UTF-8"), F.encode("b", "UTF-8"))
+    budget = F.element_at(F.array(*[F.lit(b) for b in budgets]), F.col("lvl") + 1)
+    la, lb = F.octet_length("a"), F.octet_length("b")
+    cand = found.withColumn("lvl", lvl).where(F.abs(la - lb) < budget * F.greatest(la, lb) + _EPS).select("a", "b")
+    return (cand.withColumn("sim", jaro_winkler_verify_udf(F.col("a"), F.col("b")))
+            .where(F.col("sim") > F.lit(threshold)))
+
+
 def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95,
                       left_col: str | None = None, right_col: str | None = None,
                       materialize: bool = True) -> DataFrame:
@@ -174,9 +212,6 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
         raise ValueError("KEY_TOKENS has no entry for the largest difference of group sizes")
     lc = left_col or left.columns[0]
     rc = right_col or right.columns[0]
-    # these rows are few and short, but each makes hundreds of key rows, which AQE cannot see when it
-    # merges small partitions: so their number of partitions is fixed
-    spread = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     a_names = left.select(F.col(lc).alias("name")).where(F.col("name").isNotNull()).distinct()
     b_names = right.select(F.col(rc).alias("name")).where(F.col("name").isNotNull()).distinct()
 
@@ -188,26 +223,13 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
         F.col("name").alias("a"), F.col("name").alias("b"),
         F.when(F.length("name") > 0, F.lit(1.0)).otherwise(F.lit(0.0)).alias("sim"))
 
-    raw_a, raw_b = _raw_tokens(a_names), _raw_tokens(b_names)
     # one row per (byte, occurrence#); AQE broadcasts it or not, by its measured size
-    order = keep(_token_order(raw_a.select("tid").unionByName(raw_b.select("tid"))))
-    ka, kb = (_keys(_ordered_tokens(raw, order).repartition(spread, "name"), budgets, side).withColumnRenamed("id", c)
-              for raw, side, c in ((raw_a, True, "a_id"), (raw_b, False, "b_id")))
+    order = keep(token_order(a_names, b_names))
+    ka = name_keys(a_names, order, threshold, True).withColumnRenamed("id", "a_id")
+    kb = name_keys(b_names, order, threshold, False).withColumnRenamed("id", "b_id")
     # both key sides grow with the data: never broadcast them (a sort-merge join
     # spills instead of failing, and AQE splits skewed key partitions)
-    met = (ka.join(kb.hint(_KEY_JOIN_HINT), "key").select("a_id", "b_id").distinct()
-           .repartition(spread, "a_id", "b_id"))
-    # a hash stands for a name; names of one hash all come back, so none is lost
-    found = (met.join(a_names.selectExpr("xxhash64(name) as a_id", "name as a"), "a_id")
-             .join(b_names.selectExpr("xxhash64(name) as b_id", "name as b"), "b_id").where("a <> b").select("a", "b"))
-    # of the distinct pairs, those whose lengths fit the budget of their own common prefix
-    lvl = common_prefix4(F.encode("a", "UTF-8"), F.encode("b", "UTF-8"))
-    budget = F.element_at(F.array(*[F.lit(b) for b in budgets]), F.col("lvl") + 1)
-    la, lb = F.octet_length("a"), F.octet_length("b")
-    cand = found.withColumn("lvl", lvl).where(F.abs(la - lb) < budget * F.greatest(la, lb) + _EPS).select("a", "b")
-    fuzzy = (cand.withColumn("sim", jaro_winkler_verify_udf(F.col("a"), F.col("b")))
-             .where(F.col("sim") > F.lit(threshold)))
-    pairs = equal.unionByName(fuzzy)
+    pairs = equal.unionByName(scored_pairs(ka.join(kb.hint(_KEY_JOIN_HINT), "key"), a_names, b_names, threshold))
     if not materialize:
         return pairs
     # the matches are few; write them once to the shared checkpoint folder so

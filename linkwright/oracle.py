@@ -237,3 +237,6 @@ from labels""",
     "best_match_topk": """select o_custkey, o_orderkey, o_totalprice from orders
 qualify row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) = 1""",
 }
+
+# two deltas, merged by the best match of either: the links of one run over everything
+ORACLE_SQL["link_incremental"] = ORACLE_SQL["link_waterfall"]

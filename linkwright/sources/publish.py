@@ -22,7 +22,8 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def _write_pointer(spark: SparkSession, base: str, version: str) -> None:
+def set_current(spark: SparkSession, base: str, version: str) -> None:
+    """Make a version of the table at ``base`` that is fully written the current one."""
     jvm = spark.sparkContext._jvm
     fs, _ = _fs(spark, base)
     tmp = jvm.org.apache.hadoop.fs.Path(f"{base}/{POINTER}.tmp")
@@ -60,7 +61,7 @@ def publish(df: DataFrame, base: str, version: str | None = None,
     for a version whose writing broke off."""
     version = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     df.write.mode("overwrite" if replace else "errorifexists").format(fmt).save(f"{base}/version={version}")
-    _write_pointer(df.sparkSession, base, version)
+    set_current(df.sparkSession, base, version)
     return version
 
 

@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..plans.refresh import update_from_text
 from ..sources.csv import CSV_OPTIONS
-from ..sources.publish import _fs, _write_pointer, publish, read_current
+from ..sources.publish import _fs, publish, read_current, set_current
 
 
 def _version_complete(spark: SparkSession, base: str, version: str) -> bool:
@@ -46,7 +46,7 @@ def apply_landing_updates(spark: SparkSession, landing: str, target_base: str, k
     def apply(batch: DataFrame, epoch_id: int) -> None:
         version = f"epoch-{epoch_id:010d}"
         if _version_complete(spark, target_base, version):
-            _write_pointer(spark, target_base, version)   # retried epoch
+            set_current(spark, target_base, version)   # retried epoch
             return
         if batch.isEmpty():
             return
