@@ -240,3 +240,30 @@ qualify row_number() over (partition by o_custkey order by o_totalprice desc, o_
 
 # two deltas, merged by the best match of either: the links of one run over everything
 ORACLE_SQL["link_incremental"] = ORACLE_SQL["link_waterfall"]
+
+
+def _detected_types() -> str:
+    """Counts of values that have a type, per column, by form and try_cast; the first type that all values have."""
+    forms = {  # fixed values
+        "boolean": "(?i)(true|false)", "bigint": "[+-]?[0-9]{1,18}",
+        "double": r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?", "date": "[0-9]{4}-[0-9]{2}-[0-9]{2}",
+        "timestamp": r"[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?)?"}
+    columns = {
+        "o_orderkey": "cast(o_orderkey as varchar)", "o_totalprice": "cast(o_totalprice as varchar)", "o_orderstatus": "o_orderstatus",
+        "o_day": "cast(cast(o_orderdate as date) as varchar)",
+        "even": "case when o_orderkey % 7 = 0 then null else cast(o_orderkey % 2 = 0 as varchar) end",
+        "number": "case when o_orderkey % 5 = 0 then concat(o_orderkey % 100, '.5e1') else cast(o_orderkey as varchar) end",
+        "moment": "case when o_orderkey % 3 = 0 then concat(cast(o_orderdate as date), ' 10:20:30') "
+                  "else cast(cast(o_orderdate as date) as varchar) end",
+        "no_day": "case when o_orderkey % 11 = 0 then '2024-02-30' else '2024-02-28' end",
+        "late": "case when o_orderkey % 1000 = 1 then 'n/a?' else cast(o_orderkey as varchar) end",
+        "nothing": "cast(null as varchar)"}
+    counts = ", ".join(f"count(*) filter (regexp_full_match(v, '{form}') and try_cast(v as {name}) is not null) as n_{name}"
+                       for name, form in forms.items())
+    cases = " ".join(f"when n_{name} = n_rows - n_null then '{name}'" for name in forms)
+    parts = "\nunion all\n".join(f"select '{c}' as column_name, count(*) as n_rows, count(*) filter (v is null) as n_null, {counts} "
+                                  f"from (select {v} as v from orders)" for c, v in columns.items())
+    return f"select *, case when n_rows = n_null then 'string' {cases} else 'string' end as detected from ({parts})"
+
+
+ORACLE_SQL["csv_detected_types"] = _detected_types()

@@ -26,7 +26,7 @@ from .plans.matchers import MatcherRegistry, match_by_address, match_by_name
 from .plans.refresh import DEALS_FLAG_COLUMNS, full_refresh as refresh_table, update_from_text
 from .session import scratch_path
 from .sources.archive import load_zip_exports, write_zip_export
-from .sources.csv import load_csv_dump, read_typed_csv, write_csv
+from .sources.csv import load_csv_dump, read_typed_csv, type_counts, write_csv
 from .sources.publish import publish, read_current
 from .sources.xml import load_xml_dump, write_xml
 
@@ -259,6 +259,22 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return load_csv_dump(spark, folder)["customer"]
 
 
+def csv_detected_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders written as CSV with mixed columns, read back as text, types detected from all rows."""
+    key = F.col("o_orderkey")
+    orders = T(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", "o_orderstatus", F.col("o_orderdate").cast("date").cast("string").alias("o_day"),
+        F.when(key % 7 == 0, F.lit(None).cast("string")).otherwise((key % 2 == 0).cast("string")).alias("even"),
+        F.when(key % 5 == 0, F.concat((key % 100).cast("string"), F.lit(".5e1"))).otherwise(key.cast("string")).alias("number"),
+        F.when(key % 3 == 0, F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit(" 10:20:30")))
+         .otherwise(F.col("o_orderdate").cast("date").cast("string")).alias("moment"),
+        F.when(key % 11 == 0, "2024-02-30").otherwise("2024-02-28").alias("no_day"),
+        F.when(key % 1000 == 1, "n/a?").otherwise(key.cast("string")).alias("late"), F.lit(None).cast("string").alias("nothing"))
+    folder = scratch_path(spark, "csv_types")
+    write_csv(_text_table(orders), f"{folder}/orders.csv")
+    return type_counts(load_csv_dump(spark, folder, multi_line=False)["orders"])
+
+
 def zip_export_load(spark: SparkSession, sf: str) -> DataFrame:
     """Nation landed as zipped CSV exports, loaded as text."""
     folder = scratch_path(spark, "zip_landing")
@@ -394,6 +410,7 @@ QUERIES = {
     "xml_roundtrip": xml_roundtrip,
     "xml_schema_drift": xml_schema_drift,
     "csv_roundtrip": csv_roundtrip,
+    "csv_detected_types": csv_detected_types,
     "zip_export_load": zip_export_load,
     "zip_multi_module": zip_multi_module,
     "xml_shapes": xml_shapes,
