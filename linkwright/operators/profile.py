@@ -104,3 +104,33 @@ def empty_tables(tables: Mapping[str, DataFrame]) -> list[str]:
     """Names of tables without rows (D5). The reference drops them while
     profiling; here the caller decides (nothing is dropped by default)."""
     return [name for name, df in tables.items() if df.isEmpty()]
+
+
+#: Size of a distinct-count sketch (2^LG_K registers): a standard error of 0.8 percent.
+LG_K = 14
+
+
+def profile_sketches(df: DataFrame, table_name: str) -> DataFrame:
+    """Mergeable profile of one version of a table (A3, A5): ``(table_name, column_name, total_rows, non_null, sketch)``.
+
+    One aggregate over one scan; a task sends one sketch per column, whatever its rows, so no value is
+    shuffled. Store the rows per version: a new version is profiled alone, and ``merge_sketches`` of all stored
+    rows equals one pass over all versions. ``sketch`` is NULL for a column without values.
+    """
+    cols = df.columns
+    sums = df.agg(F.count(F.lit(1)).alias("n"), *[
+        x for i, c in enumerate(cols)
+        for x in (F.count(quote_identifier(c)).alias(f"c{i}"), F.hll_sketch_agg(_as_text(df, c), LG_K).alias(f"s{i}"))])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col("n").alias("total_rows"), F.col(f"c{i}").alias("non_null"),
+                              F.when(F.col(f"c{i}") > 0, F.col(f"s{i}")).alias("sketch")) for i, c in enumerate(cols)])
+    return sums.select(F.lit(table_name).alias("table_name"), F.inline(rows))
+
+
+def merge_sketches(stored: DataFrame) -> DataFrame:
+    """Profile rows of stored versions as one: ``(table_name, column_name, total_rows, non_null, distinct_values)``,
+    the distinct count estimated from the united sketches."""
+    return (stored.groupBy("table_name", "column_name")
+            .agg(F.sum("total_rows").alias("total_rows"), F.sum("non_null").alias("non_null"),
+                 F.hll_union_agg("sketch").alias("sketch"))
+            .select("table_name", "column_name", "total_rows", "non_null",
+                    F.when(F.col("non_null") > 0, F.hll_sketch_estimate("sketch")).otherwise(0).alias("distinct_values")))

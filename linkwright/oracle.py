@@ -198,8 +198,8 @@ from supplier""",
        when 4 then null else c_mktsegment end as c_mktsegment
 from customer""",
 
-    "zip_export_load": """select cast(n_nationkey as varchar) as n_nationkey, n_name,
-  cast(n_regionkey as varchar) as n_regionkey from nation""",
+    "zip_export_load": """select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey,
+  cast(c_acctbal as varchar) as c_acctbal, c_mktsegment from customer""",
 
     "zip_multi_module": """select cast(s_suppkey as varchar) as s_suppkey, s_name,
   case when s_suppkey % 2 = 0 then cast(s_nationkey as varchar) end as s_nationkey,
@@ -232,7 +232,7 @@ select rec_id, c.Id as id_zoho from firms left join c on plz = Billing_Code""",
   cast(quality = 1 and toxic = 0 as double) as ap_ist_entscheider
 from labels""",
 
-    "snapshot_publish": "select * from nation",
+    "snapshot_publish": "select * from customer",
 
     "best_match_topk": """select o_custkey, o_orderkey, o_totalprice from orders
 qualify row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) = 1""",
@@ -267,3 +267,19 @@ def _detected_types() -> str:
 
 
 ORACLE_SQL["csv_detected_types"] = _detected_types()
+
+ORACLE_SQL["update_touched_parts"] = """select o_orderkey, o_custkey + case when o_orderkey % 1000 = 7 then 1 else 0 end as o_custkey,
+  o_orderstatus from orders"""
+
+ORACLE_SQL["catalog_publish"] = """select c_custkey, c_name, c_nationkey, -c_acctbal as c_acctbal, c_mktsegment from customer"""
+
+ORACLE_SQL["catalog_drop_empty"] = f"""select *, 'nobody' as dropped, 'nation,supplier,table_column_stats' as tables from (
+{_profile_sql("supplier", "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])}
+union all
+{_profile_sql("nation", "nation", NATION_COLUMNS)})"""
+
+ORACLE_SQL["profile_merged"] = " union all ".join(
+    f"select 'orders' as table_name, '{c}' as column_name, count(*) as total_rows, count({v}) as non_null, "
+    f"count(distinct {v}) as distinct_values, true as within_3_percent from orders"
+    for c, v in [(c, c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")]
+    + [("o_orderpriority", "nullif(o_orderpriority, '2-HIGH')")])

@@ -17,7 +17,7 @@ from . import derived
 from .functions.address import parse_address_line
 from .functions.casts import flags_to_double, nan_to_null
 from .functions.text import clean_account_name, clean_german_road, split_house_number
-from .operators.profile import profile_tables
+from .operators.profile import merge_sketches, profile_sketches, profile_table, profile_tables
 from .operators.state import ensure_all_keys, fill_null_update, not_in
 from .operators.topk import top_k_per_group
 from .plans.incremental import LinkStore, link_delta
@@ -26,7 +26,9 @@ from .plans.matchers import MatcherRegistry, match_by_address, match_by_name
 from .plans.refresh import DEALS_FLAG_COLUMNS, full_refresh as refresh_table, update_from_text
 from .session import scratch_path
 from .sources.archive import load_zip_exports, write_zip_export
+from .sources.catalog import create_tables, ensure_crosswalk, profile_database, stored_profile, swap_table
 from .sources.csv import load_csv_dump, read_typed_csv, type_counts, write_csv
+from .sources.parts import read_parts, save_parts, update_parts
 from .sources.publish import publish, read_current
 from .sources.xml import load_xml_dump, write_xml
 
@@ -200,11 +202,67 @@ def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
 def snapshot_publish(spark: SparkSession, sf: str) -> DataFrame:
     """Two published versions; readers see the newest."""
     base = scratch_path(spark, "publish")
-    publish(T(spark, sf, "region"), base, "v1")
-    publish(T(spark, sf, "nation"), base, "v2")
+    publish(T(spark, sf, "supplier"), base, "v1")
+    publish(T(spark, sf, "customer"), base, "v2")
     return read_current(spark, base)
 
 
+def update_touched_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """J6 + D3: orders in parts; an update of few keys rewrites their parts only; equal to ``update_by_key``."""
+    base = scratch_path(spark, "order_parts")
+    orders = T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    save_parts(orders, base, "o_orderkey")
+    key = F.col("o_orderkey")
+    updates = orders.where(key % 1000 == 7).select("o_orderkey", (F.col("o_custkey") + 1).alias("o_custkey"))
+    gone = orders.where(key % 5000 == 11).select((-key).alias("o_orderkey"), F.lit(0).cast("long").alias("o_custkey"))
+    update_parts(spark, base, updates.unionByName(gone), ["o_custkey"])
+    return read_parts(spark, base)
+
+
+def _database(spark: SparkSession, purpose: str) -> str:
+    """A database of the session catalog whose tables lie in the shared checkpoint folder."""
+    path = scratch_path(spark, purpose)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"create database {name} location '{path}'")
+    return name
+
+
+def catalog_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """S8 + S11 + S16 + S19: a catalog table created, then replaced by rename with rows made from itself."""
+    database = _database(spark, "catalog_publish")
+    create_tables({"customer": T(spark, sf, "customer").where("c_custkey % 2 = 0")}, database)
+    ensure_crosswalk(spark, database)
+    swap_table(spark.table(f"{database}.customer").unionByName(T(spark, sf, "customer").where("c_custkey % 2 = 1")),
+               database, "customer")
+    swap_table(spark.table(f"{database}.customer").withColumn("c_acctbal", -F.col("c_acctbal")), database, "customer")
+    return spark.table(f"{database}.customer")
+
+
+def catalog_drop_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """D5 + D6 + P13 + M9: a database profiled into a table of its own, tables without rows dropped on request."""
+    database = _database(spark, "catalog_profile")
+    supplier = T(spark, sf, "supplier")
+    create_tables({"supplier": supplier, "nobody": supplier.where("s_suppkey < -1"), "nation": T(spark, sf, "nation")}, database)
+    dropped = profile_database(spark, database, drop_empty=True)
+    left = sorted(t.name for t in spark.catalog.listTables(database))
+    return stored_profile(spark, database).select(
+        "table_name", "column_name", "total_rows", "non_null", "distinct_values", "list_distinct_values",
+        F.lit(",".join(dropped)).alias("dropped"), F.lit(",".join(left)).alias("tables"))
+
+
+def profile_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """A3 + A5 + M9: sketches of two versions of orders, merged; the estimates held against exact counts."""
+    orders = T(spark, sf, "orders").withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("2-HIGH")))
+    path = scratch_path(spark, "sketches")
+    for part in (0, 1):
+        profile_sketches(orders.where(F.col("o_orderkey") % 2 == part), "orders").write.mode("append").parquet(path)
+    merged = merge_sketches(spark.read.parquet(path))
+    exact = profile_table(orders, "orders").select("column_name", F.col("distinct_values").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.03 * F.col("exact")
+    return merged.join(exact, "column_name").select("table_name", "column_name", "total_rows", "non_null",
+                                                    F.col("exact").alias("distinct_values"), near.alias("within_3_percent"))
+
+
 def float_flags(spark: SparkSession, sf: str) -> DataFrame:
     """P7 + P8: boolean flags (some NULL) to double, NaN to NULL."""
     lab = T(spark, sf, "labels")
@@ -276,10 +334,10 @@ def csv_detected_types(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def zip_export_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Nation landed as zipped CSV exports, loaded as text."""
+    """Customer landed as zipped CSV exports, loaded as text."""
     folder = scratch_path(spark, "zip_landing")
-    write_zip_export(_text_table(T(spark, sf, "nation")), folder, "nation")
-    return load_zip_exports(spark, folder)["nation"]
+    write_zip_export(_text_table(T(spark, sf, "customer")), folder, "customer")
+    return load_zip_exports(spark, folder)["customer"]
 
 
 def zip_multi_module(spark: SparkSession, sf: str) -> DataFrame:
@@ -419,5 +477,9 @@ QUERIES = {
     "match_custom": match_custom,
     "full_refresh": full_refresh,
     "snapshot_publish": snapshot_publish,
+    "update_touched_parts": update_touched_parts,
+    "catalog_publish": catalog_publish,
+    "catalog_drop_empty": catalog_drop_empty,
+    "profile_merged": profile_merged,
     "best_match_topk": best_match_topk,
 }
