@@ -81,6 +81,37 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("r.*"))
 
 
+CITIES = ("Berlin", "Bad Homburg", "Köln", "Frankfurt am Main", "Ulm")
+
+
+def labelled_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, line, tokens, labels): an address line per page in one of four orders, with its tokens' labels."""
+    k = table(spark, sf_dir, "pages").select(F.col("page_id").alias("k"))
+    roads = F.array(*[F.lit(r) for r in ("Hauptstraße", "Bahnhofstr.", "Am Alten Markt", "Müllerweg", "Lange Gasse", "Lindenallee")])
+    key = F.col("k")
+    road = F.get(roads, (key % 6).cast("int"))
+    number = F.concat(_txt(key % 90 + 1), F.when(key % 3 == 0, F.concat(F.lit("-"), _txt(key % 90 + 3)))
+                      .when(key % 3 == 1, F.lit("a")).otherwise(F.lit("")))
+    code = F.lpad(_txt((key * 7919) % 99999), 5, "0")
+    city = F.get(F.array(*[F.lit(c) for c in CITIES]), (key % 5).cast("int"))
+
+    def part(text, label):
+        words = F.split(text, " ")
+        return F.transform(words, lambda w: F.struct(w.alias("token"), F.lit(label).alias("label")))
+
+    comma, land = part(F.lit(","), "skip"), part(F.lit("Deutschland"), "country")
+    street = F.concat(part(road, "road"), part(number, "house_number"))
+    place = F.concat(part(code, "postcode"), part(city, "city"))
+    cells = (F.when(key % 4 == 0, F.concat(street, comma, part(code, "postcode"), comma, land))
+             .when(key % 4 == 1, F.concat(street, comma, place, comma, land))
+             .when(key % 4 == 2, F.concat(place, comma, street))
+             .otherwise(F.concat(part(city, "city"), comma, part(road, "road"))))
+    words = F.transform("cells", lambda c: c["token"])
+    return k.withColumn("cells", cells).select(
+        "k", F.regexp_replace(F.array_join(words, " "), " ,", ",").alias("line"), words.alias("tokens"),
+        F.transform("cells", lambda c: c["label"]).alias("labels"))
+
+
 # The same derivations in DuckDB SQL, for the oracle queries.
 SQL_TITLES = (
     "select page_id as k, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), "

@@ -283,3 +283,16 @@ ORACLE_SQL["profile_merged"] = " union all ".join(
     f"count(distinct {v}) as distinct_values, true as within_3_percent from orders"
     for c, v in [(c, c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")]
     + [("o_orderpriority", "nullif(o_orderpriority, '2-HIGH')")])
+
+ORACLE_SQL["address_model"] = """with a as (
+  select page_id as k, ['Hauptstraße', 'Bahnhofstr.', 'Am Alten Markt', 'Müllerweg', 'Lange Gasse', 'Lindenallee'][page_id % 6 + 1] as road,
+         (page_id % 90 + 1)::varchar || case page_id % 3 when 0 then '-' || (page_id % 90 + 3)::varchar when 1 then 'a' else '' end as number,
+         lpad(((page_id * 7919) % 99999)::varchar, 5, '0') as code,
+         ['Berlin', 'Bad Homburg', 'Köln', 'Frankfurt am Main', 'Ulm'][page_id % 5 + 1] as city
+  from pages)
+select k, case k % 4 when 0 then concat(road, ' ', number, ', ', code, ', Deutschland')
+                     when 1 then concat(road, ' ', number, ', ', code, ' ', city, ', Deutschland')
+                     when 2 then concat(code, ' ', city, ', ', road, ' ', number) else concat(city, ', ', road) end as line,
+       lower(road) as road, case when k % 4 < 3 then number end as house_number, case when k % 4 < 3 then code end as postcode,
+       case when k % 4 > 0 then lower(city) end as city
+from a"""

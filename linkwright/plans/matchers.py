@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.address import parse_address_line
@@ -75,12 +75,16 @@ def match_by_name(firms: DataFrame, accounts: DataFrame,
     return proposals
 
 
-def address_features(df: DataFrame, street: str, code: str) -> DataFrame:
+Parser = Callable[[Column], Column]
+
+
+def address_features(df: DataFrame, street: str, code: str, parser: Parser = parse_address_line) -> DataFrame:
     """Address line ``street, code, Deutschland`` -> parsed and cleaned parts
     (F12-F16): ``road, house_number, postcode, road_cleaned, house_num_1,
-    house_num_2``."""
+    house_num_2``. ``parser`` gives a struct of the first three from the line: the
+    rules, or a trained model's ``parser()``."""
     raw = F.concat(F.col(street), F.lit(", "), F.col(code), F.lit(", Deutschland"))
-    parsed = parse_address_line(raw)
+    parsed = parser(raw)
     hn = split_house_number(parsed["house_number"])
     return df.withColumns({
         "raw_address": raw,
@@ -95,7 +99,7 @@ def address_features(df: DataFrame, street: str, code: str) -> DataFrame:
 
 
 def match_by_address(firms: DataFrame, accounts: DataFrame,
-                     min_sim: float = ADDRESS_NAME_MIN_SIM) -> DataFrame:
+                     min_sim: float = ADDRESS_NAME_MIN_SIM, parser: Parser = parse_address_line) -> DataFrame:
     """Address matcher (M2): same cleaned road and the firm's raw ``plz`` equal
     to the account's parsed postcode, plus one house-number form equal; then
     the name guard (similarity > ``min_sim`` or either cleaned name contains
@@ -106,10 +110,10 @@ def match_by_address(firms: DataFrame, accounts: DataFrame,
     ``(rec_id, Id, similarity, name, Account_Name, road_cleaned, plz, house_number)``.
     """
     f = firms.select("rec_id", "name", "plz", "strasse").na.drop("any")
-    f = address_features(f, "strasse", "plz")
+    f = address_features(f, "strasse", "plz", parser)
     a = (accounts.select(F.col("Id").cast("string").alias("Id"), "Account_Name",
                          "Billing_Code", "Billing_Street").na.drop("any"))
-    a = address_features(a, "Billing_Street", "Billing_Code")
+    a = address_features(a, "Billing_Street", "Billing_Code", parser)
     fl = f.select("rec_id", "name", "plz", "road_cleaned",
                   F.col("house_number").alias("f_hn"), F.col("house_num_1").alias("f_h1"),
                   F.col("house_num_2").alias("f_h2"),
