@@ -69,12 +69,14 @@ v as (
          cast(round(1000.0 * n_upper / (word_chars + 100)) as bigint) as x2,
          cast(round(1000.0 * n_repeat_words / (n_words + 20)) as bigint) as x3
   from b v join m g on {group} where not base_failed),
-q as (select lang, source, """ + ", ".join(
-        f"quantile_cont(x{i}, {p}) as q{i}{n}" for i in axes for n, p in enumerate((0.25, 0.5, 0.75))) + """
+q as (select lang, source, """ + ", ".join(f"quantile_cont(x{i}, 0.5) as q{i}" for i in axes) + f"""
       from v group by lang, source),
+h as (select v.lang, v.source, """ + ", ".join(
+        f"max(q{i}) as q{i}, quantile_cont(abs(x{i} - q{i}), 0.5) as mad{i}" for i in axes) + f"""
+      from v join q g on {group} group by v.lang, v.source),
 e0 as (select v.*, """ + " + ".join(
-        f"(x{i} - q{i}1) * (x{i} - q{i}1) / greatest({f * f}, pow((q{i}2 - q{i}0) / 1.349, 2.0))"
-        for i, f in enumerate(floors)) + f" as d2 from v join q g on {group})"]
+        f"(x{i} - q{i}) * (x{i} - q{i}) / greatest({f * f}, pow(1.4826 * mad{i}, 2.0))"
+        for i, f in enumerate(floors)) + f" as d2 from v join h g on {group})"]
     rank = "cast(least(round(100 * v.d2), 1000000.0) as bigint)"
     for k in range(3):
         cov = {(i, j): f"(p{i}{j} / n - (s{i} / n) * (s{j} / n) + {floors[i] ** 2 if i == j else 0.0})" for i, j in pairs}
@@ -94,7 +96,7 @@ e0 as (select v.*, """ + " + ".join(
         for i in range(1, 4):
             y = f"select *, x{i} - m{i}" + "".join(f" - l{i}{t} * y{t}" for t in range(i)) + f" as y{i} from ({y})"
         sql.append(f"""
-cut{k} as (select lang, source, quantile_cont({rank}, 0.75) as cut from e{k} v group by lang, source),
+cut{k} as (select lang, source, quantile_cont({rank}, 0.5) as cut from e{k} v group by lang, source),
 s{k} as (select v.lang, v.source, cast(count(*) as double) as n, """ + ", ".join(
             f"cast(sum(x{i}) as double) as s{i}" for i in axes) + ", " + ", ".join(
             f"cast(sum(x{i} * x{j}) as double) as p{i}{j}" for i, j in pairs) + f"""
