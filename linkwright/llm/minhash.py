@@ -7,16 +7,20 @@ Jaccard similarity is at least ``percent`` / 100; a group is a connected compone
 1. One pass over the texts gives per document the set size, a digest of the
    set, ``BANDS`` band keys of ``ROWS`` minima each, and the low ``BITS`` bits of
    all minima packed into longs. Documents of equal sets become one class.
-2. Band keys are grouped; the smallest class of a bucket heads it. Every class is first held
-   against one class only, the one that heads most of its buckets.
+2. Band keys are grouped; the class whose buckets are largest in sum heads a bucket: in a group of copies
+   of one text that is the text itself, whatever its id. Every class is first held against one class only, the one
+   that heads most of its buckets.
 3. A pair goes on if the set sizes allow the similarity and the b-bit
    signatures, with chance agreements (1 in 2^b) corrected for, come within
    ``SLACK`` of it; then it is confirmed on the full sets.
 4. Confirmed links are contracted. Buckets whose classes are all in one
    component by now are done; in the others the classes outside the bucket's
-   smallest component meet the classes of other components, as in 3. Pairs in
-   one component are never listed, so a group of n near copies costs about
-   n links, not n squared.
+   smallest component meet the classes of other components. Pairs in one component are never listed.
+5. Classes that were held against the same head H in step 2 keep their difference to it. The difference of two
+   of them follows from these, ``X ^ Y = (X ^ H) ^ (Y ^ H)``, and so does their exact similarity. So in a group
+   whose members are below the threshold of H and of each other, pairs are compared in the bucket, but none of
+   them is listed, and no text moves for it. Other pairs go on as in 3. Differences of over ``MAX_DIFFERENCE``
+   shingles are not kept; such pairs, too, go on as in 3.
 
 Two documents at the threshold share no bucket with probability
 (1 - s^ROWS)^BANDS = 5e-6 at s = 0.75, and less above it. ``SLACK`` is four standard
@@ -39,6 +43,8 @@ BANDS, ROWS, BITS = 32, 4, 4
 PERMUTATIONS = BANDS * ROWS
 LONGS = PERMUTATIONS * BITS // 64
 SLACK = 0.16
+#: A class keeps its difference to its head if the estimate is within this of the similarity.
+HEAD_SLACK, MAX_DIFFERENCE = 0.4, 512
 
 
 class Signer:
@@ -114,14 +120,20 @@ def estimate(a: Column, b: Column) -> Column:
     return ((1.0 - differ / F.lit(float(PERMUTATIONS))) - chance) / (1.0 - chance)
 
 
-def possible(n_a: Column, bits_a: Column, n_b: Column, bits_b: Column, percent: int) -> Column:
-    """Sizes allow the similarity, and the estimate comes within SLACK of it."""
-    return ((F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent)
-            & (estimate(bits_a, bits_b) >= percent / 100 - SLACK))
+def possible(n_a: Column, bits_a: Column, n_b: Column, bits_b: Column, percent: int, slack: float = SLACK) -> Column:
+    """Sizes allow the similarity (less what the slack adds to SLACK), and the estimate comes within ``slack`` of it."""
+    least = percent - round(100 * (slack - SLACK))
+    return ((F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * least)
+            & (estimate(bits_a, bits_b) >= percent / 100 - slack))
+
+
+def reaches(common: Column, n_a: Column, n_b: Column, percent: int) -> Column:
+    return common * 100 >= (n_a + n_b - common) * percent
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets reach the similarity; ``texts`` is (doc_id, text)."""
+    """``pairs`` (a, b) with whether their full sets reach the similarity (``linked``), and the sets' symmetric
+    ``difference`` (NULL above MAX_DIFFERENCE); ``texts`` is (doc_id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
 
@@ -132,13 +144,14 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                     yield np.unique(h)
 
         for batch in batches:
-            keep = []
-            for k, (x, y) in enumerate(zip(sets(batch.column(2)), sets(batch.column(3)))):
+            linked, apart = [], []
+            for x, y in zip(sets(batch.column(2)), sets(batch.column(3))):
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                if common and 100 * common >= percent * (len(x) + len(y) - common):
-                    keep.append(k)
-            rows = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["a", "b"])
+                linked.append(bool(common) and 100 * common >= percent * (len(x) + len(y) - common))
+                far = len(x) + len(y) - 2 * common > MAX_DIFFERENCE
+                apart.append(None if far else np.setxor1d(x, y, assume_unique=True).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()),
+                                              pa.array(apart, pa.list_(pa.int64()))], names=["a", "b", "linked", "difference"])
 
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     # an inner join: a semi join would be moved in front of the filter, and every text shuffled
@@ -146,7 +159,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                   "minhash-texts")
     sides = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
              .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"))
-    return sides.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
+    return sides.select("a", "b", "text_a", "text_b").mapInArrow(
+        run, "a long, b long, linked boolean, difference array<long>")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
@@ -169,20 +183,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = texts.where("doc_id is not null")
 
     buckets = classes.select(F.explode("keys").alias("key"), "rep")
-    shared = buckets.groupBy("key").agg(F.min("rep").alias("head"), F.max("rep").alias("last")).where("head < last")
-    members = stage(buckets.join(shared.select("key", "head"), "key"), "minhash-members")
-
-    def linked(pairs: DataFrame) -> DataFrame:
+    crowds = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
+    crowded = stage(buckets.join(crowds, "key"), "minhash-buckets")
+    weight = crowded.groupBy("rep").agg(F.sum("crowd").alias("weight"))
+    weighed = crowded.join(weight, "rep").select("key", "rep", "weight")
+    head = F.max(F.struct("weight", (-F.col("rep")).alias("minus"))).alias("best")
+    heads_of = weighed.groupBy("key").agg(head).select("key", (-F.col("best.minus")).alias("head"))
+    members = stage(crowded.select("key", "rep").join(heads_of, "key"), "minhash-members")
+
+    def checked(pairs: DataFrame) -> DataFrame:
         return stage(confirm(stage(pairs, "minhash-pairs"), texts, percent), "minhash-links")
 
     # every class against the class that heads most of its buckets (the smallest of equals): one pair each
-    heads = members.where("rep > head").groupBy("rep", "head").agg(F.count(F.lit(1)).alias("times"))
+    heads = members.where("rep <> head").groupBy("rep", "head").agg(F.count(F.lit(1)).alias("times"))
     heads = (heads.groupBy("rep").agg(F.max(F.struct("times", (-F.col("head")).alias("minus"))).alias("best"))
              .select((-F.col("best.minus")).alias("a"), F.col("rep").alias("b")))
     left = reps.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
     right = reps.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
-    likely = possible(F.col("n_a"), F.col("bits_a"), F.col("n_b"), F.col("bits_b"), percent)
-    links = linked(heads.join(left, "a").join(right, "b").where(likely).select("a", "b"))
+    likely = possible(F.col("n_a"), F.col("bits_a"), F.col("n_b"), F.col("bits_b"), percent, HEAD_SLACK)
+    to_heads = checked(heads.join(left, "a").join(right, "b").where(likely).select("a", "b"))
+    links = to_heads.where("linked").select("a", "b")
     # rows of one id with different texts are one document
     ids = named.groupBy("doc_id").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
     same = (named.join(ids.select("doc_id"), "doc_id", "left_semi").join(owner, "class").where("doc_id <> rep")
@@ -192,12 +212,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    open_ = stage(placed.join(mixed.select("key", "low"), "key").join(reps, "rep"), "minhash-open")
+    # a class's pivot is the head that it was held against
+    pivots = to_heads.where("difference is not null").select(F.col("b").alias("rep"), F.col("a").alias("pivot"), "difference")
+    open_ = stage(placed.join(mixed.select("key", "low"), "key").join(reps, "rep").join(pivots, "rep", "left"), "minhash-open")
     x, y = open_.where("component > low").alias("x"), open_.alias("y")
-    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") > F.col("y.component"))
-                   & possible(F.col("x.n"), F.col("x.bits"), F.col("y.n"), F.col("y.bits"), percent))
+    together = F.col("x.n") + F.col("y.n")
+    apart = (F.size("x.difference") + F.size("y.difference")
+             - 2 * F.size(F.array_intersect("x.difference", "y.difference")))
+    known = F.coalesce(F.col("x.pivot") == F.col("y.pivot"), F.lit(False))
+    # a pair of a class and its own head was settled before
+    settled = F.coalesce((F.col("x.pivot") == F.col("y.rep")) | (F.col("y.pivot") == F.col("x.rep")), F.lit(False))
+    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") > F.col("y.component")) & ~settled
+                   & possible(F.col("x.n"), F.col("x.bits"), F.col("y.n"), F.col("y.bits"), percent)
+                   & (~known | reaches((together - apart) / 2, F.col("x.n"), F.col("y.n"), percent)))
             .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-    more = linked(rest)
+    more = checked(rest).where("linked").select("a", "b")
     if not more.isEmpty():
         # the groups so far are single nodes now
         at = groups.withColumnRenamed("component", "root")

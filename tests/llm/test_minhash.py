@@ -1,3 +1,8 @@
+import random
+
+import pytest
+
+from linkwright.llm import minhash
 from linkwright.llm.common import connected_components, likely_in
 from linkwright.llm.minhash import keep_one, near_duplicates
 
@@ -87,3 +92,31 @@ def test_prefilter_loses_no_wanted_row(spark):
     left = likely_in(rows, "doc_id", wanted)
     assert wanted.join(left, wanted["id"] == left["doc_id"], "left_anti").count() == 0
     assert left.count() < 3_200
+
+
+@pytest.mark.parametrize("n,changed", [(50, 3), (100, 3), (100, 5)])
+def test_hub_lists_pairs_in_proportion(spark, monkeypatch, n, changed):
+    """An original (largest id) and n copies with words of their own: about n pairs are listed, whether or not
+    the copies reach the threshold, and the groups are those of brute force."""
+    rng = random.Random(n + changed)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(10 ** 6, " ".join(base))]
+    for i in range(n):
+        words = base[:]
+        for at in rng.sample(range(10, 110), changed):
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+    listed = []
+    plain = minhash.stage
+
+    def counted(df, purpose):
+        out = plain(df, purpose)
+        if purpose == "minhash-pairs":
+            listed.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "stage", counted)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    groups = {r["doc_id"]: r["component_id"] for r in got.collect()}
+    assert sum(listed) <= 2 * n
+    assert groups == brute(rows)
