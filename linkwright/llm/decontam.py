@@ -183,7 +183,12 @@ def _by_broadcast(d: DataFrame, index: ItemIndex, item_type, schema: str) -> Dat
 
 
 def _by_join(d: DataFrame, i: DataFrame, percent: int, schema: str) -> DataFrame:
-    """The same search for an item table of any size: sketches and shingles meet in a shuffled join."""
+    """The same search for an item table of any size: sketches and shingles meet in a shuffled join.
+
+    Rows that repeat an id and a text are searched once and counted, so each of them has its pairs in the end.
+    """
+    d = d.groupBy("doc_id", "doc_text").agg(F.count(F.lit(1)).alias("doc_times"))
+    i = i.groupBy("item_id", "item_text").agg(F.count(F.lit(1)).alias("item_times"))
     id_type, item_type = (s.schema[c].dataType.simpleString() for s, c in ((d, "doc_id"), (i, "item_id")))
 
     def distinct_hashes(sketch: bool):
@@ -209,12 +214,16 @@ def _by_join(d: DataFrame, i: DataFrame, percent: int, schema: str) -> DataFrame
                     yield pa.RecordBatch.from_arrays([c for c in columns if c is not None], names=[x for x in names if x])
         return run
 
-    sketches = i.mapInArrow(distinct_hashes(True), f"item_id {item_type}, item_text string, value long, needed long")
-    values = d.mapInArrow(distinct_hashes(False), f"doc_id {id_type}, value long")
-    hits = (values.distinct().join(sketches.distinct(), "value").groupBy("doc_id", "item_id", "item_text")
+    sketches = i.select("item_id", "item_text").mapInArrow(
+        distinct_hashes(True), f"item_id {item_type}, item_text string, value long, needed long")
+    values = d.select("doc_id", "doc_text").mapInArrow(distinct_hashes(False), f"doc_id {id_type}, value long")
+    hits = (values.distinct().join(sketches, "value").groupBy("doc_id", "item_id", "item_text")
             .agg(F.count("*").alias("hits"), F.first("needed").alias("needed")).where("hits >= needed"))
-    pairs = hits.select(F.col("doc_id").alias("_d"), "item_id", "item_text").join(
-        d, F.col("_d").eqNullSafe(F.col("doc_id"))).select("doc_id", "doc_text", "item_id", "item_text")
+    times = i.select(F.col("item_id").alias("_i"), F.col("item_text").alias("_t"), "item_times")
+    pairs = (hits.select(F.col("doc_id").alias("_d"), "item_id", "item_text")
+             .join(d, F.col("_d").eqNullSafe(F.col("doc_id")))
+             .join(times, F.col("_i").eqNullSafe(F.col("item_id")) & (F.col("_t") == F.col("item_text")))
+             .select("doc_id", "doc_text", "item_id", "item_text", (F.col("doc_times") * F.col("item_times")).alias("times")))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,10 +234,13 @@ def _by_join(d: DataFrame, i: DataFrame, percent: int, schema: str) -> DataFrame
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(rows), batch.column(2).take(rows), pa.array([got[k][0] for k in keep], pa.int64()),
                  pa.array([got[k][1] for k in keep], pa.int64()),
-                 pa.array([got[k][1] / got[k][0] for k in keep], pa.float64())],
-                names=["doc_id", "item_id", "n_item", "n_common", "containment"])
+                 pa.array([got[k][1] / got[k][0] for k in keep], pa.float64()), batch.column(4).take(rows)],
+                names=["doc_id", "item_id", "n_item", "n_common", "containment", "times"])
 
-    return pairs.mapInArrow(verify, schema)
+    found = pairs.mapInArrow(verify, schema + ", times long")
+    # most pairs occur once; only the others go through the explode
+    more = found.where("times > 1").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return found.where("times = 1").drop("times").unionByName(more.drop("times", "_n"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, *, text_col: str = "text", item_col: str = "item_id",
@@ -238,11 +250,12 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, *, text_col: str = "tex
     i = _item_rows(items, item_col, item_text_col)
     index = bounded_index(i, percent, max_index_values)
     if index is None:
-        keyed = docs.withColumn("_node", F.xxhash64(text_col))
-        leaks = _by_join(keyed.select(F.col("_node").alias("doc_id"), F.col(text_col).cast("string").alias("doc_text"))
-                         .dropDuplicates(["doc_id"]), i, percent,
-                         OUT.format(id="bigint", item=i.schema["item_id"].dataType.simpleString()))
-        return keyed.join(leaks.select(F.col("doc_id").alias("_node")).distinct(), "_node", "left_anti").drop("_node")
+        # the row travels as one value, so that no column of the caller's can meet one made here
+        text = F.col(text_col).cast("string")
+        keyed = docs.select(F.struct("*").alias("row"), F.sha2(text, 256).alias("node"))
+        leaks = _by_join(docs.select(F.sha2(text, 256).alias("doc_id"), text.alias("doc_text")).distinct(), i, percent,
+                         OUT.format(id="string", item=i.schema["item_id"].dataType.simpleString()))
+        return keyed.join(leaks.select(F.col("doc_id").alias("node")).distinct(), "node", "left_anti").select("row.*")
     shared = share(docs.sparkSession, index)
 
     @F.pandas_udf("boolean")
