@@ -18,7 +18,6 @@ Labels, language, source and id are no inputs of a score.
 from __future__ import annotations
 
 import pickle
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -172,6 +171,25 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
+def folded(keys: np.ndarray, docs: np.ndarray, sums: np.ndarray) -> bytes:
+    """Rows of forms as bytes: keys in order as steps, all columns as planes of like bytes, compressed."""
+    order = np.argsort(keys, kind="stable")
+    steps = np.diff(keys[order], prepend=np.uint64(0))
+    planes = [np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T),
+              np.ascontiguousarray(docs[order].astype(np.int32).view(np.uint8).reshape(-1, 4).T),
+              np.ascontiguousarray(sums[order].T)]
+    raw = pickle.dumps(planes)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(raw, asbytes=True)
+
+
+def unfolded(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``folded`` was given, in the order of the keys."""
+    raw = pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+    steps, docs, sums = pickle.loads(raw)
+    keys = np.cumsum(np.ascontiguousarray(steps.T).view(np.uint64).ravel(), dtype=np.uint64)
+    return keys, np.ascontiguousarray(docs.T).view(np.int32).ravel().astype(np.int64), np.ascontiguousarray(sums.T)
+
+
 def gather_contexts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, in order, and unit context vectors (in 127ths) of the word forms that two or more of ``texts`` (text) hold."""
     slices = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -189,7 +207,7 @@ def gather_contexts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 for k in range(slices):
                     own = order[ends[k]:ends[k + 1]]
                     if len(own):
-                        part = zlib.compress(pickle.dumps([rows[0][own], rows[1][own].astype(np.int32), rows[2][own]]), 1)
+                        part = folded(rows[0][own], rows[1][own], rows[2][own])
                         yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.binary())],
                                                          names=["slice", "sums"])
 
@@ -208,8 +226,7 @@ def gather_contexts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         held = Sums()
         for batch in batches:
             for row in batch.column(1):
-                keys, docs, sums = pickle.loads(zlib.decompress(row.as_py()))
-                held.add(keys, docs.astype(np.int64), sums)
+                held.add(*unfolded(row.as_py()))
                 held.settle()
         keys, docs, sums = held.all()
         shared = docs > 1

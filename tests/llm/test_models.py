@@ -118,3 +118,13 @@ def test_word_vectors_equal_plain_sums(spark, monkeypatch):
     everything = np.array(sorted(sums), dtype=np.uint64)
     full = (everything, 127 * quality_model.unit(np.array([sums[f] for f in sorted(sums)])))
     assert np.abs(quality_model.pool(column, (keys, got), powers) - quality_model.pool(column, full, powers)).max() < 0.01
+
+
+def test_folded_sums_come_back():
+    rng = np.random.default_rng(2)
+    for n, kind in ((0, np.int8), (1, np.int64), (5000, np.int8), (3000, np.int64)):
+        keys = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+        docs, sums = rng.integers(1, 9, n), rng.integers(-100, 100, (n, 64)).astype(kind)
+        back = quality_model.unfolded(quality_model.folded(keys, docs, sums))
+        order = np.argsort(keys, kind="stable")
+        assert all((a == b[order]).all() and a.dtype == b.dtype for a, b in zip(back, (keys, docs, sums)))
