@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 LABELS = ("road", "house_number", "postcode", "city", "country", "skip")
 DIMENSION = 1 << 13
-#: Labelled lines that training reads at most (those of smallest hash), and passes over them.
-MAX_LINES, EPOCHS = 20_000, 5
+#: Labelled lines that training reads at most (those of smallest hash), lines of a task, passes over them.
+MAX_LINES, TASK_LINES, EPOCHS = 20_000, 2_500, 10
 PARSED = "road string, house_number string, postcode string, city string"
 _TOKEN = re.compile(r",|[^\s,]+")
 
@@ -126,8 +126,10 @@ def fit(labelled: DataFrame, max_lines: int = MAX_LINES, epochs: int = EPOCHS) -
     """
     spark = labelled.sparkSession
     order = F.xxhash64("tokens", "labels")
-    lines = (labelled.where(F.size("tokens") == F.size("labels")).select("tokens", "labels", order.alias("h"))
-             .orderBy("h").limit(max_lines).repartition(8, "h").sortWithinPartitions("h")
+    chosen = (labelled.where(F.size("tokens") == F.size("labels")).select("tokens", "labels", order.alias("h"))
+              .orderBy("h").limit(max_lines).checkpoint())
+    # averages over few lines learn slowly: a task gets about TASK_LINES of them
+    lines = (chosen.repartition(max(1, -(-chosen.count() // TASK_LINES)), "h").sortWithinPartitions("h")
              .select("tokens", F.transform("labels", lambda x: F.array_position(F.array(*[F.lit(c) for c in LABELS]), x) - 1)
                      .alias("labels")).checkpoint())
     size = len(LABELS)
