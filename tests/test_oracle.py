@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "documents", "labels",
-          "pages", "benchmark"]
+          "pages", "benchmark", "embeddings", "conversations"]
 
 
 def _norm(v):
