@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import na_tokens_to_null
-from ..session import is_local, scratch_path
+from ..session import is_shared, scratch_path
 
 # Fixed value: the file name ending of the export archives.
 ARCHIVE_SUFFIX = "_exportZoho.zip"
@@ -137,7 +137,7 @@ def write_zip_export(df: DataFrame, folder: str, module: str) -> int:
     number of archives. Used to build landing folders (and test fixtures)."""
     import uuid as _uuid
 
-    if not is_local(df.sparkSession) and (folder.startswith("/") or folder.startswith("file:")):
+    if not is_shared(df.sparkSession, folder):
         raise ValueError(f"{folder} is a folder of one machine; name one that all executors share")
     columns = df.columns
     run = _uuid.uuid4().hex[:8]

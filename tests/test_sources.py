@@ -5,7 +5,9 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from linkwright.sources.archive import load_zip_exports, module_name
+from linkwright import session
+from linkwright.sources import archive
+from linkwright.sources.archive import load_zip_exports, module_name, write_zip_export
 from linkwright.sources.csv import load_csv_dump
 from linkwright.sources.guards import require_columns, require_path, require_rows
 from linkwright.sources.publish import publish, read_current
@@ -175,3 +177,17 @@ def test_child_tags_that_also_occur_deeper(spark, tmp_path):
     assert rows(got, "id", "b", "c", "d") == rows(spark.createDataFrame(
         [("1", "inner", None, None), ("2", None, "z", None), (None, None, None, None), ("3", None, None, "plain")],
         "id string, b string, c string, d string"))
+
+
+def test_zip_export_into_the_shared_checkpoint_folder_of_a_cluster(spark, monkeypatch):
+    """A cluster whose checkpoint folder has a file: URI writes there, and to no other local folder."""
+    for module in (session, archive):
+        monkeypatch.setattr(module, "is_local", lambda _: False, raising=False)
+    df = spark.createDataFrame([("1", "Won"), ("2", None)], "Id string, Stage string")
+    folder = session.scratch_path(spark, "zip_shared")
+    assert write_zip_export(df, folder, "Deals") > 0
+    assert rows(load_zip_exports(spark, folder)["Deals"]) == [("1", "Won"), ("2", None)]
+    base = session.ensure_checkpoint_dir(spark)
+    for other in ("/tmp/elsewhere", "file:/tmp/elsewhere", f"{base}-2/x", f"{base}/../x"):
+        with pytest.raises(ValueError, match="folder of one machine"):
+            write_zip_export(df, other, "Deals")
