@@ -191,3 +191,19 @@ def test_zip_export_into_the_shared_checkpoint_folder_of_a_cluster(spark, monkey
     for other in ("/tmp/elsewhere", "file:/tmp/elsewhere", f"{base}-2/x", f"{base}/../x"):
         with pytest.raises(ValueError, match="folder of one machine"):
             write_zip_export(df, other, "Deals")
+
+
+def test_zip_modules_in_the_shared_checkpoint_folder_of_a_cluster(spark, monkeypatch):
+    """Two modules, archives with different headers, one without rows."""
+    for module in (session, archive):
+        monkeypatch.setattr(module, "is_local", lambda _: False, raising=False)
+    folder = session.scratch_path(spark, "zip_shared_modules")
+    deals = spark.createDataFrame([("1", "Won"), ("2", None)], "Id string, Stage string")
+    write_zip_export(deals, folder, "Deals")
+    write_zip_export(deals.select("Id"), folder, "Deals")
+    assert write_zip_export(deals.limit(0), folder, "Leads") == 1
+    tables = load_zip_exports(spark, folder)
+    assert rows(tables["Deals"].select("Id", "Stage")) == [("1", "Won"), ("1", None), ("2", None), ("2", None)]
+    assert tables["Leads"].columns == ["Id", "Stage"] and tables["Leads"].count() == 0
+    with pytest.raises(ValueError, match="folder of one machine"):
+        write_zip_export(deals, "file:/tmp/elsewhere", "Deals")
