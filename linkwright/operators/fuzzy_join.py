@@ -11,30 +11,33 @@ comes from equi-joins only:
    ``3(1-J) * top``. J depends on the common prefix of the pair (0 to 4 bytes);
    pairs with a prefix of 1-2 and 3-4 bytes share a key level each, and the
    prefix is part of the key.
-3. **Groups (pigeonhole).** A name's ``(byte, occurrence#)`` tokens behind the
-   prefix are dealt by byte into so many groups that in one of them fewer than
-   about four bytes are unmatched, whatever the lengths. Bytes are dealt in order of
-   their frequency, so groups weigh alike.
-4. **Candidate keys.** Within such a group, with sizes s and s' and at most D
-   unmatched bytes, at least ``m = (s + s' - D) / 2`` tokens are common. By the
-   prefix-filter principle the first ``s - m + k`` and ``s' - m + k`` tokens of
-   the two, rarest first, share k of them. A key is the hash of (level, prefix,
-   length classes of both, group, s, s', k tokens); a name has keys for each
-   class and group size of a partner. s' differs from s by D at most, so these are few.
-5. **Verification** -- distinct candidate pairs pass length and prefix bounds on
+3. **Groups (pigeonhole).** A name's bytes are dealt into ``ceil(D / 2)`` groups, where D bounds the unmatched
+   bytes of both: in one of the groups at most one byte is unmatched. Bytes are dealt in order of their
+   frequency, so groups weigh alike; those beyond the most frequent share a symbol, which only joins names.
+4. **Candidate keys.** A key hashes (level, prefix, number of groups, group, how often each of its symbols
+   occurs). The right name has one key a group, the left one also those with one symbol more or less. The
+   number of groups follows from the longer name, so a name has keys for each number a partner can bring.
+   A name too long for its alphabet has the keys of ``_long_keys``: byte tokens by the prefix-filter principle.
+5. **Signatures.** A key row carries its name's length and a signature of 256 bits with one
+   set for each ``(byte, occurrence#)``. Bits that only one of two signatures has are unmatched bytes, so pairs
+   over the budget end inside the join on keys: what is shuffled after it grows with the near names.
+6. **Verification** -- distinct candidate pairs pass length and prefix bounds on
    JVM expressions, and the Arrow UDF scores what is left.
 
 Every step is lossless (a colliding hash only adds a candidate), so the result
 equals the nested-loop definition. Names are deduplicated first: the work grows
-with distinct names, not with rows. Key rows are two longs; their
+with distinct names, not with rows. Key rows are of fixed size; their
 number per name is bounded by its length.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,9 +50,18 @@ _EPS = 1e-6
 _KEY_JOIN_HINT = "merge"
 _OCC_RANGE = 1 << 32  # above any occurrence number in a name, so token ids never collide
 
+_KEY_COLUMNS = ["id", "key", "lim", "n", "s0", "s1", "s2", "s3"]
+_KEY_SCHEMA = "id long, key long, lim double, n int, s0 long, s1 long, s2 long, s3 long"
+
 # Prefix bytes in the key, and the longest common prefix of the pairs it serves.
 LEVELS = ((0, 0), (1, 2), (3, 4))
-# Length classes: the first holds names up to CLASS_BASE bytes, each next one CLASS_STEP times longer ones.
+# The same for the keys of names that are not long.
+SHORT_LEVELS = ((0, 0), (1, 1), (2, 2), (3, 4))
+# Symbols that a name's bytes are told apart by: the most frequent bytes, and one for all others.
+SYMBOLS = 40
+# Signature words of 64 bits, and names whose keys make one Arrow batch.
+WORDS, KEY_BATCH = 4, 512
+# Of long names. Length classes: the first holds names up to CLASS_BASE bytes, each next one CLASS_STEP times longer ones.
 CLASS_BASE, CLASS_STEP = 8, 1.25
 # Unmatched bytes that a group may hold, about: one group more for each GROUP_BUDGET bytes of the budget.
 GROUP_BUDGET = 4.0
@@ -130,8 +142,11 @@ def _class_sql(n: str) -> str:
     return f"greatest(0, cast(ceil(ln({n} / {float(CLASS_BASE)}) / {math.log(CLASS_STEP)!r} - 1e-9) as int))"
 
 
-def _keys(tokens: DataFrame, budgets: list[float], left: bool) -> DataFrame:
-    """(id, key) for every candidate key of every name."""
+def _long_keys(tokens: DataFrame, budgets: list[float], left: bool) -> DataFrame:
+    """(id, key, lim) for every candidate key of every name, by byte tokens. Within a group of sizes s and s' and at
+    most D unmatched bytes, at least ``m = (s + s' - D) / 2`` tokens are common, so the first ``s - m + k`` and
+    ``s' - m + k`` of the two, rarest first, share k of them. A key is the hash of (level, prefix, length classes of
+    both, group, s, s', k tokens)."""
     levels = ", ".join(f"struct({lvl} as p, {budgets[most]!r}D as budget)" for lvl, most in LEVELS)
     # a partner is n * (1 - budget) to n / (1 - budget) long; the longer class of the two bounds the budget
     rows = (tokens.selectExpr("name", "n", "toks", f"inline(array({levels}))").where("n >= p")
@@ -143,7 +158,7 @@ def _keys(tokens: DataFrame, budgets: list[float], left: bool) -> DataFrame:
             .selectExpr("*", f"cast(ceil(whole / groups + {_EPS}) as int) - 1 as most", "explode(sequence(0, groups - 1)) as g"))
     # bytes are dealt back and forth in order of frequency: 0 .. G-1, G-1 .. 0, ...
     rows = rows.selectExpr(
-        "name", "p", "cls", "partner", "g", "most",
+        "name", "p", "cls", "partner", "g", "most", "budget as lim",
         "transform(filter(toks, t -> t.pos >= p and (t.rank % (2 * groups) = g or t.rank % (2 * groups) = 2 * groups - 1 - g)),"
         " t -> t.tid) as own")
     rows = rows.selectExpr("*", "explode(sequence(-most, most)) as diff")  # the group's tokens are picked before, once
@@ -153,10 +168,120 @@ def _keys(tokens: DataFrame, budgets: list[float], left: bool) -> DataFrame:
             .selectExpr("*", "greatest(0, cast((2 * s + diff - odd) div 2 as int)) as common"))
     sizes = "cls, partner, s, s + diff" if left else "partner, cls, s + diff, s"
     rows = (rows.selectExpr("*", f"least(common, element_at(array{KEY_TOKENS}, abs(diff) + 1)) as k")
-            .selectExpr("own", "k", "s - common as x", "xxhash64(name) as id",
+            .selectExpr("own", "k", "lim", "s - common as x", "xxhash64(name) as id",
                         f"xxhash64(p, substring(encode(name, 'UTF-8'), 1, p), g, {sizes}, k) as head"))
     toks = ", ".join(f"get(own, get(places, {j}))" for j in range(max(KEY_TOKENS)))
-    return rows.join(F.broadcast(_subsets(tokens.sparkSession)), ["x", "k"]).selectExpr("id", f"xxhash64(head, {toks}) as key")
+    return rows.join(F.broadcast(_subsets(tokens.sparkSession)), ["x", "k"]).selectExpr("id", f"xxhash64(head, {toks}) as key", "lim")
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    """Scramble 64-bit values so that every bit depends on all bits; the same in every version, as keys are stored."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def short_limit(budgets: list[float], symbols: int) -> int:
+    """Bytes of the longest pair that short keys serve: its groups hold 4/3 symbols or more on average."""
+    return int(1.5 * symbols / max(budgets))
+
+
+def _symbol_table(ranks: dict[int, int]) -> tuple[np.ndarray, int]:
+    """(symbol of each byte value, number of symbols) from the frequency ranks of bytes."""
+    symbols = min(SYMBOLS, len(ranks) + 1)
+    table = np.full(256, symbols - 1, dtype=np.int64)
+    for byte, rank in ranks.items():
+        table[byte] = min(rank, symbols - 1)
+    return table, symbols
+
+
+class NameBlock:
+    """Names of a batch as arrays: lengths, signatures, symbol counts, and the keys made of these."""
+
+    def __init__(self, names: pa.Array, table: np.ndarray, symbols: int) -> None:
+        values = [x.encode("utf-8", "surrogatepass") for x in names.to_pylist()]
+        self.n = np.array([len(v) for v in values], dtype=np.int64)
+        flat = np.frombuffer(b"".join(values), dtype=np.uint8).astype(np.int64)
+        row = np.repeat(np.arange(len(values)), self.n)
+        self.counts = np.bincount(row * symbols + table[flat], minlength=len(values) * symbols).reshape(-1, symbols)
+        # occurrence numbers of equal bytes of a name
+        cell = np.sort(row * 256 + flat)
+        first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
+        occ = np.arange(len(cell)) - np.repeat(first, np.diff(np.r_[first, len(cell)]))
+        bit = (_mix(((cell % 256) << 32 | occ + 1).astype(np.uint64)) % np.uint64(64 * WORDS)).astype(np.int64)
+        self.sig = np.zeros((len(values), WORDS), dtype=np.uint64)
+        np.bitwise_or.at(self.sig, (cell // 256, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+        ends = np.zeros((len(values), 4), dtype=np.uint64)
+        for k in range(4):
+            ends[self.n > k, k] = [v[k] + 1 for v in values if len(v) > k]
+        self.prefix = ends
+
+    def keys(self, budgets: list[float], left: bool, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+        """(row, key, budget) arrays of the short keys."""
+        symbols = self.counts.shape[1]
+        place = np.arange(symbols)
+        weight = _mix(place.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+        lengths = np.arange(limit + 1)
+        for level, (p, most) in enumerate(SHORT_LEVELS):
+            budget = budgets[most]
+            groups = np.maximum(1, np.ceil((budget * lengths + _EPS) / 2).astype(np.int64))
+            fit = np.flatnonzero((self.n >= max(p, 1)) & (self.n <= limit))
+            n = self.n[fit]
+            low, high = groups[n], groups[np.minimum(limit, np.ceil(n / (1 - budget) + _EPS).astype(np.int64))]
+            head = np.full(len(fit), level + 1, dtype=np.uint64)
+            for k in range(p):
+                head = head * np.uint64(257) + self.prefix[fit, k]
+            head = _mix(head)
+            for g in range(int(low.min(initial=1)), int(high.max(initial=0)) + 1):
+                at = np.flatnonzero((low <= g) & (g <= high))
+                if not len(at):
+                    continue
+                # symbols are dealt back and forth in order of frequency: 0 .. G-1, G-1 .. 0, ...
+                dealt = np.where(place % (2 * g) < g, place % (2 * g), 2 * g - 1 - place % (2 * g))
+                counts = self.counts[fit[at]]
+                mass = np.zeros((len(at), g), dtype=np.uint64)
+                for s in place:
+                    mass[:, dealt[s]] += counts[:, s].astype(np.uint64) * weight[s]
+                salt = _mix(np.uint64(g) * np.uint64(1 << 32) + np.arange(1, g + 1, dtype=np.uint64))
+                mass = mass + salt + head[at][:, None]
+                yield np.repeat(fit[at], g), _mix(mass.ravel()), budget
+                if left:
+                    around = mass[:, dealt]
+                    yield np.repeat(fit[at], symbols), _mix((around + weight).ravel()), budget
+                    has = counts > 0
+                    yield np.repeat(fit[at], symbols)[has.ravel()], _mix((around - weight)[has]), budget
+
+
+def _short_keys(names: DataFrame, ranks: dict[int, int], budgets: list[float], left: bool, limit: int) -> DataFrame:
+    """(id, key, lim, n, s0 ..) for the short keys of every name of at most ``limit`` bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, symbols = _symbol_table(ranks)
+        for batch in batches:
+            for start in range(0, batch.num_rows, KEY_BATCH):
+                part = batch.slice(start, KEY_BATCH)
+                ids, block = np.asarray(part.column(0)), NameBlock(part.column(1), table, symbols)
+                found = list(block.keys(budgets, left, limit))
+                if found:
+                    row = np.concatenate([f[0] for f in found])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[row]), pa.array(np.concatenate([f[1] for f in found]).view(np.int64)),
+                         pa.array(np.concatenate([np.full(len(f[0]), f[2]) for f in found])), pa.array(block.n[row].astype(np.int32)),
+                         *[pa.array(block.sig[row, k].view(np.int64)) for k in range(WORDS)]], names=_KEY_COLUMNS)
+
+    return names.where("name is not null").selectExpr("xxhash64(name) as id", "name").mapInArrow(run, _KEY_SCHEMA)
+
+
+def _signed(keys: DataFrame, names: DataFrame) -> DataFrame:
+    """Long keys (id, key, lim) with the length and signature of their names."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = NameBlock(batch.column(1), *_symbol_table({}))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(block.n.astype(np.int32)), *[pa.array(block.sig[:, k].view(np.int64)) for k in range(WORDS)]],
+                names=["id", *_KEY_COLUMNS[3:]])
+
+    signed = names.selectExpr("xxhash64(name) as id", "name").mapInArrow(run, "id long, " + _KEY_SCHEMA.split(", ", 3)[3])
+    return keys.join(signed, "id").select(*_KEY_COLUMNS)
 
 
 def token_order(*names: DataFrame) -> DataFrame:
@@ -170,21 +295,46 @@ def token_order(*names: DataFrame) -> DataFrame:
 
 
 def name_keys(names: DataFrame, order: DataFrame, threshold: float, left: bool) -> DataFrame:
-    """(id, key): the candidate keys of distinct names (column ``name``), as the left or right side of a join."""
+    """(id, key, lim, n, s0 ..): the candidate keys of distinct names (column ``name``), as the left or right side of a
+    join, with the budget they serve, and each name's length and signature. The ranks of ``order`` (one row a byte
+    value) and the length of the longest name are read at once."""
     # these rows are few and short, but each makes hundreds of key rows, which AQE cannot see when it
     # merges small partitions: so their number of partitions is fixed
     spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tokens = _ordered_tokens(_raw_tokens(names), order).repartition(spread, "name")
-    return _keys(tokens, level_budgets(threshold), left)
+    budgets = level_budgets(threshold)
+    byte = F.expr(f"tid div {_OCC_RANGE}").cast("int")
+    ranks = {r["byte"]: r["rank"] for r in order.select(byte.alias("byte"), "rank").distinct().collect()}
+    limit = short_limit(budgets, _symbol_table(ranks)[1])
+    keys = _short_keys(names.repartition(spread, "name"), ranks, budgets, left, limit)
+    # pairs with a name over the limit
+    edge = math.floor(limit * (1 - max(budgets)) - _EPS)
+    longest = names.agg(F.max(F.octet_length("name"))).first()[0]
+    if longest is not None and longest > edge:
+        long = names.where(F.octet_length("name") > edge)
+        tokens = _ordered_tokens(_raw_tokens(long), order).repartition(spread, "name")
+        keys = keys.unionByName(_signed(_long_keys(tokens, budgets, left), long))
+    return keys
+
+
+def met(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a_id, b_id) of names with a key in common whose signatures fit its budget. ``left`` and ``right`` are
+    ``name_keys`` with the id renamed."""
+    # both key sides grow with the data: never broadcast them (a sort-merge join
+    # spills instead of failing, and AQE splits skewed key partitions)
+    own = [c for c in _KEY_COLUMNS if c not in ("id", "key")]
+    a, b = left.withColumnsRenamed({c: f"a_{c}" for c in own}), right.withColumnsRenamed({c: f"b_{c}" for c in own})
+    only = {x: " + ".join(f"bit_count({x}_s{k} & ~{y}_s{k})" for k in range(WORDS)) for x, y in ("ab", "ba")}
+    near = F.expr(f"({only['a']}) / a_n + ({only['b']}) / b_n < a_lim + {_EPS}")
+    return a.hint(_KEY_JOIN_HINT).join(b, "key").where(near).select("a_id", "b_id")
 
 
-def scored_pairs(met: DataFrame, a_names: DataFrame, b_names: DataFrame, threshold: float) -> DataFrame:
+def scored_pairs(candidates: DataFrame, a_names: DataFrame, b_names: DataFrame, threshold: float) -> DataFrame:
     """(a, b, sim) above the threshold of candidate id pairs (a_id, b_id) whose names differ."""
     budgets = level_budgets(threshold)
-    spread = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = met.select("a_id", "b_id").distinct().repartition(spread, "a_id", "b_id")
+    spread = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    candidates = candidates.select("a_id", "b_id").distinct().repartition(spread, "a_id", "b_id")
     # a hash stands for a name; names of one hash all come back, so none is lost
-    found = (met.join(a_names.selectExpr("xxhash64(name) as a_id", "name as a"), "a_id")
+    found = (candidates.join(a_names.selectExpr("xxhash64(name) as a_id", "name as a"), "a_id")
              .join(b_names.selectExpr("xxhash64(name) as b_id", "name as b"), "b_id").where("a <> b").select("a", "b"))
     # of the distinct pairs, those whose lengths fit the budget of their own common prefix
     lvl = common_prefix4(F.encode("a", "UTF-8"), F.encode("b", "UTF-8"))
@@ -205,7 +355,7 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     empty names, which still pair by equality). NULL names never pair.
 
     With ``materialize`` (default) the pairs are computed now and returned as a
-    checkpointed DataFrame; otherwise the plan is returned lazily.
+    checkpointed DataFrame; otherwise the plan is returned lazily (``name_keys`` tells what is read at once).
     """
     budgets = level_budgets(threshold)
     if group_limits(max(budgets), CLASS_BASE)[1] >= len(KEY_TOKENS):
@@ -227,9 +377,7 @@ def jaro_winkler_join(left: DataFrame, right: DataFrame, threshold: float = 0.95
     order = keep(token_order(a_names, b_names))
     ka = name_keys(a_names, order, threshold, True).withColumnRenamed("id", "a_id")
     kb = name_keys(b_names, order, threshold, False).withColumnRenamed("id", "b_id")
-    # both key sides grow with the data: never broadcast them (a sort-merge join
-    # spills instead of failing, and AQE splits skewed key partitions)
-    pairs = equal.unionByName(scored_pairs(ka.join(kb.hint(_KEY_JOIN_HINT), "key"), a_names, b_names, threshold))
+    pairs = equal.unionByName(scored_pairs(met(ka, kb), a_names, b_names, threshold))
     if not materialize:
         return pairs
     # the matches are few; write them once to the shared checkpoint folder so

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_account_name
-from ..operators.fuzzy_join import name_keys, scored_pairs, token_order
+from ..operators.fuzzy_join import met, name_keys, scored_pairs, token_order
 from ..operators.topk import best_per_group
 from ..sources.publish import current_version, publish, read_current, set_current
 from .link import stage_firms
@@ -89,7 +89,7 @@ class LinkStore:
         return self._bucketed("names", version, "name")
 
     def keys(self, version: int) -> DataFrame:
-        """(b_id, key) of a version: candidate keys of its names."""
+        """(b_id, key, ..) of a version: candidate keys of its names."""
         return self._bucketed("keys", version, "key")
 
     def add_accounts(self, accounts: DataFrame) -> int | None:
@@ -135,8 +135,8 @@ class LinkStore:
         return best.select("mc", F.col("Id").alias("name_id"), F.col("sim").alias("name_sim"))
 
     def candidates(self, keys: DataFrame, version: int) -> DataFrame:
-        """Firm keys (a_id, key) against the index of a version; only the firms' side is shuffled."""
-        return keys.hint("merge").join(self.keys(version), "key")
+        """Firm keys (a_id, key, ..) against the index of a version; only the firms' side is shuffled."""
+        return met(keys, self.keys(version))
 
     # -- state
 

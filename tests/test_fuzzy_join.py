@@ -6,7 +6,7 @@ import pytest
 from linkwright import derived
 from linkwright.functions.similarity import jaro_winkler
 from linkwright.operators.fuzzy_join import KEY_TOKENS, group_limits, jaro_winkler_join, level_budgets
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 
 
 def _mutations(names, seed, n_each=3):
@@ -107,3 +107,31 @@ def test_threshold_is_strict(spark):
     got = {(r["a"], r["b"]) for r in jaro_winkler_join(left, right).collect()}
     assert jaro_winkler("cdcdbdbb", "cdcdbdba") == 0.95
     assert got == {("abcdefghijklmnopqrst", "badcfeghijklmnopqrst")}
+
+
+@pytest.mark.parametrize("alphabet,lengths", [("abcdefghijklmnopqrstuvwxyz0123456789", (120, 300)), ("0123456789", (20, 90)),
+                                              ("абвгдежзийклмнопрстуфхцчшщъыьэюя", (40, 160))])
+def test_names_around_the_limit_of_short_keys_equal_brute_force(spark, alphabet, lengths):
+    rnd = random.Random(len(alphabet))
+    base = ["".join(rnd.choices(alphabet, range(1, len(alphabet) + 1), k=rnd.randint(*lengths))) for _ in range(40)]
+    cut = [s[:len(s) - rnd.randint(1, len(s) // 6)] for s in base]      # on either side of the limit
+    left, right = base + _mutations(cut, 1, 1), cut + _mutations(base, 2, 2)
+    got = jaro_winkler_join(spark.createDataFrame([(x,) for x in left], "n string"),
+                            spark.createDataFrame([(x,) for x in right], "n string")).collect()
+    assert {(r["a"], r["b"], round(r["sim"], 9)) for r in got} == _brute(left, right, 0.95)
+
+
+def test_candidates_are_few(spark, tmp_path):
+    """What the scorer gets does not grow with all pairs: the share that meets, and the key rows of a name."""
+    from linkwright.functions.text import clean_account_name
+    from linkwright.operators.fuzzy_join import name_keys
+    from linkwright.plans.incremental import LinkStore
+    names = derived.titles(spark, SF_MID).select(clean_account_name("title").alias("name")).where("name <> ''").distinct()
+    n = names.count()
+    store = LinkStore(spark, str(tmp_path / "store"))
+    store.add_accounts(derived.accounts(spark, SF_MID))
+    order = spark.read.parquet(f"{store.base}/order")
+    keys = name_keys(names, order, store.threshold, True).withColumnRenamed("id", "a_id")
+    assert keys.count() < 1000 * n and store.keys(1).count() < 200 * store.names(1).count()
+    met = store.candidates(keys, 1).select("a_id", "b_id").where("a_id <> b_id").distinct().count()
+    assert met < 0.01 * n * store.names(1).count()
