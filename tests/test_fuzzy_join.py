@@ -137,7 +137,7 @@ def test_candidates_are_few(spark, tmp_path):
     assert met < 0.01 * n * store.names(1).count()
 
 
-@pytest.mark.parametrize("query", ["link_waterfall", "link_incremental", "match_summary", "ensure_all_keys"])
+@pytest.mark.parametrize("query", ["link_waterfall", "link_incremental", "match_summary", "ensure_all_keys", "address_match"])
 def test_queries_score_few_pairs(spark, monkeypatch, query):
     """The scorer of the query's name matches gets less than a hundredth of all pairs."""
     from linkwright import workloads
