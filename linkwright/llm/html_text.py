@@ -5,13 +5,19 @@ adverts, forms, comments or not text at all are left out with all they hold, by
 the names of class and id. If the page marks its article (``article``, else ``main``), the blocks in
 it are the text.
 
-A page that marks none is read as a stream of words, and the streams of its host are searched
-for long substrings shared by distinct pages: suffixes, cut to ``RUN`` words, are sorted by
-Spark, and neighbours with equal ``RUN`` words on pages of different content are a repeat. Words
-covered by one are boilerplate; the unique runs stay. A suffix is a hash, so host and position
+Every page is also read as a stream of words, and the streams of its host are searched
+for long substrings shared by its pages: suffixes, cut to ``RUN`` words, are sorted by
+Spark, and neighbours with equal ``RUN`` words on pages of different content are a repeat. On a page that
+marks no article, words covered by one are boilerplate; the unique runs stay. A suffix is a hash, so host and position
 cost a few bytes, and equal suffixes of a batch are combined before the shuffle: a host with a
-third of all pages is spread over all tasks. Marked articles are not put through this step: copies
-of an article and passages that articles share are text, not boilerplate.
+third of all pages is spread over all tasks.
+
+Copies of an article and passages that articles share are text, so in a marked article a repeat is boilerplate
+only if it is on half of the host's pages with a marked article, ``HOST_PAGES`` at least, and then only as whole
+blocks, of pages that have as many words besides; pages that have not are copies. Suffixes that
+can be on half of the pages are found first: of the ``RUN`` words the half of smallest hash
+stands for them, and a batch sends only what is on half of its own pages of the host. What is sent
+thus grows with the hosts of a batch rather than with its words.
 """
 
 from __future__ import annotations
@@ -29,6 +35,8 @@ from linkwright.llm.common import Powers, Words, blocks, shingle_hashes, stage
 
 #: Words that a repeated substring has at least.
 RUN = 10
+#: Pages of the host that a run is on at least to be boilerplate in a marked article.
+HOST_PAGES = 4
 
 # fixed values: element names and the words of class, id and role that mark what is not the article
 SKIP_TAGS = frozenset("nav footer aside form script style noscript template iframe svg math button select textarea head title "
@@ -269,6 +277,115 @@ def suffixes(streams: DataFrame) -> DataFrame:
     return streams.mapInArrow(run, "host string, key long, low long, high long")
 
 
+def _windows(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, keys, anchors) of the texts with ``RUN`` words or more: per window of ``RUN`` words its hash, and the
+    smallest hash of half as many words in it, which windows of equal words share."""
+    powers, half = Powers(), RUN // 2
+    for lo, _, data, offsets in blocks(texts):
+        words = Words(data, offsets)
+        hashes = words.hashes(powers, lower=False)
+        for k, (keys, parts) in enumerate(zip(shingle_hashes(words, hashes, RUN), shingle_hashes(words, hashes, half))):
+            if words.first[k + 1] - words.first[k] >= RUN:
+                least = np.lib.stride_tricks.sliding_window_view(parts.view(np.int64), RUN - half + 1).min(axis=1)
+                yield lo + k, keys.view(np.int64), least
+
+
+def frequent_anchors(streams: DataFrame) -> DataFrame:
+    """``(host, pages, keys)`` of ``streams`` (host, text): anchors that half of a host's pages can hold, and its number of pages.
+
+    An anchor on half of all pages is on half of the pages of some batch, so a batch leaves out the others. Its
+    ``n`` pages may hold one left out ``(n + 1) // 2 - 1`` times, which is added to the counts sent.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hosts = batch.column(0).to_pylist()
+            found: dict[str, list[np.ndarray]] = {}
+            pages: dict[str, int] = {}
+            for host in hosts:
+                pages[host] = pages.get(host, 0) + 1
+            for row, _, anchors in _windows(batch.column(1)):
+                found.setdefault(hosts[row], []).append(np.unique(anchors))
+            for host, n in pages.items():
+                keys, counts = np.unique(np.concatenate(found.get(host, [np.zeros(0, np.int64)])), return_counts=True)
+                slack = (n + 1) // 2 - 1
+                keys, counts = keys[counts > slack], counts[counts > slack]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([host] * (len(keys) + 1), pa.string()), pa.array([None, *keys.tolist()], pa.int64()),
+                     pa.array([n, *counts.tolist()], pa.int64()), pa.array([slack] * (len(keys) + 1), pa.int64())],
+                    names=["host", "key", "n", "slack"])
+
+    sums = streams.mapInArrow(run, "host string, key long, n long, slack long").groupBy("host", "key").agg(
+        F.sum("n").alias("n"), F.sum("slack").alias("slack"))
+    # rows without a key count the pages; they come to each host's anchors by a second sum
+    whole = sums.where("key is null").selectExpr("host", "n as pages", "slack as whole")
+    return (sums.where("key is not null").join(whole, "host")
+            .where(f"n + whole - slack >= greatest({HOST_PAGES}, pages / 2)")
+            .groupBy("host", "pages").agg(F.collect_set("key").alias("keys")))
+
+
+def host_runs(pages: DataFrame) -> DataFrame:
+    """``(host, runs)`` of ``pages`` (host, pages, keys, content, text): suffixes on half of the host's pages, by exact counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hosts, wanted, content = batch.column(0).to_pylist(), batch.column(2), batch.column(3).to_pylist()
+            found: dict[tuple[str, int], list[int]] = {}
+            for row, keys, anchors in _windows(batch.column(4)):
+                hit = np.isin(anchors, np.asarray(wanted[row].values))
+                for key in np.unique(keys[hit]).tolist():
+                    cell = found.setdefault((hosts[row], key), [0, content[row], content[row]])
+                    cell[0], cell[1], cell[2] = cell[0] + 1, min(cell[1], content[row]), max(cell[2], content[row])
+            of = dict(zip(hosts, batch.column(1).to_pylist()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h for h, _ in found], pa.string()), pa.array([of[h] for h, _ in found], pa.int64()),
+                 pa.array([k for _, k in found], pa.int64()),
+                 *[pa.array([c[i] for c in found.values()], pa.int64()) for i in range(3)]],
+                names=["host", "pages", "key", "n", "low", "high"])
+
+    counted = pages.mapInArrow(run, "host string, pages long, key long, n long, low long, high long")
+    return (counted.groupBy("host", "pages", "key").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+            .where(f"n >= greatest({HOST_PAGES}, pages / 2) and low < high").groupBy("host").agg(F.collect_set("key").alias("runs")))
+
+
+def without_runs(pages: DataFrame) -> DataFrame:
+    """``(page_id, url, text)`` of ``pages`` (page_id, url, parts, runs): blocks that runs of the host cover left
+    out, unless they hold more than half of the words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, runs = batch.column(2).to_pylist(), batch.column(3)
+            for row, keys, _ in _windows(pa.array([" ".join(p) for p in lists], pa.large_string())):
+                if runs[row].as_py() is None:
+                    continue
+                sizes = [len(p.encode("utf-8", "surrogatepass").split()) for p in lists[row]]
+                edge = np.zeros(sum(sizes) + 1, dtype=np.int32)
+                hit = np.flatnonzero(np.isin(keys, np.asarray(runs[row].values)))
+                np.add.at(edge, hit, 1)
+                np.add.at(edge, hit + RUN, -1)
+                covered = np.cumsum(edge[:-1]) > 0
+                ends = np.cumsum(sizes)
+                whole = [bool(covered[end - n:end].all()) for n, end in zip(sizes, ends.tolist())]
+                if 2 * covered.sum() <= len(covered):
+                    lists[row] = [p for p, w in zip(lists[row], whole) if not w]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(["\n".join(p) for p in lists], pa.string())], names=["page_id", "url", "text"])
+
+    kind = pages.schema["page_id"].dataType.simpleString()
+    return pages.mapInArrow(run, f"page_id {kind}, url string, text string")
+
+
+def marked_text(read: DataFrame) -> DataFrame:
+    """``(page_id, url, text)`` of the pages of ``read`` that mark their article, without what half of their host's pages repeat."""
+    plain = read.select("page_id", "url", F.array_join("parts", "\n").alias("text"))
+    stream = F.array_join("parts", " ")
+    anchors = stage(frequent_anchors(read.select("host", stream.alias("text"))), "html-anchors")
+    if anchors.isEmpty():
+        return plain
+    runs = stage(host_runs(read.select("host", F.xxhash64(stream).alias("content"), stream.alias("text")).join(anchors, "host")
+                           .select("host", "pages", "keys", "content", "text")), "html-runs")
+    if runs.isEmpty():
+        return plain
+    return without_runs(read.join(runs, "host", "left").select("page_id", "url", "parts", "runs"))
+
+
 def unique_runs(pages: DataFrame) -> DataFrame:
     """``(node, text)`` of ``pages`` (node, parts, keys): words covered by a repeated suffix (``keys``) removed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +434,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     node = F.xxhash64(F.col("page_id").cast("string"), "url", "html")
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     read = stage(parse(rows.withColumns({"node": node, "host": host})), "html-blocks")
-    marked = read.where("marked").select("page_id", "url", F.array_join("parts", "\n").alias("text"))
+    marked = marked_text(read.where("marked"))
     unmarked = read.where("not marked")
     if unmarked.isEmpty():
         return marked

@@ -207,6 +207,25 @@ def test_pages_without_article_lose_what_their_host_repeats(spark):
     assert html_text.extract(pages.limit(0)).collect() == []
 
 
+def test_marked_articles_lose_what_half_of_their_host_repeats(spark):
+    """Class-less blocks on half of a host's articles go; shared passages of fewer pages, copies and near copies stay."""
+    def page(host, i, *blocks):
+        return (i, f"http://{host}/{i}", "<body><article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article></body>")
+
+    own = lambda i: " ".join(f"own{i}x{k}" for k in range(30))
+    plea, short = " ".join(f"plea{k}" for k in range(11)), "Share it"
+    passage = " ".join(f"passage{k}" for k in range(15))
+    rows = [page("h", i, own(i), plea, short, f"end {i}") for i in range(6)] + [page("h", i, own(i), passage) for i in range(6, 9)]
+    rows += [page("copies", 20 + i, own(20), f"copy {i // 2}") for i in range(6)]     # near copies and copies
+    rows += [page("few", 30 + i, own(30 + i), plea) for i in range(3)] + [page("h", 40, f"{plea} and {own(40)}")]
+    want = {i: f"{own(i)}\nend {i}" for i in range(6)} | {i: f"{own(i)}\n{passage}" for i in range(6, 9)}
+    want |= {20 + i: f"{own(20)}\ncopy {i // 2}" for i in range(6)} | {30 + i: f"{own(30 + i)}\n{plea}" for i in range(3)}
+    want |= {40: f"{plea} and {own(40)}"}
+    for parts in (1, 3, 19):    # in whatever batches the pages come
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+        assert {r.page_id: r.text for r in html_text.extract(pages).collect()} == want
+
+
 def filled(sizes):
     """Targets by sharing the excess again until none is above its cap."""
     names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
