@@ -19,7 +19,7 @@ comes from equi-joins only:
    number of groups follows from the longer name, so a name has keys for each number a partner can bring.
    A name too long for its alphabet has the keys of ``_long_keys``: byte tokens by the prefix-filter principle.
 5. **Signatures.** A key row carries its name's length and a signature of 256 bits with one
-   set for each ``(byte, occurrence#)``. Bits that only one of two signatures has are unmatched bytes, so pairs
+   set for each ``(byte, occurrence#)``; the most frequent have bits of their own. Bits that only one of two signatures has are unmatched bytes, so pairs
    over the budget end inside the join on keys: what is shuffled after it grows with the near names.
 6. **Verification** -- distinct candidate pairs pass length and prefix bounds on
    JVM expressions, and the Arrow UDF scores what is left.
@@ -59,8 +59,8 @@ LEVELS = ((0, 0), (1, 2), (3, 4))
 SHORT_LEVELS = ((0, 0), (1, 1), (2, 2), (3, 4))
 # Symbols that a name's bytes are told apart by: the most frequent bytes, and one for all others.
 SYMBOLS = 40
-# Signature words of 64 bits, and names whose keys make one Arrow batch.
-WORDS, KEY_BATCH = 4, 512
+# Signature words of 64 bits, bits that tokens share that have none of their own, names whose keys make one Arrow batch.
+WORDS, SHARED_BITS, KEY_BATCH = 4, 16, 512
 # Of long names. Length classes: the first holds names up to CLASS_BASE bytes, each next one CLASS_STEP times longer ones.
 CLASS_BASE, CLASS_STEP = 8, 1.25
 # Unmatched bytes that a group may hold, about: one group more for each GROUP_BUDGET bytes of the budget.
@@ -186,29 +186,43 @@ def short_limit(budgets: list[float], symbols: int) -> int:
     return int(1.5 * symbols / max(budgets))
 
 
-def _symbol_table(ranks: dict[int, int]) -> tuple[np.ndarray, int]:
-    """(symbol of each byte value, number of symbols) from the frequency ranks of bytes."""
-    symbols = min(SYMBOLS, len(ranks) + 1)
-    table = np.full(256, symbols - 1, dtype=np.int64)
-    for byte, rank in ranks.items():
-        table[byte] = min(rank, symbols - 1)
-    return table, symbols
+class Alphabet:
+    """What both sides of a join know of the names' bytes: symbols of bytes, and the tokens with a signature bit of their own."""
+
+    def __init__(self, order: DataFrame) -> None:
+        byte = F.expr(f"tid div {_OCC_RANGE}").cast("int")
+        ranks = {r["byte"]: r["rank"] for r in order.select(byte.alias("byte"), "rank").distinct().collect()}   # at most 256
+        self.symbols = min(SYMBOLS, len(ranks) + 1)
+        self.table = np.full(256, self.symbols - 1, dtype=np.int64)
+        for byte, rank in ranks.items():
+            self.table[byte] = min(rank, self.symbols - 1)
+        frequent = order.orderBy(F.desc("f"), "tid").limit(64 * WORDS - SHARED_BITS).select("tid").collect()
+        self.tokens = np.sort(np.array([r["tid"] for r in frequent], dtype=np.int64))
+
+    def bits(self, byte: np.ndarray, occ: np.ndarray) -> np.ndarray:
+        """Signature bits of tokens; those that are not frequent share the last ones."""
+        tid = byte * _OCC_RANGE + occ
+        at = np.searchsorted(self.tokens, tid)
+        known = np.r_[self.tokens, -1][at] == tid
+        shared = (_mix(tid.astype(np.uint64)) % np.uint64(SHARED_BITS)).astype(np.int64)
+        return np.where(known, at, 64 * WORDS - SHARED_BITS + shared)
 
 
 class NameBlock:
     """Names of a batch as arrays: lengths, signatures, symbol counts, and the keys made of these."""
 
-    def __init__(self, names: pa.Array, table: np.ndarray, symbols: int) -> None:
+    def __init__(self, names: pa.Array, alphabet: Alphabet) -> None:
+        symbols = alphabet.symbols
         values = [x.encode("utf-8", "surrogatepass") for x in names.to_pylist()]
         self.n = np.array([len(v) for v in values], dtype=np.int64)
         flat = np.frombuffer(b"".join(values), dtype=np.uint8).astype(np.int64)
         row = np.repeat(np.arange(len(values)), self.n)
-        self.counts = np.bincount(row * symbols + table[flat], minlength=len(values) * symbols).reshape(-1, symbols)
+        self.counts = np.bincount(row * symbols + alphabet.table[flat], minlength=len(values) * symbols).reshape(-1, symbols)
         # occurrence numbers of equal bytes of a name
         cell = np.sort(row * 256 + flat)
         first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
         occ = np.arange(len(cell)) - np.repeat(first, np.diff(np.r_[first, len(cell)]))
-        bit = (_mix(((cell % 256) << 32 | occ + 1).astype(np.uint64)) % np.uint64(64 * WORDS)).astype(np.int64)
+        bit = alphabet.bits(cell % 256, occ + 1)
         self.sig = np.zeros((len(values), WORDS), dtype=np.uint64)
         np.bitwise_or.at(self.sig, (cell // 256, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
         ends = np.zeros((len(values), 4), dtype=np.uint64)
@@ -252,14 +266,13 @@ class NameBlock:
                     yield np.repeat(fit[at], symbols)[has.ravel()], _mix((around - weight)[has]), budget
 
 
-def _short_keys(names: DataFrame, ranks: dict[int, int], budgets: list[float], left: bool, limit: int) -> DataFrame:
+def _short_keys(names: DataFrame, alphabet: Alphabet, budgets: list[float], left: bool, limit: int) -> DataFrame:
     """(id, key, lim, n, s0 ..) for the short keys of every name of at most ``limit`` bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, symbols = _symbol_table(ranks)
         for batch in batches:
             for start in range(0, batch.num_rows, KEY_BATCH):
                 part = batch.slice(start, KEY_BATCH)
-                ids, block = np.asarray(part.column(0)), NameBlock(part.column(1), table, symbols)
+                ids, block = np.asarray(part.column(0)), NameBlock(part.column(1), alphabet)
                 found = list(block.keys(budgets, left, limit))
                 if found:
                     row = np.concatenate([f[0] for f in found])
@@ -271,11 +284,11 @@ def _short_keys(names: DataFrame, ranks: dict[int, int], budgets: list[float], l
     return names.where("name is not null").selectExpr("xxhash64(name) as id", "name").mapInArrow(run, _KEY_SCHEMA)
 
 
-def _signed(keys: DataFrame, names: DataFrame) -> DataFrame:
+def _signed(keys: DataFrame, names: DataFrame, alphabet: Alphabet) -> DataFrame:
     """Long keys (id, key, lim) with the length and signature of their names."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            block = NameBlock(batch.column(1), *_symbol_table({}))
+            block = NameBlock(batch.column(1), alphabet)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(block.n.astype(np.int32)), *[pa.array(block.sig[:, k].view(np.int64)) for k in range(WORDS)]],
                 names=["id", *_KEY_COLUMNS[3:]])
@@ -296,23 +309,22 @@ def token_order(*names: DataFrame) -> DataFrame:
 
 def name_keys(names: DataFrame, order: DataFrame, threshold: float, left: bool) -> DataFrame:
     """(id, key, lim, n, s0 ..): the candidate keys of distinct names (column ``name``), as the left or right side of a
-    join, with the budget they serve, and each name's length and signature. The ranks of ``order`` (one row a byte
-    value) and the length of the longest name are read at once."""
+    join, with the budget they serve, and each name's length and signature. Of ``order`` the ranks (one row a byte
+    value) and the 240 most frequent tokens, and the length of the longest name are read at once."""
     # these rows are few and short, but each makes hundreds of key rows, which AQE cannot see when it
     # merges small partitions: so their number of partitions is fixed
     spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     budgets = level_budgets(threshold)
-    byte = F.expr(f"tid div {_OCC_RANGE}").cast("int")
-    ranks = {r["byte"]: r["rank"] for r in order.select(byte.alias("byte"), "rank").distinct().collect()}
-    limit = short_limit(budgets, _symbol_table(ranks)[1])
-    keys = _short_keys(names.repartition(spread, "name"), ranks, budgets, left, limit)
+    alphabet = Alphabet(order)
+    limit = short_limit(budgets, alphabet.symbols)
+    keys = _short_keys(names.repartition(spread, "name"), alphabet, budgets, left, limit)
     # pairs with a name over the limit
     edge = math.floor(limit * (1 - max(budgets)) - _EPS)
     longest = names.agg(F.max(F.octet_length("name"))).first()[0]
     if longest is not None and longest > edge:
         long = names.where(F.octet_length("name") > edge)
         tokens = _ordered_tokens(_raw_tokens(long), order).repartition(spread, "name")
-        keys = keys.unionByName(_signed(_long_keys(tokens, budgets, left), long))
+        keys = keys.unionByName(_signed(_long_keys(tokens, budgets, left), long, alphabet))
     return keys
 
 
