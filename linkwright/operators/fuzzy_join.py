@@ -312,18 +312,19 @@ def name_keys(names: DataFrame, order: DataFrame, threshold: float, left: bool)
     join, with the budget they serve, and each name's length and signature. Of ``order`` the ranks (one row a byte
     value) and the 240 most frequent tokens, and the length of the longest name are read at once."""
     # these rows are few and short, but each makes hundreds of key rows, which AQE cannot see when it
-    # merges small partitions: so their number of partitions is fixed
+    # merges small partitions: so their number of partitions is fixed. By a hash of the name: a repartition by the name
+    # itself gives way to the exchange of a ``distinct`` below it, which AQE merges
     spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     budgets = level_budgets(threshold)
     alphabet = Alphabet(order)
     limit = short_limit(budgets, alphabet.symbols)
-    keys = _short_keys(names.repartition(spread, "name"), alphabet, budgets, left, limit)
+    keys = _short_keys(names.repartition(spread, F.xxhash64("name")), alphabet, budgets, left, limit)
     # pairs with a name over the limit
     edge = math.floor(limit * (1 - max(budgets)) - _EPS)
     longest = names.agg(F.max(F.octet_length("name"))).first()[0]
     if longest is not None and longest > edge:
         long = names.where(F.octet_length("name") > edge)
-        tokens = _ordered_tokens(_raw_tokens(long), order).repartition(spread, "name")
+        tokens = _ordered_tokens(_raw_tokens(long), order).repartition(spread, F.xxhash64("name"))
         keys = keys.unionByName(_signed(_long_keys(tokens, budgets, left), long, alphabet))
     return keys
 

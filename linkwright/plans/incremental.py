@@ -118,10 +118,16 @@ class LinkStore:
     # -- matches
 
     def name_matches(self, firms: DataFrame, versions: list[int]) -> DataFrame:
-        """(mc, name_id, name_sim): best account of the given versions per cleaned firm name ``mc``."""
+        """(mc, name_id, name_sim): best account of the given versions per cleaned firm name ``mc``; names whose
+        ``name_sim`` so far is 1 are compared with equal names alone."""
         firm_names = firms.select(F.col("mc").alias("name")).where("name is not null").distinct()
+        # an equal key cannot be beaten (no other key scores 1, and '' pairs with '' alone), so names that
+        # have one, here or from versions before, meet equal names only: a smaller Id may be among them
+        open_names = firms.where("name_sim is null or name_sim < 1").select(F.col("mc").alias("name")).where("name <> ''").distinct()
+        for v in versions:
+            open_names = open_names.join(self.names(v).select("name"), "name", "left_anti")
         order = self.spark.read.parquet(f"{self.base}/order")
-        keys = name_keys(firm_names, order, self.threshold, True).withColumnRenamed("id", "a_id")
+        keys = name_keys(open_names, order, self.threshold, True).withColumnRenamed("id", "a_id")
         found = None
         for v in versions:
             names = self.names(v)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL, rows
 from linkwright import derived
 from linkwright.operators.fuzzy_join import name_keys
+from linkwright.plans import incremental
 from linkwright.plans.incremental import ACCOUNT_COLUMNS, FIRM_COLUMNS, LinkStore, link_delta
 from linkwright.plans.link import link
 
@@ -77,3 +78,32 @@ def test_no_exchange_on_the_index_side(spark, tmp_path):
             assert found.count() > 0
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_keys_are_made_in_a_fixed_number_of_tasks(spark, tmp_path):
+    """Few short names make many key rows: AQE does not merge their partitions, whatever shuffled them before."""
+    store = LinkStore(spark, str(tmp_path / "store"))
+    link_delta(store, _firms(spark, []), derived.accounts(spark, SF_SMALL))
+    order = spark.read.parquet(f"{store.base}/order")
+    names = derived.firms(spark, SF_SMALL).select(F.lower("kuerzel").alias("name")).distinct()
+    keys = name_keys(names, order, store.threshold, True)
+    used = keys.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_names_with_an_equal_one_meet_equal_names_only(spark, tmp_path, monkeypatch):
+    """Firm names that have an equal account, in any version, get no keys; a smaller Id still replaces theirs."""
+    keyed = []
+
+    def counted(names, order, threshold, left):
+        if left:
+            keyed.append(sorted(r["name"] for r in names.collect()))
+        return name_keys(names, order, threshold, left)
+
+    monkeypatch.setattr(incremental, "name_keys", counted)
+    store = LinkStore(spark, str(tmp_path / "store"))
+    firms = _firms(spark, [("1", "Nordlicht Energie", None, None, None), ("2", "Sonnenhof Backwaren", None, None, None)])
+    link_delta(store, firms, _accounts(spark, [("m", "Nordlicht Energie", None, None), ("n", "Sonnenhof Backwarn", None, None)]))
+    got = link_delta(store, _firms(spark, []), _accounts(spark, [("a", "Nordlicht Energie", None, None), ("b", "Nordlicht Energi", None, None)]))
+    assert [k for k in keyed if k] == [["sonnenhofbackwaren"]] * 2
+    assert rows(got, "rec_id", "id_zoho") == [("1", "a"), ("2", "n")]
