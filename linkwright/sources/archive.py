@@ -171,5 +171,10 @@ def write_zip_export(df: DataFrame, folder: str, module: str) -> int:
     written = df.mapInPandas(write_part, done).count()
     if written:
         return written
-    # an empty table is one archive with a header
-    return df.sparkSession.range(1).mapInPandas(lambda _: write_part(iter(()), always=True), done).count()
+    # an empty table is one archive with a header: one partition, as every one of them writes an archive here
+    def header_only(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _ in batches:
+            pass
+        yield from write_part(iter(()), always=True)
+
+    return df.sparkSession.range(0, 1, 1, 1).mapInPandas(header_only, done).count()

@@ -207,3 +207,12 @@ def test_zip_modules_in_the_shared_checkpoint_folder_of_a_cluster(spark, monkeyp
     assert tables["Leads"].columns == ["Id", "Stage"] and tables["Leads"].count() == 0
     with pytest.raises(ValueError, match="folder of one machine"):
         write_zip_export(deals, "file:/tmp/elsewhere", "Deals")
+
+
+def test_a_module_without_rows_is_one_archive(spark, tmp_path):
+    """However many partitions the session makes of one row."""
+    deals = spark.createDataFrame([("1", "Won")], "Id string, Stage string")
+    assert write_zip_export(deals.where("Id = '2'"), str(tmp_path), "Leads") == 1
+    assert len(list(tmp_path.glob("Leads_exportZoho-*.zip"))) == 1
+    table = load_zip_exports(spark, str(tmp_path))["Leads"]
+    assert table.columns == ["Id", "Stage"] and table.count() == 0
