@@ -126,6 +126,10 @@ class LinkStore:
         open_names = firms.where("name_sim is null or name_sim < 1").select(F.col("mc").alias("name")).where("name <> ''").distinct()
         for v in versions:
             open_names = open_names.join(self.names(v).select("name"), "name", "left_anti")
+        # written once: the keys are read by a join per version, whose plans stay short that way
+        path = f"{self.base}/work/{uuid.uuid4().hex}/open-names"
+        open_names.write.parquet(path)
+        open_names = self.spark.read.parquet(path)
         order = self.spark.read.parquet(f"{self.base}/order")
         keys = name_keys(open_names, order, self.threshold, True).withColumnRenamed("id", "a_id")
         found = None
